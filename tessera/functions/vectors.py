@@ -1,4 +1,9 @@
-"""Dense vectors as ARRAY<DOUBLE> and distances between them."""
+"""Dense vectors as ARRAY<DOUBLE> and distances between them.
+
+The expressions are written as Spark SQL text and parsed once in the JVM:
+building nested higher-order functions column by column from Python costs
+far more driver time than running them on small inputs.
+"""
 
 from __future__ import annotations
 
@@ -6,50 +11,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def squared_distance(a, b) -> Column:
+def squared_distance_sql(a: str, b: str) -> str:
     """Sum of squared differences, folded from the first coordinate on.
 
     Vectors of different length raise an error, as a linear-algebra library
     does; ``zip_with`` alone would pad with NULL.
     """
-    a, b = _col(a), _col(b)
-    sq = F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
-        F.lit(0.0),
-        lambda acc, e: acc + e,
+    return (
+        f"CASE WHEN size({a}) != size({b}) THEN raise_error('vectors of different length') "
+        f"ELSE aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (s, e) -> s + e) END"
     )
-    return F.when(F.size(a) != F.size(b), F.raise_error(F.lit("vectors of different length"))).otherwise(sq)
 
 
-def euclidean(a, b) -> Column:
+def euclidean_sql(a: str, b: str) -> str:
     """Euclidean (not squared) distance."""
-    return F.sqrt(squared_distance(a, b))
+    return f"sqrt({squared_distance_sql(a, b)})"
 
 
-def nearest(v, centers) -> Column:
+def nearest_sql(v: str, centers: str) -> str:
     """Nearest of ``centers`` (ARRAY<STRUCT<label, center>> sorted by label).
 
-    Returns STRUCT<label INT, dist DOUBLE>; ties go to the lowest label.
+    STRUCT<label INT, dist DOUBLE>; ties go to the lowest label.
     """
-    v, cs = _col(v), _col(centers)
-    ds = F.transform(cs, lambda c: euclidean(v, c["center"]))
-    best = F.array_min(ds)
-    idx = F.array_position(ds, best)
-    return F.struct(
-        F.element_at(cs, idx.cast("int"))["label"].alias("label"),
-        best.alias("dist"),
+    ds = f"transform({centers}, c -> {euclidean_sql(v, 'c.center')})"
+    return (
+        f"aggregate(zip_with({centers}, {ds}, (c, d) -> named_struct('d', d, 'label', c.label)), "
+        f"named_struct('d', double('Infinity'), 'label', -1), "
+        f"(acc, e) -> IF(e.d < acc.d OR acc.label < 0, e, acc), "
+        f"acc -> named_struct('label', acc.label, 'dist', acc.d))"
     )
 
 
-def min_distance(v, vectors) -> Column:
+def min_distance_sql(v: str, vectors: str) -> str:
     """Distance from ``v`` to the nearest of an ARRAY<ARRAY<DOUBLE>>."""
-    v = _col(v)
-    return F.array_min(F.transform(_col(vectors), lambda c: euclidean(v, c)))
+    return f"array_min(transform({vectors}, c -> {euclidean_sql(v, 'c')}))"
+
+
+def euclidean(a: str, b: str) -> Column:
+    return F.expr(euclidean_sql(a, b))
+
+
+def nearest(v: str, centers: str) -> Column:
+    return F.expr(nearest_sql(v, centers))
+
+
+def min_distance(v: str, vectors: str) -> Column:
+    return F.expr(min_distance_sql(v, vectors))
 
 
-def round_vector(v, digits: int = 6) -> Column:
-    return F.transform(_col(v), lambda x: F.round(x, digits))
+def round_vector(v: str, digits: int = 6) -> Column:
+    return F.expr(f"transform({v}, x -> round(x, {digits}))")

@@ -16,11 +16,10 @@ How it runs at scale
   aggregate grouped by ``part`` (seeding) or ``(part, label)`` (Lloyd): a task
   sends at most one row per group through the shuffle, whatever the skew of the
   data, and only k·L rows (the centers) come back to the driver.
-* The centers travel to the points as a table of one row per part (its k
-  centers as an array), broadcast when its estimated size is under
-  ``tessera.maxBroadcastBytes`` (default 256 MiB). Above it, the points of each
-  part are spread over several salt values and the table is copied once per
-  salt, so a shuffle join never sends a whole part to one task.
+* The centers (at most k per part) travel to the tasks with the distance
+  kernel (:mod:`tessera.functions.kernels`), like a broadcast variable; their
+  size is bounded by k·L·dim and checked against ``tessera.maxBroadcastBytes``
+  (default 256 MiB). No join is needed to bring them to the points.
 * A seeding round recomputes the distance to the chosen centers instead of
   keeping a running distance column: nothing but the centers changes between
   rounds, so the lineage of every job is just scan + persist, an executor loss
@@ -52,8 +51,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import bucket, uniform
-from tessera.functions.vectors import min_distance, nearest
+from tessera.functions.hashing import bucket, col, uniform_sql
+from tessera.functions.kernels import nearest_center
 
 # Fixed values.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -62,8 +61,6 @@ WIDE_VECTOR = 96  # above this width, coordinate sums go through posexplode
 
 _INF = float("inf")
 
-_CENTERS_SCHEMA = "part INT, cs ARRAY<STRUCT<label: INT, center: ARRAY<DOUBLE>>>"
-_CHOSEN_SCHEMA = "part INT, ids ARRAY<BIGINT>, vs ARRAY<ARRAY<DOUBLE>>"
 _CENTER_ROWS_SCHEMA = "part INT, label INT, center ARRAY<DOUBLE>"
 
 
@@ -103,28 +100,18 @@ def _points(
     return pts, has_part
 
 
-def _attach(points: DataFrame, table: DataFrame, nbytes: int, n_parts: int) -> DataFrame:
-    """Join a per-part table to the points on ``part``.
-
-    Broadcast when the table is under the size limit; otherwise a shuffle join
-    in which each part's points are spread over ``salts`` keys and the table is
-    copied once per key, so that no task receives a whole part.
-    """
-    spark = points.sparkSession
-    if nbytes <= _max_broadcast(spark):
-        return points.join(F.broadcast(table), "part")
-    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    salts = max(1, -(-shuffle_parts // max(1, n_parts)))
-    pts = points.withColumn("_salt", bucket(salts, "attach", F.col("id")))
-    tbl = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return pts.join(tbl, ["part", "_salt"]).drop("_salt")
-
-
-def _centers_table(spark: SparkSession, centers: dict[int, list[list[float]]]) -> tuple[DataFrame, int]:
-    rows = [(p, [(label, c) for label, c in enumerate(cs)]) for p, cs in sorted(centers.items())]
-    dim = max((len(c) for cs in centers.values() for c in cs), default=0)
-    nbytes = _vectors_bytes(sum(len(cs) for cs in centers.values()), dim, len(rows))
-    return spark.createDataFrame(rows, _CENTERS_SCHEMA), nbytes
+def _check_model(spark: SparkSession, centers: dict[int, list[list[float]]]) -> None:
+    """Centers travel to every task with the distance kernel: check their size."""
+    n = sum(len(cs) for cs in centers.values())
+    dims = {len(c) for cs in centers.values() for c in cs}
+    if len(dims) > 1:
+        raise ValueError("vectors of different length")
+    nbytes = _vectors_bytes(n, dims.pop() if dims else 0, len(centers))
+    if nbytes > _max_broadcast(spark):
+        raise ValueError(
+            f"{n} centers take about {nbytes} bytes, above tessera.maxBroadcastBytes; "
+            "a k-median model (k centers per part) is expected to be small"
+        )
 
 
 def _collect_centers(centers: DataFrame, has_part: bool) -> dict[int, list[tuple[int, list[float]]]]:
@@ -140,21 +127,27 @@ def _collect_centers(centers: DataFrame, has_part: bool) -> dict[int, list[tuple
         )
     out: dict[int, list[tuple[int, list[float]]]] = {}
     for r in c.collect():
-        out.setdefault(r.part, []).append((r.label, list(r.center)))
+        out.setdefault(r.part, []).append((r.label, [float(x) for x in r.center]))
     for p in out:
         out[p].sort()
     return out
 
 
-def _attach_centers(pts: DataFrame, centers: DataFrame, has_part: bool) -> DataFrame:
-    """Points with ``cs``: the centers of their part, sorted by label."""
-    spark = pts.sparkSession
+def _with_nearest(pts: DataFrame, centers: dict[int, list[list[float]]], keep: list[str], labels=None) -> DataFrame:
+    """``keep..., label, dist``: nearest center of each point's part (size-checked model)."""
+    _check_model(pts.sparkSession, centers)
+    nn = nearest_center("part", "v", centers, labels).alias("nn")
+    return pts.select(*keep, nn).select(*keep, F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist"))
+
+
+def _assigned(pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str]) -> DataFrame:
     by_part = _collect_centers(centers, has_part)
-    rows = [(p, [(label, c) for label, c in cs]) for p, cs in sorted(by_part.items())]
-    dim = max((len(c) for cs in by_part.values() for _, c in cs), default=0)
-    nbytes = _vectors_bytes(sum(len(cs) for cs in by_part.values()), dim, len(rows))
-    table = spark.createDataFrame(rows, _CENTERS_SCHEMA)
-    return _attach(pts, table, nbytes, len(rows))
+    return _with_nearest(
+        pts,
+        {p: [c for _, c in cs] for p, cs in by_part.items()},
+        keep,
+        labels={p: [lab for lab, _ in cs] for p, cs in by_part.items()},
+    )
 
 
 def _persist(df: DataFrame) -> DataFrame:
@@ -169,36 +162,29 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
 
     Round 0 takes the point of smallest u(seed, 0, id) (uniform, weights
     ignored). Round r takes, among unchosen points, the smallest
-    -ln(u(seed, r, id)) / (w·d): an exponential race that picks each point with
-    probability w·d / sum(w·d) in one pass, with no ordered prefix sum.
+    -ln(u(seed, r, id)) / (w·d), ties to the lowest id: an exponential race
+    that picks each point with probability w·d / sum(w·d) in one pass, with no
+    ordered prefix sum. When every w·d is 0 the key is +Infinity for all and
+    the lowest unchosen id wins. Each round is one scan and one aggregate by
+    part; only the L picks come back.
     """
-    spark = pts.sparkSession
-    first = (
-        pts.groupBy("part")
-        .agg(F.min(F.struct(uniform(seed, 0, F.col("id")).alias("key"), "id", "v")).alias("m"))
-        .select("part", "m.id", "m.v")
-        .collect()
-    )
-    chosen = {r.part: [(r.id, list(r.v))] for r in first}
+    u0 = F.expr(uniform_sql(seed, 0, col("id")))
+    first = pts.groupBy("part").agg(F.min(F.struct(u0.alias("key"), "id", "v")).alias("m"))
+    chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in first.select("part", "m.id", "m.v").collect()}
     for rnd in range(1, k):
         active = {p: c for p, c in chosen.items() if len(c) == rnd}
         if not active:
             break
-        rows = [(p, [i for i, _ in c], [v for _, v in c]) for p, c in sorted(active.items())]
-        dim = len(next(iter(active.values()))[0][1])
-        nbytes = _vectors_bytes(rnd * len(rows), dim, len(rows))
-        table = spark.createDataFrame(rows, _CHOSEN_SCHEMA)
-        cand = _attach(pts, table, nbytes, len(rows)).where(~F.array_contains("ids", F.col("id")))
-        wd = F.col("w") * min_distance("v", "vs")
-        key = F.when(wd > 0, -F.log(uniform(seed, rnd, F.col("id"))) / wd).otherwise(F.lit(_INF))
-        picks = (
-            cand.groupBy("part")
-            .agg(F.min(F.struct(key.alias("key"), "id", "v")).alias("m"))
-            .select("part", "m.id", "m.v")
-            .collect()
+        taken = [i for c in active.values() for i, _ in c]
+        cand = pts.where(F.col("part").isin(list(active)) & ~F.col("id").isin(taken))
+        scored = _with_nearest(cand, {p: [v for _, v in c] for p, c in active.items()}, ["part", "id", "v", "w"])
+        wd = scored.select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
+        key = F.expr(
+            f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
         )
-        for r in picks:
-            chosen[r.part].append((r.id, list(r.v)))
+        picks = wd.groupBy("part").agg(F.min(F.struct(key.alias("key"), "id", "v")).alias("m"))
+        for r in picks.select("part", "m.id", "m.v").collect():
+            chosen[r.part].append((r.id, [float(x) for x in r.v]))
     return chosen
 
 
@@ -214,19 +200,12 @@ class _PartState:
     sizes: list[int] | None = None
     weights: list[float] | None = None
     cost: float | None = None
-    stats: dict = field(default_factory=dict)
 
 
 def _pass(pts: DataFrame, centers: dict[int, list[list[float]]]) -> dict[int, dict[int, tuple]]:
     """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v."""
-    spark = pts.sparkSession
-    table, nbytes = _centers_table(spark, centers)
     dim = max(len(c) for cs in centers.values() for c in cs)
-    a = (
-        _attach(pts, table, nbytes, len(centers))
-        .select("part", "w", "v", nearest("v", "cs").alias("nn"))
-        .select("part", "w", "v", F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist"))
-    )
+    a = _with_nearest(pts.where(F.col("part").isin(list(centers))), centers, ["part", "w", "v"])
     base = [
         F.count(F.lit(1)).alias("cnt"),
         F.sum("w").alias("sw"),
@@ -234,9 +213,9 @@ def _pass(pts: DataFrame, centers: dict[int, list[list[float]]]) -> dict[int, di
     ]
     out: dict[int, dict[int, tuple]] = {}
     if dim <= WIDE_VECTOR:
-        sums = [F.sum(F.col("w") * F.col("v")[j]).alias(f"s{j}") for j in range(dim)]
-        for r in a.groupBy("part", "label").agg(*base, *sums).collect():
-            out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, [r[f"s{j}"] for j in range(dim)])
+        sums = F.expr("array(" + ", ".join(f"sum(w * v[{j}])" for j in range(dim)) + ")").alias("sx")
+        for r in a.groupBy("part", "label").agg(*base, sums).collect():
+            out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, list(r.sx))
         return out
     a = _persist(a)
     try:
@@ -306,7 +285,7 @@ def assign_parts(df: DataFrame, parts: int, seed: int = 0, id_col: str = "id", o
     the value of a row never changes on a retry.
     """
     _check_args(parts=parts)
-    return df.withColumn(out, bucket(parts, "part", seed, F.col(id_col)))
+    return df.withColumn(out, bucket(parts, "part", seed, col(id_col)))
 
 
 def seed_centers(
@@ -349,10 +328,7 @@ def assign_nearest(
     Ties go to the lowest label. ``centers`` is ``part?, label, center``.
     """
     pts, has_part = _points(points, id_col, vec_col, None, part_col)
-    j = _attach_centers(pts, centers, has_part)
-    out = j.select("part", "id", nearest("v", "cs").alias("nn")).select(
-        "part", "id", F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist")
-    )
+    out = _assigned(pts, centers, has_part, ["part", "id"])
     return out if has_part else out.drop("part")
 
 
@@ -365,12 +341,12 @@ def _per_cluster(
     points: DataFrame, centers: DataFrame, agg, name: str, id_col, vec_col, weight_col, part_col, zero
 ) -> DataFrame:
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    j = _attach_centers(pts, centers, has_part)
-    a = j.select("part", "w", nearest("v", "cs")["label"].alias("label"))
+    a = _assigned(pts, centers, has_part, ["part", "w"])
     per = a.groupBy("part", "label").agg(agg.alias(name))
-    # Centers nobody is nearest to still get a row (k·L rows at most).
+    # Centers nobody is nearest to still get a row; the centers table was
+    # size-checked by _assigned.
     full = F.broadcast(_center_rows(centers, has_part)).join(per, ["part", "label"], "left")
-    out = full.select("part", "label", F.coalesce(F.col(name), F.lit(zero)).alias(name))
+    out = full.select("part", "label", F.coalesce(F.col(name), zero).alias(name))
     return out if has_part else out.drop("part")
 
 
@@ -392,9 +368,7 @@ def cluster_weights(
     part_col: str | None = "part",
 ) -> DataFrame:
     """Total weight of the points nearest to each center: ``part?, label, weight``."""
-    return _per_cluster(
-        points, centers, F.sum("w"), "weight", id_col, vec_col, weight_col, part_col, F.lit(0.0)
-    )
+    return _per_cluster(points, centers, F.sum("w"), "weight", id_col, vec_col, weight_col, part_col, F.lit(0.0))
 
 
 def kmedian_cost(
@@ -410,8 +384,7 @@ def kmedian_cost(
     One scan and one aggregate; the centers are broadcast (size checked).
     """
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    j = _attach_centers(pts, centers, has_part)
-    a = j.select("part", "w", nearest("v", "cs")["dist"].alias("dist"))
+    a = _assigned(pts, centers, has_part, ["part", "w"])
     out = a.groupBy("part").agg((F.sum(F.col("w") * F.col("dist")) / F.sum("w")).alias("cost"))
     return out if has_part else out.drop("part")
 
@@ -430,13 +403,11 @@ def lloyd_step(
     coordinate sums are one aggregate per (part, label), partial per task.
     """
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    j = _attach_centers(pts, centers, has_part)
-    dim = j.select(F.size("v")).first()
-    dim = dim[0] if dim else 0
-    a = j.select("part", "w", "v", nearest("v", "cs")["label"].alias("label"))
-    sums = [F.sum(F.col("w") * F.col("v")[i]).alias(f"s{i}") for i in range(dim)]
-    per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), *sums)
-    mean = F.array(*[F.col(f"s{i}") / F.col("sw") for i in range(dim)])
+    a = _assigned(pts, centers, has_part, ["part", "w", "v"])
+    dim = max((len(c) for cs in _collect_centers(centers, has_part).values() for _, c in cs), default=0)
+    sums = F.expr("array(" + ", ".join(f"sum(w * v[{i}])" for i in range(dim)) + ")").alias("sx")
+    per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), sums)
+    mean = F.expr("transform(sx, x -> x / sw)")
     old = centers.select(
         (F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)).alias("part"),
         F.col("label").cast("int").alias("label"),

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import bucket
+from tessera.functions.hashing import bucket, col
 from tessera.functions.text import char_length, split_words
 from tessera.sources.text import lines
 
@@ -75,7 +75,7 @@ def word_count_salted(
     stays valid), and a retried task draws the same keys.
     """
     w = _words(docs, text_col, id_col, parts)
-    salted = w.select(bucket(salts, seed, F.col(id_col), F.col("line_no"), F.col("word")).alias("salt"), "word")
+    salted = w.select(bucket(salts, seed, col(id_col), col("line_no"), col("word")).alias("salt"), "word")
     partial = salted.groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n"))
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
