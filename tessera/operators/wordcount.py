@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import bucket, col
+from tessera.operators.partitioning import spread
 from tessera.functions.text import char_length, split_words
 from tessera.sources.text import lines
 
@@ -29,11 +29,8 @@ def tokenize(df: DataFrame, text_col: str = "line", keep: Sequence[str] = ()) ->
 
 
 def _words(docs: DataFrame, text_col: str, id_col: str, parts: int | None) -> DataFrame:
-    if parts:
-        # Even redistribution into ``parts`` pieces (round robin). It moves the
-        # raw text once; only worth it when the input splits are few or uneven.
-        docs = docs.repartition(parts)
-    ls = lines(docs.select(id_col, text_col), text_col, keep=(id_col,))
+    docs = spread(docs.select(id_col, text_col), parts)
+    ls = lines(docs, text_col, keep=(id_col,))
     return ls.select(id_col, "line_no", F.explode(split_words(F.col("line"))).alias("word"))
 
 
@@ -42,7 +39,7 @@ def doc_term_counts(df: DataFrame, text_col: str = "text", doc_cols: Sequence[st
 
     The text of a document is split into words as a whole (no line cut).
     """
-    words = df.where(F.col(text_col).isNotNull()).select(
+    words = spread(df.select(*doc_cols, text_col)).where(F.col(text_col).isNotNull()).select(
         *doc_cols, F.explode(split_words(F.col(text_col))).alias("word")
     )
     return words.groupBy(*doc_cols, "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -75,7 +72,8 @@ def word_count_salted(
     stays valid), and a retried task draws the same keys.
     """
     w = _words(docs, text_col, id_col, parts)
-    salted = w.select(bucket(salts, seed, col(id_col), col("line_no"), col("word")).alias("salt"), "word")
+    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("line_no"), F.col("word")), F.lit(salts))
+    salted = w.select(salt.alias("salt"), "word")
     partial = salted.groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n"))
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -85,12 +83,12 @@ def word_count_partitioned(
 ) -> DataFrame:
     """Strategy 2-bis: combine inside each partition, then sum by word.
 
-    This is exactly Spark's partial/final aggregate; ``parts`` optionally
-    redistributes the documents evenly first (the reference's ``K``).
+    This is exactly Spark's partial/final aggregate: the partial step is the
+    per-partition combine. ``parts`` redistributes the documents evenly first
+    (the reference's ``K``); by default they are spread only when the input
+    has fewer partitions than the cluster has task slots.
     """
-    w = _words(docs, text_col, id_col, parts)
-    per_part = w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return per_part
+    return _words(docs, text_col, id_col, parts).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_word_count(counts: DataFrame) -> DataFrame:
