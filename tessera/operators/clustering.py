@@ -56,6 +56,7 @@ from tessera.functions.kernels import nearest_center
 
 # Fixed values.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_CENTERS = 1_000_000  # rows read from a centers table before refusing it
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
 WIDE_VECTOR = 96  # above this width, coordinate sums go through posexplode
 
@@ -118,15 +119,16 @@ def _collect_centers(centers: DataFrame, has_part: bool) -> dict[int, list[tuple
     """Small centers table (``part?, label, center``) to the driver, after a size check."""
     part = F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)
     c = centers.select(part.alias("part"), F.col("label").cast("int").alias("label"), "center")
-    n, dim = c.agg(F.count(F.lit(1)), F.max(F.size("center"))).first()
-    spark = centers.sparkSession
-    if _vectors_bytes(n, dim or 0, n) > _max_broadcast(spark):
+    limit = MAX_CENTERS + 1
+    rows = c.limit(limit).collect()
+    dim = max((len(r.center) for r in rows), default=0)
+    if len(rows) == limit or _vectors_bytes(len(rows), dim, len(rows)) > _max_broadcast(centers.sparkSession):
         raise ValueError(
-            f"{n} centers of width {dim} exceed tessera.maxBroadcastBytes; "
-            "a k-median model is expected to be small"
+            f"more than {len(rows) - 1} centers (width {dim}) exceed tessera.maxBroadcastBytes "
+            "or MAX_CENTERS; a k-median model is expected to be small"
         )
     out: dict[int, list[tuple[int, list[float]]]] = {}
-    for r in c.collect():
+    for r in rows:
         out.setdefault(r.part, []).append((r.label, [float(x) for x in r.center]))
     for p in out:
         out[p].sort()
@@ -527,28 +529,25 @@ def kmedian_mr(
     Round 1: the coreset (k weighted centers per part). Round 2: weighted
     k-means++ and Lloyd on the coreset alone (k·parts rows, one Spark
     partition), coreset ids ``part·k + label``, zero weights dropped (Q5).
-    Round 3: the mean distance of all points to the k centers, a scalar
-    subquery evaluated with the result, so the centers row set and the cost
-    come from one plan.
+    Round 3: the mean distance of all points to the k centers, one scan with
+    the centers in the distance kernel.
     """
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
     pts = _persist(pts)
     try:
-        n = pts.count()
-        if k > n:
-            raise ValueError(f"k = {k} is above the number of points ({n})")
         rows = _coreset_rows(pts, k, iterations, seed)
+        if sum(w for *_, w in rows) < k:
+            raise ValueError(f"k = {k} is above the number of points")
         core = spark.createDataFrame(
             [(0, p * k + label, c, float(w)) for p, label, c, w in rows if w > 0],
             "part INT, id BIGINT, v ARRAY<DOUBLE>, w DOUBLE",
         ).coalesce(1)
         state = _run_kmedian(core, k, iterations, seed, False)[0]
-        centers = spark.createDataFrame(
-            [(0, i, c) for i, c in enumerate(state.centers)], _CENTER_ROWS_SCHEMA
-        )
-        cost = kmedian_cost(pts.drop("part"), centers.drop("part")).first()[0]
+        everyone = pts.select(F.lit(0).alias("part"), "v", "w")
+        near = _with_nearest(everyone, {0: state.centers}, ["w"])
+        cost = near.agg(F.sum(F.col("w") * F.col("dist")) / F.sum("w")).first()[0]
     finally:
         pts.unpersist()
     return spark.createDataFrame(

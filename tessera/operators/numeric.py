@@ -42,9 +42,9 @@ def normalize_by_max(
     data reaches the driver. A maximum of 0 raises an error.
     """
     x = F.col(col).cast("double")
-    mx = df.agg(F.max(x)).scalar()
-    norm = F.when(mx == 0, F.raise_error(F.lit(_ZERO_MAX))).otherwise(x / mx)
-    return df.where(x.isNotNull()).select(*keep, norm.alias(out))
+    m = F.max(x)
+    mx = df.agg(F.when(m == 0, F.raise_error(F.lit(_ZERO_MAX)).cast("double")).otherwise(m)).scalar()
+    return df.where(x.isNotNull()).select(*keep, (x / mx).alias(out))
 
 
 def harmonic_mean(df: DataFrame, col: str) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streams: none in the reference.
+
+The reference reads every input once from files; it has no streaming source,
+state, watermark or late data. The operators of this package are plain
+DataFrame transformations, so the stateless ones (tokenizing, the word-count
+aggregations in complete or update mode) can be applied to a ``readStream``
+frame as they are; no stream-specific operator is provided.
+"""

@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ def test_zero_gives_zero_mean(spark):
 
 
 def test_all_zero_raises(spark):
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="maximum is 0"):
         harmonic_mean(nums(spark, [0.0, 0.0]), "x").collect()
-    with pytest.raises(PySparkException):
+    with pytest.raises((PySparkException, Py4JJavaError), match="maximum is 0"):
         normalize_by_max(nums(spark, [0.0]), "x").collect()
 
 
