@@ -43,30 +43,35 @@ def nearest_center(
     v: Column | str,
     centers: dict[int, list[list[float]]],
     labels: dict[int, list[int]] | None = None,
+    ids: Column | str | None = None,
+    exclude: dict[int, list[int]] | None = None,
 ) -> Column:
     """STRUCT<label INT, dist DOUBLE>: nearest center of the row's part.
 
     Ties go to the first center (the lowest label). Rows of a part without
-    centers get NULLs. ``centers`` travels with the function (at most
-    k·parts vectors; callers check its size).
+    centers, and rows whose id is in ``exclude[part]`` (the points already
+    chosen as centers), get NULLs. ``centers`` and ``exclude`` travel with the
+    function (at most k·parts entries; callers check the size), which keeps
+    the plan free of long literal lists.
     """
     mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in centers.items() if cs}
     labs = {int(p): np.asarray(labels[p] if labels else range(len(cs)), dtype=np.int32) for p, cs in centers.items() if cs}
+    skip = {int(p): np.asarray(sorted(i), dtype=np.int64) for p, i in (exclude or {}).items()}
     dim = next(iter(mats.values())).shape[1] if mats else 0
 
-    @F.pandas_udf("label INT, dist DOUBLE")
-    def kernel(parts: pd.Series, vs: pd.Series) -> pd.DataFrame:
+    def compute(pv: np.ndarray, vs: pd.Series, iv: np.ndarray | None) -> pd.DataFrame:
         n = len(vs)
         label = np.full(n, -1, dtype=np.int32)
         dist = np.full(n, np.nan)
         found = np.zeros(n, dtype=bool)
         x = _matrix(vs, dim)
-        pv = parts.to_numpy()
         for p in np.unique(pv):
             c = mats.get(int(p))
             if c is None:
                 continue
             rows = np.flatnonzero(pv == p)
+            if iv is not None and int(p) in skip:
+                rows = rows[~np.isin(iv[rows], skip[int(p)])]
             d = _distances(x[rows], c)
             idx = np.argmin(d, axis=1)
             label[rows] = labs[int(p)][idx]
@@ -76,4 +81,19 @@ def nearest_center(
         out.loc[~found, :] = None
         return out
 
-    return kernel(F.col(part) if isinstance(part, str) else part, F.col(v) if isinstance(v, str) else v)
+    def c(x):
+        return F.col(x) if isinstance(x, str) else x
+
+    if ids is None:
+
+        @F.pandas_udf("label INT, dist DOUBLE")
+        def kernel(parts: pd.Series, vs: pd.Series) -> pd.DataFrame:
+            return compute(parts.to_numpy(), vs, None)
+
+        return kernel(c(part), c(v))
+
+    @F.pandas_udf("label INT, dist DOUBLE")
+    def kernel_ex(parts: pd.Series, vs: pd.Series, iv: pd.Series) -> pd.DataFrame:
+        return compute(parts.to_numpy(), vs, iv.to_numpy())
+
+    return kernel_ex(c(part), c(v), c(ids))

@@ -135,10 +135,15 @@ def _collect_centers(centers: DataFrame, has_part: bool) -> dict[int, list[tuple
     return out
 
 
-def _with_nearest(pts: DataFrame, centers: dict[int, list[list[float]]], keep: list[str], labels=None) -> DataFrame:
-    """``keep..., label, dist``: nearest center of each point's part (size-checked model)."""
+def _with_nearest(
+    pts: DataFrame, centers: dict[int, list[list[float]]], keep: list[str], labels=None, exclude=None
+) -> DataFrame:
+    """``keep..., label, dist``: nearest center of each point's part (size-checked model).
+
+    With ``exclude`` ({part: ids}) those points get a NULL distance.
+    """
     _check_model(pts.sparkSession, centers)
-    nn = nearest_center("part", "v", centers, labels).alias("nn")
+    nn = nearest_center("part", "v", centers, labels, "id" if exclude else None, exclude).alias("nn")
     return pts.select(*keep, nn).select(*keep, F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist"))
 
 
@@ -177,10 +182,13 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
         active = {p: c for p, c in chosen.items() if len(c) == rnd}
         if not active:
             break
-        taken = [i for c in active.values() for i, _ in c]
-        cand = pts.where(F.col("part").isin(list(active)) & ~F.col("id").isin(taken))
-        scored = _with_nearest(cand, {p: [v for _, v in c] for p, c in active.items()}, ["part", "id", "v", "w"])
-        wd = scored.select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
+        scored = _with_nearest(
+            pts.where(F.col("part").isin(list(active))),
+            {p: [v for _, v in c] for p, c in active.items()},
+            ["part", "id", "v", "w"],
+            exclude={p: [i for i, _ in c] for p, c in active.items()},
+        )
+        wd = scored.where(F.col("dist").isNotNull()).select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
         key = F.expr(
             f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
         )
