@@ -173,3 +173,27 @@ def test_parts_are_even_and_stable(spark):
     counts = [r["count"] for r in a.groupBy("part").count().collect()]
     assert len(counts) == 8 and max(counts) - min(counts) < 400
     assert a.exceptAll(assign_parts(df, 8, seed=1)).count() == 0
+
+
+def test_kernel_equals_sql_distance_bitwise(spark):
+    from tessera.functions.kernels import nearest_center
+    from tessera.functions.vectors import euclidean
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        F.lit(0).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
+    )
+    c = [float(x) for x in emb.orderBy("id").first().v]
+    c = [x * 0.5 + 0.01 for x in c]
+    got = emb.withColumn("c", F.array(*[F.lit(x) for x in c])).select(
+        "id", nearest_center("part", "v", {0: [c]})["dist"].alias("k"), euclidean("v", "c").alias("s")
+    )
+    rows = got.collect()
+    assert rows and all(r.k == r.s for r in rows)
+
+
+def test_zero_weight_coreset_points_are_dropped(spark):
+    same = pts(spark, [(i, [1.0, 2.0]) for i in range(4)])
+    core = coreset(same, 2, 1, 1, seed=0).orderBy("label").collect()
+    assert [r.w for r in core] == [4, 0]
+    out = kmedian_mr(same, 2, 1, 1, seed=0).collect()
+    assert len(out) == 1 and out[0].center == [1.0, 2.0] and out[0].cost == 0.0
