@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0  # exact; only -0.0 becomes 0.0
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "as_integer_ratio") and not isinstance(v, int):  # Decimal
