@@ -151,9 +151,14 @@ def _with_nearest(
 
 
 def _assigned(pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str]) -> DataFrame:
+    """Points of the parts that have centers, with ``label`` and ``dist``.
+
+    Points of a part without centers have no nearest center and are left out
+    (the part filter is on a stored column, so it reaches the scan).
+    """
     by_part = _collect_centers(centers, has_part)
     return _with_nearest(
-        pts,
+        pts.where(F.col("part").isin(list(by_part))),
         {p: [c for _, c in cs] for p, cs in by_part.items()},
         keep,
         labels={p: [lab for lab, _ in cs] for p, cs in by_part.items()},
@@ -191,13 +196,18 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
             ["part", "id", "v", "w"],
             exclude={p: [i for i, _ in c] for p, c in active.items()},
         )
-        wd = scored.where(F.col("dist").isNotNull()).select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
+        wd = scored.select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
         key = F.expr(
             f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
         )
-        picks = wd.groupBy("part").agg(F.min(F.struct(key.alias("key"), "id", "v")).alias("m"))
+        # Chosen points have a NULL distance; a NULL struct is skipped by min.
+        # (A filter on the kernel's output would be pushed below it and run
+        # the kernel twice.)
+        cand = F.when(F.col("wd").isNotNull(), F.struct(key.alias("key"), "id", "v"))
+        picks = wd.groupBy("part").agg(F.min(cand).alias("m"))
         for r in picks.select("part", "m.id", "m.v").collect():
-            chosen[r.part].append((r.id, [float(x) for x in r.v]))
+            if r.id is not None:  # NULL: every point of the part is chosen already
+                chosen[r.part].append((r.id, [float(x) for x in r.v]))
     return chosen
 
 
@@ -354,10 +364,11 @@ def _per_cluster(
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
     a = _assigned(pts, centers, has_part, ["part", "w"])
     per = a.groupBy("part", "label").agg(agg.alias(name))
-    # Centers nobody is nearest to still get a row; the centers table was
-    # size-checked by _assigned.
-    full = F.broadcast(_center_rows(centers, has_part)).join(per, ["part", "label"], "left")
-    out = full.select("part", "label", F.coalesce(F.col(name), zero).alias(name))
+    # Centers nobody is nearest to still get a row: add a zero row per center
+    # (k·L rows) and sum. A join here would make Catalyst infer a not-null
+    # filter on ``label`` and push it below the kernel, running it twice.
+    zeros = _center_rows(centers, has_part).select("part", "label", zero.alias(name))
+    out = per.unionByName(zeros).groupBy("part", "label").agg(F.sum(name).alias(name))
     return out if has_part else out.drop("part")
 
 
@@ -417,15 +428,23 @@ def lloyd_step(
     a = _assigned(pts, centers, has_part, ["part", "w", "v"])
     dim = max((len(c) for cs in _collect_centers(centers, has_part).values() for _, c in cs), default=0)
     sums = F.expr("array(" + ", ".join(f"sum(w * v[{i}])" for i in range(dim)) + ")").alias("sx")
-    per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), sums)
-    mean = F.expr("transform(sx, x -> x / sw)")
+    per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), sums).withColumn(
+        "old", F.lit(None).cast("array<double>")
+    )
     old = centers.select(
         (F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)).alias("part"),
         F.col("label").cast("int").alias("label"),
+        F.lit(0.0).alias("sw"),
+        F.lit(None).cast("array<double>").alias("sx"),
         F.col("center").cast("array<double>").alias("old"),
     )
-    full = F.broadcast(old).join(per, ["part", "label"], "left")
-    out = full.select("part", "label", F.when(F.col("sw") > 0, mean).otherwise(F.col("old")).alias("center"))
+    # Union and aggregate (k·L rows) rather than a join, which would push an
+    # inferred filter below the kernel and run it twice.
+    both = per.unionByName(old).groupBy("part", "label").agg(
+        F.sum("sw").alias("sw"), F.max("sx").alias("sx"), F.max("old").alias("old")
+    )
+    mean = F.expr("transform(sx, x -> x / sw)")
+    out = both.select("part", "label", F.when(F.col("sw") > 0, mean).otherwise(F.col("old")).alias("center"))
     return out if has_part else out.drop("part")
 
 
