@@ -403,7 +403,8 @@ def kmedian_cost(
 ) -> DataFrame:
     """Mean distance to the nearest center, weighted: ``part?, cost``.
 
-    One scan and one aggregate; the centers are broadcast (size checked).
+    One scan and one aggregate; the centers travel with the distance kernel
+    (size checked).
     """
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
     a = _assigned(pts, centers, has_part, ["part", "w"])

@@ -17,6 +17,7 @@ from tessera.functions.vectors import round_vector
 from tessera.operators import clustering as C
 from tessera.operators import numeric as N
 from tessera.operators import wordcount as W
+from tessera.operators.partitioning import spread
 from tessera.sources.points import parse_points
 from tessera.sources.text import lines, parse_numbers
 
@@ -87,11 +88,12 @@ def q_parse_numbers(spark, sf_dir):
 
 
 def q_lines(spark, sf_dir):
-    return lines(_docs(spark, sf_dir), "text", keep=("doc_id",))
+    return lines(spread(_docs(spark, sf_dir)), "text", keep=("doc_id",))
 
 
 def q_tokenize(spark, sf_dir):
-    return W.tokenize(lines(_docs(spark, sf_dir), "text", keep=("doc_id",)), "line", keep=("doc_id", "line_no"))
+    ls = lines(spread(_docs(spark, sf_dir)), "text", keep=("doc_id",))
+    return W.tokenize(ls, "line", keep=("doc_id", "line_no"))
 
 
 def q_doc_term_counts(spark, sf_dir):
@@ -181,6 +183,15 @@ def q_kmedian(spark, sf_dir):
     return out.select("label", round_vector("center", VECTOR_DIGITS).alias("center"))
 
 
+def q_kmedian_with_cost(spark, sf_dir):
+    """Clustering of a whole point set as one part, then the mean distance of
+    every point to the centers found (the sequential program's output)."""
+    pts = _points(spark, sf_dir)
+    centers = C.kmedian(pts, K, KMEDIAN_ITERATIONS, seed=SEED)
+    cost = C.kmedian_cost(pts, centers).select(_r9(F.col("cost"))).scalar()
+    return centers.select("label", round_vector("center", VECTOR_DIGITS).alias("center"), cost.alias("cost"))
+
+
 def q_coreset(spark, sf_dir):
     out = C.coreset(_points(spark, sf_dir), K, PARTS, CORESET_ITERATIONS, seed=SEED)
     return out.select("part", "label", round_vector("center", VECTOR_DIGITS).alias("center"), "w")
@@ -216,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lloyd_step": q_lloyd_step,
     "lloyd": q_lloyd,
     "kmedian": q_kmedian,
+    "kmedian_with_cost": q_kmedian_with_cost,
     "coreset": q_coreset,
     "kmedian_mr": q_kmedian_mr,
 }

@@ -223,6 +223,19 @@ def _kmedian_sql() -> str:
     return _with(ctes + lctes, f"SELECT label, {_rvec('center')} AS center FROM {final}")
 
 
+def _kmedian_with_cost_sql() -> str:
+    ctes, seeds = _seeded()
+    lctes, final, _ = _lloyd_ctes("pts", seeds, Q.KMEDIAN_ITERATIONS, False, "l_")
+    ctes = ctes + lctes
+    ctes.append(
+        f"""obj AS MATERIALIZED (
+  SELECT sum(w * d) / sum(w) AS cost FROM (
+    SELECT q.w, (SELECT min({_dist('q.v', 'c.center')}) FROM {final} c) AS d FROM pts q))"""
+    )
+    body = f"SELECT c.label, {_rvec('c.center')} AS center, round(obj.cost, {Q.SCALAR_DIGITS}) AS cost FROM {final} c JOIN obj ON true"
+    return _with(ctes, body)
+
+
 def _coreset_ctes() -> tuple[list[str], str]:
     """Round 1: ``part, label, center, w`` in CTE ``core``."""
     ctes = [
@@ -317,6 +330,7 @@ FROM (VALUES ('word_count'), ('word_count_salted'), ('word_count_partitioned'))
     "lloyd_step": _lloyd_step_sql(),
     "lloyd": _lloyd_sql(),
     "kmedian": _kmedian_sql(),
+    "kmedian_with_cost": _kmedian_with_cost_sql(),
     "coreset": _coreset_sql(),
     "kmedian_mr": _kmedian_mr_sql(),
 }

@@ -197,3 +197,17 @@ def test_zero_weight_coreset_points_are_dropped(spark):
     assert [r.w for r in core] == [4, 0]
     out = kmedian_mr(same, 2, 1, 1, seed=0).collect()
     assert len(out) == 1 and out[0].center == [1.0, 2.0] and out[0].cost == 0.0
+
+
+def test_wide_vectors_take_the_exploded_path(spark, monkeypatch):
+    import tessera.operators.clustering as C
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
+    )
+    narrow = {r.label: r.center for r in kmedian(emb, 3, 2, seed=1).collect()}
+    monkeypatch.setattr(C, "WIDE_VECTOR", 1)
+    wide = {r.label: r.center for r in kmedian(emb, 3, 2, seed=1).collect()}
+    assert narrow.keys() == wide.keys()
+    for lab in narrow:
+        assert narrow[lab] == pytest.approx(wide[lab], abs=1e-12)
