@@ -211,3 +211,18 @@ def test_wide_vectors_take_the_exploded_path(spark, monkeypatch):
     assert narrow.keys() == wide.keys()
     for lab in narrow:
         assert narrow[lab] == pytest.approx(wide[lab], abs=1e-12)
+
+
+def test_sql_nearest_matches_kernel(spark):
+    from tessera.functions.kernels import nearest_center
+    from tessera.functions.vectors import nearest
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        F.lit(0).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
+    )
+    cs = [[float(x) for x in r.v] for r in emb.orderBy("id").limit(3).collect()]
+    lit = F.array(*[F.struct(F.lit(i).alias("label"), F.array(*[F.lit(x) for x in c]).alias("center")) for i, c in enumerate(cs)])
+    rows = emb.withColumn("cs", lit).select(
+        nearest("v", "cs").alias("s"), nearest_center("part", "v", {0: cs}).alias("k")
+    ).collect()
+    assert all(r.s.label == r.k.label and r.s.dist == r.k.dist for r in rows)
