@@ -226,3 +226,37 @@ def test_sql_nearest_matches_kernel(spark):
         nearest("v", "cs").alias("s"), nearest_center("part", "v", {0: cs}).alias("k")
     ).collect()
     assert all(r.s.label == r.k.label and r.s.dist == r.k.dist for r in rows)
+
+
+def _emb(spark):
+    return spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
+    )
+
+
+def test_sizes_sum_to_n(spark):
+    emb = _emb(spark)
+    seeds = seed_centers(emb, 5, seed=2)
+    assert sum(r.size for r in cluster_sizes(emb, seeds).collect()) == emb.count()
+
+
+def test_one_part_no_iterations_is_plain_seeding(spark):
+    emb = _emb(spark)
+    core = {r.label: r.center for r in coreset(emb, 3, 1, 0, seed=6).collect()}
+    plain = {r.label: r.center for r in seed_centers(emb.withColumn("part", F.lit(0)), 3, seed=6).collect()}
+    assert core == plain
+
+
+def test_same_seed_same_result(spark):
+    emb = _emb(spark)
+    a = [(r.label, r.center) for r in kmedian_mr(emb, 3, 2, 1, seed=13).orderBy("label").collect()]
+    b = [(r.label, r.center) for r in kmedian_mr(emb, 3, 2, 1, seed=13).orderBy("label").collect()]
+    assert a == b
+
+
+def test_null_rows_are_dropped(spark):
+    p = spark.createDataFrame(
+        [(0, [0.0, 0.0]), (1, None), (None, [5.0, 5.0]), (3, [10.0, 0.0])], "id BIGINT, v ARRAY<DOUBLE>"
+    )
+    sizes = {r.label: r.size for r in cluster_sizes(p, ctr(spark)).collect()}
+    assert sizes == {0: 1, 1: 1}
