@@ -20,13 +20,12 @@ How it runs at scale
   kernel (:mod:`tessera.functions.kernels`), like a broadcast variable; their
   size is bounded by k·L·dim and checked against ``tessera.maxBroadcastBytes``
   (default 256 MiB). No join is needed to bring them to the points.
-* A seeding round recomputes the distance to the chosen centers instead of
-  keeping a running distance column: nothing but the centers changes between
-  rounds, so the lineage of every job is just scan + persist, an executor loss
-  costs only the recompute of its partitions, and no checkpoint is needed.
-  The price is k²/2 instead of k distance evaluations per point over the whole
-  seeding; with the vectorized kernel that stays below the cost of rewriting
-  the persisted points once per round for the k of a k-median model (tens).
+* Seeding keeps a running minimum distance, rewritten only every
+  ``REBASE_EVERY`` rounds; in between, a round measures the centers chosen
+  since the last rewrite. That bounds both the distance work (O(k) per point)
+  and the data rewritten (k / REBASE_EVERY copies), and the lineage grows by
+  one projection per rewrite, so an executor loss recomputes only its own
+  partitions through a short chain; no checkpoint is needed.
 * Randomness is a hash of (seed, round, id): reruns, retried tasks and plain
   SQL all draw the same numbers.
 
@@ -62,6 +61,7 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 MAX_CENTERS = 1_000_000  # rows read from a centers table before refusing it
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
 WIDE_VECTOR = 96  # above this width, coordinate sums go through posexplode
+REBASE_EVERY = 8  # seeding rounds between two rewrites of the running distance
 
 _INF = float("inf")
 
@@ -182,32 +182,80 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
     ordered prefix sum. When every w·d is 0 the key is +Infinity for all and
     the lowest unchosen id wins. Each round is one scan and one aggregate by
     part; only the L picks come back.
+
+    d is the minimum over a stored ``dmin`` (the centers up to ``base``) and
+    the kernel's distance to the centers chosen since. Every
+    ``REBASE_EVERY`` rounds the recent centers are folded into ``dmin`` and
+    the points are persisted once more (the former copy released), so a round
+    measures at most ``REBASE_EVERY`` centers: O(k) distances per point in all,
+    with a lineage of one projection per rebase. ``taken`` marks the points
+    chosen before the last rebase.
     """
     u0 = F.expr(uniform_sql(seed, 0, col("id")))
     first = pts.groupBy("part").agg(F.min(F.struct(u0.alias("key"), "id", "v")).alias("m"))
     chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in first.select("part", "m.id", "m.v").collect()}
-    for rnd in range(1, k):
-        active = {p: c for p, c in chosen.items() if len(c) == rnd}
-        if not active:
-            break
-        scored = _with_nearest(
-            pts.where(F.col("part").isin(list(active))),
-            {p: [v for _, v in c] for p, c in active.items()},
-            ["part", "id", "v", "w"],
-            exclude={p: [i for i, _ in c] for p, c in active.items()},
-        )
-        wd = scored.select("part", "id", "v", (F.col("w") * F.col("dist")).alias("wd"))
-        key = F.expr(
-            f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
-        )
-        # Chosen points have a NULL distance; a NULL struct is skipped by min.
-        # (A filter on the kernel's output would be pushed below it and run
-        # the kernel twice.)
-        cand = F.when(F.col("wd").isNotNull(), F.struct(key.alias("key"), "id", "v"))
-        picks = wd.groupBy("part").agg(F.min(cand).alias("m"))
-        for r in picks.select("part", "m.id", "m.v").collect():
-            if r.id is not None:  # NULL: every point of the part is chosen already
-                chosen[r.part].append((r.id, [float(x) for x in r.v]))
+    cur = pts.select("part", "id", "v", "w", F.lit(None).cast("double").alias("dmin"), F.lit(False).alias("taken"))
+    base, held = 0, []
+    keep = ["part", "id", "v", "w", "dmin", "taken"]
+    try:
+        for rnd in range(1, k):
+            active = {p: c for p, c in chosen.items() if len(c) == rnd}
+            if not active:
+                break
+            rows = cur.where(F.col("part").isin(list(active)))
+            if rnd - base >= REBASE_EVERY:
+                folded = _with_nearest(
+                    rows,
+                    {p: [v for _, v in c[base:]] for p, c in active.items()},
+                    keep,
+                    exclude={p: [i for i, _ in c] for p, c in active.items()},
+                )
+                cur = _persist(
+                    folded.select(
+                        "part",
+                        "id",
+                        "v",
+                        "w",
+                        F.least("dmin", "dist").alias("dmin"),
+                        (F.col("taken") | F.col("dist").isNull()).alias("taken"),
+                    )
+                )
+                held.append(cur)
+                base = rnd
+                d = cur.select("part", "id", "v", "w", "taken", F.col("dmin").alias("d"))
+            else:
+                near = _with_nearest(
+                    rows,
+                    {p: [v for _, v in c[base:]] for p, c in active.items()},
+                    keep,
+                    exclude={p: [i for i, _ in c[base:]] for p, c in active.items()},
+                )
+                # An excluded (chosen) point has a NULL distance: mark it taken.
+                d = near.select(
+                    "part",
+                    "id",
+                    "v",
+                    "w",
+                    (F.col("taken") | F.col("dist").isNull()).alias("taken"),
+                    F.least("dmin", "dist").alias("d"),
+                )
+            wd = d.select("part", "id", "v", "taken", (F.col("w") * F.col("d")).alias("wd"))
+            key = F.expr(
+                f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
+            )
+            # Chosen points are skipped as a NULL struct, which min ignores (a
+            # filter on the kernel's output would be pushed below it and run
+            # the kernel twice).
+            cand = F.when(~F.col("taken"), F.struct(key.alias("key"), "id", "v"))
+            picks = wd.groupBy("part").agg(F.min(cand).alias("m"))
+            for r in picks.select("part", "m.id", "m.v").collect():
+                if r.id is not None:  # NULL: every point of the part is chosen already
+                    chosen[r.part].append((r.id, [float(x) for x in r.v]))
+            while len(held) > 1:  # the newest copy is materialized now
+                held.pop(0).unpersist()
+    finally:
+        for h in held:
+            h.unpersist()
     return chosen
 
 

@@ -260,3 +260,24 @@ def test_null_rows_are_dropped(spark):
     )
     sizes = {r.label: r.size for r in cluster_sizes(p, ctr(spark)).collect()}
     assert sizes == {0: 1, 1: 1}
+
+
+def test_rebased_running_distance_gives_the_same_seeds(spark, monkeypatch):
+    import tessera.operators.clustering as C
+
+    emb = _emb(spark)
+    monkeypatch.setattr(C, "REBASE_EVERY", 100)
+    plain = [(r.label, r.id) for r in seed_centers(emb, 11, seed=21).collect()]
+    monkeypatch.setattr(C, "REBASE_EVERY", 3)
+    rebased = [(r.label, r.id) for r in seed_centers(emb, 11, seed=21).collect()]
+    assert plain == rebased and len(plain) == 11
+
+
+def test_rebase_keeps_chosen_points_out(spark, monkeypatch):
+    import tessera.operators.clustering as C
+
+    monkeypatch.setattr(C, "REBASE_EVERY", 2)
+    p = pts(spark, [(i, [1.0, 1.0]) for i in (9, 2, 7, 4, 5, 1)])
+    ids = [r.id for r in seed_centers(p, 6, seed=3).orderBy("label").collect()]
+    assert sorted(ids) == [1, 2, 4, 5, 7, 9]
+    assert ids[1:] == sorted(ids[1:])
