@@ -14,11 +14,18 @@ same doubles as the SQL expression.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Ship this module's code with the UDF (by value), so that Python workers do
+# not need this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _matrix(v: pd.Series, dim: int) -> np.ndarray:
     if len(v) == 0:
