@@ -47,8 +47,10 @@ Q11 every draw is reproducible from ``seed``.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,6 +167,17 @@ def _assigned(pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str
     )
 
 
+def _local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small driver-side result (at most k·L rows) as a DataFrame.
+
+    Built through pandas and Arrow, it plans as a JVM ``LocalTableScan``; a
+    list of tuples would become a Python-backed RDD that every later job
+    converts again in Python workers.
+    """
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
+
+
 def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -381,7 +394,7 @@ def seed_centers(
     if not has_part and chosen and len(chosen.get(0, [])) < k:
         raise ValueError(f"k = {k} is above the number of points")
     rows = [(p, label, i, v) for p, c in sorted(chosen.items()) for label, (i, v) in enumerate(c)]
-    out = points.sparkSession.createDataFrame(rows, "part INT, label INT, id BIGINT, center ARRAY<DOUBLE>")
+    out = _local_frame(points.sparkSession, rows, "part INT, label INT, id BIGINT, center ARRAY<DOUBLE>")
     return out if has_part else out.drop("part")
 
 
@@ -523,7 +536,7 @@ def lloyd(
     finally:
         pts.unpersist()
     rows = [(p, labels[p][i], c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]
-    out = points.sparkSession.createDataFrame(rows, _CENTER_ROWS_SCHEMA)
+    out = _local_frame(points.sparkSession, rows, _CENTER_ROWS_SCHEMA)
     return out if has_part else out.drop("part")
 
 
@@ -552,7 +565,7 @@ def kmedian(
     if not has_part and len(state.get(0, _PartState([])).centers) < k:
         raise ValueError(f"k = {k} is above the number of points")
     rows = [(p, i, c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]
-    out = points.sparkSession.createDataFrame(rows, _CENTER_ROWS_SCHEMA)
+    out = _local_frame(points.sparkSession, rows, _CENTER_ROWS_SCHEMA)
     return out if has_part else out.drop("part")
 
 
@@ -589,7 +602,7 @@ def coreset(
         rows = _coreset_rows(pts, k, iterations, seed)
     finally:
         pts.unpersist()
-    return spark.createDataFrame(rows, "part INT, label INT, center ARRAY<DOUBLE>, w BIGINT")
+    return _local_frame(spark, rows, "part INT, label INT, center ARRAY<DOUBLE>, w BIGINT")
 
 
 def kmedian_mr(
@@ -600,6 +613,7 @@ def kmedian_mr(
     seed: int = 0,
     id_col: str = "id",
     vec_col: str = "v",
+    timings: dict | None = None,
 ) -> DataFrame:
     """Three-round MapReduce k-median: ``label, center, cost``.
 
@@ -607,8 +621,11 @@ def kmedian_mr(
     k-means++ and Lloyd on the coreset alone (k·parts rows, one Spark
     partition), coreset ids ``part·k + label``, zero weights dropped (Q5).
     Round 3: the mean distance of all points to the k centers, one scan with
-    the centers in the distance kernel.
+    the centers in the distance kernel. ``timings``, if given, receives the
+    seconds spent in each round (``round1`` .. ``round3``).
     """
+    clock = time.perf_counter
+    marks = [clock()]
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
@@ -617,16 +634,23 @@ def kmedian_mr(
         rows = _coreset_rows(pts, k, iterations, seed)
         if sum(w for *_, w in rows) < k:
             raise ValueError(f"k = {k} is above the number of points")
-        core = spark.createDataFrame(
+        marks.append(clock())
+        core = _local_frame(
+            spark,
             [(0, p * k + label, c, float(w)) for p, label, c, w in rows if w > 0],
             "part INT, id BIGINT, v ARRAY<DOUBLE>, w DOUBLE",
         ).coalesce(1)
         state = _run_kmedian(core, k, iterations, seed, False)[0]
+        marks.append(clock())
         everyone = pts.select(F.lit(0).alias("part"), "v", "w")
         near = _with_nearest(everyone, {0: state.centers}, ["w"])
         cost = near.agg(F.sum(F.col("w") * F.col("dist")) / F.sum("w")).first()[0]
+        marks.append(clock())
     finally:
         pts.unpersist()
-    return spark.createDataFrame(
+    if timings is not None:
+        timings.update({f"round{i + 1}": round(b - a, 3) for i, (a, b) in enumerate(zip(marks, marks[1:]))})
+    return _local_frame(
+        spark,
         [(i, c, float(cost)) for i, c in enumerate(state.centers)], "label INT, center ARRAY<DOUBLE>, cost DOUBLE"
     )
