@@ -23,9 +23,10 @@ How it runs at scale
 * Seeding keeps a running minimum distance, rewritten only every
   ``REBASE_EVERY`` rounds; in between, a round measures the centers chosen
   since the last rewrite. That bounds both the distance work (O(k) per point)
-  and the data rewritten (k / REBASE_EVERY copies), and the lineage grows by
-  one projection per rewrite, so an executor loss recomputes only its own
-  partitions through a short chain; no checkpoint is needed.
+  and the data rewritten (k / REBASE_EVERY copies). The lineage grows by one
+  projection per rewrite, and every ``CHECKPOINT_EVERY_REBASES``-th rewrite is
+  a checkpoint into ``spark.checkpoint.dir``, so an executor loss recomputes
+  only its own partitions through a chain of a few projections.
 * Randomness is a hash of (seed, round, id): reruns, retried tasks and plain
   SQL all draw the same numbers.
 
@@ -64,6 +65,7 @@ MAX_CENTERS = 1_000_000  # rows read from a centers table before refusing it
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
 WIDE_VECTOR = 96  # above this width, coordinate sums go through posexplode
 REBASE_EVERY = 8  # seeding rounds between two rewrites of the running distance
+CHECKPOINT_EVERY_REBASES = 8  # every 8th rewrite is a checkpoint, which cuts the lineage
 
 _INF = float("inf")
 
@@ -178,6 +180,21 @@ def _local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
 
 
+def _checkpoint(df: DataFrame) -> DataFrame | None:
+    """Write ``df`` to the session's checkpoint folder and cut its lineage.
+
+    Uses the shared folder the cluster names in ``spark.checkpoint.dir``;
+    without one, returns None and the caller keeps a persisted copy instead.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            return None
+        sc.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
+
+
 def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -208,7 +225,7 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
     first = pts.groupBy("part").agg(F.min(F.struct(u0.alias("key"), "id", "v")).alias("m"))
     chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in first.select("part", "m.id", "m.v").collect()}
     cur = pts.select("part", "id", "v", "w", F.lit(None).cast("double").alias("dmin"), F.lit(False).alias("taken"))
-    base, held = 0, []
+    base, held, rebases = 0, [], 0
     keep = ["part", "id", "v", "w", "dmin", "taken"]
     try:
         for rnd in range(1, k):
@@ -223,17 +240,21 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
                     keep,
                     exclude={p: [i for i, _ in c] for p, c in active.items()},
                 )
-                cur = _persist(
-                    folded.select(
-                        "part",
-                        "id",
-                        "v",
-                        "w",
-                        F.least("dmin", "dist").alias("dmin"),
-                        (F.col("taken") | F.col("dist").isNull()).alias("taken"),
-                    )
+                rebased = folded.select(
+                    "part",
+                    "id",
+                    "v",
+                    "w",
+                    F.least("dmin", "dist").alias("dmin"),
+                    (F.col("taken") | F.col("dist").isNull()).alias("taken"),
                 )
-                held.append(cur)
+                rebases += 1
+                cut = _checkpoint(rebased) if rebases % CHECKPOINT_EVERY_REBASES == 0 else None
+                if cut is not None:
+                    cur = cut
+                else:
+                    cur = _persist(rebased)
+                    held.append(cur)
                 base = rnd
                 d = cur.select("part", "id", "v", "w", "taken", F.col("dmin").alias("d"))
             else:
@@ -264,7 +285,7 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
             for r in picks.select("part", "m.id", "m.v").collect():
                 if r.id is not None:  # NULL: every point of the part is chosen already
                     chosen[r.part].append((r.id, [float(x) for x in r.v]))
-            while len(held) > 1:  # the newest copy is materialized now
+            while len(held) > (1 if held and cur is held[-1] else 0):  # older copies are no longer read
                 held.pop(0).unpersist()
     finally:
         for h in held:

@@ -281,3 +281,14 @@ def test_rebase_keeps_chosen_points_out(spark, monkeypatch):
     ids = [r.id for r in seed_centers(p, 6, seed=3).orderBy("label").collect()]
     assert sorted(ids) == [1, 2, 4, 5, 7, 9]
     assert ids[1:] == sorted(ids[1:])
+
+
+def test_checkpointed_rebase_gives_the_same_seeds(spark, monkeypatch):
+    import tessera.operators.clustering as C
+
+    emb = _emb(spark)
+    plain = [(r.label, r.id) for r in seed_centers(emb, 9, seed=5).collect()]
+    monkeypatch.setattr(C, "REBASE_EVERY", 2)
+    monkeypatch.setattr(C, "CHECKPOINT_EVERY_REBASES", 2)
+    cut = [(r.label, r.id) for r in seed_centers(emb, 9, seed=5).collect()]
+    assert plain == cut
