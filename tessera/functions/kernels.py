@@ -19,7 +19,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Ship this module's code with the UDF (by value), so that Python workers do
@@ -104,3 +104,67 @@ def nearest_center(
         return compute(parts.to_numpy(), vs, iv.to_numpy())
 
     return kernel_ex(c(part), c(v), c(ids))
+
+
+RACE_SCHEMA = "part INT, key DOUBLE, id BIGINT, v ARRAY<DOUBLE>"
+
+
+def race_winners(
+    df: DataFrame,
+    centers: dict[int, list[list[float]]] | None = None,
+    exclude: dict[int, list[int]] | None = None,
+    uniform_only: bool = False,
+) -> DataFrame:
+    """Per Arrow batch and part, the candidate with the smallest (key, id).
+
+    ``df`` holds ``part, id, v, w, u, dmin, taken``. The distance d is the
+    smaller of ``dmin`` and the distance to the part's ``centers``; the key
+    is -ln(u) / (w·d), or +Infinity when w·d is 0, or ``u`` itself when
+    ``uniform_only``. Points in ``exclude`` or ``taken`` do not run. Only the
+    winners leave Python, so Spark's final ``min`` over (key, id) sees a few
+    rows per batch instead of every point.
+    """
+    mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in (centers or {}).items() if cs}
+    skip = {int(p): np.asarray(sorted(i), dtype=np.int64) for p, i in (exclude or {}).items()}
+    dim = next(iter(mats.values())).shape[1] if mats else 0
+
+    def run(batches):
+        for b in batches:
+            if len(b) == 0:
+                continue
+            pv = b["part"].to_numpy()
+            iv = b["id"].to_numpy()
+            u = b["u"].to_numpy(dtype=np.float64)
+            ok = ~b["taken"].to_numpy(dtype=bool)
+            if uniform_only:
+                key = u
+            else:
+                d = b["dmin"].to_numpy(dtype=np.float64, na_value=np.nan)
+                if mats:
+                    x = _matrix(b["v"], dim)
+                    for p in np.unique(pv):
+                        rows = np.flatnonzero(pv == p)
+                        c = mats.get(int(p))
+                        if c is not None:
+                            d[rows] = np.fmin(d[rows], _distances(x[rows], c).min(axis=1))
+                        if int(p) in skip:
+                            ok[rows[np.isin(iv[rows], skip[int(p)])]] = False
+                wd = b["w"].to_numpy(dtype=np.float64) * d
+                key = np.full(len(b), np.inf)
+                pos = wd > 0
+                key[pos] = -np.log(u[pos]) / wd[pos]
+            idx = np.flatnonzero(ok)
+            if len(idx) == 0:
+                continue
+            order = idx[np.lexsort((iv[idx], key[idx], pv[idx]))]
+            first = order[np.r_[True, pv[order][1:] != pv[order][:-1]]]
+            yield pd.DataFrame(
+                {
+                    "part": pv[first].astype(np.int32),
+                    "key": key[first],
+                    "id": iv[first],
+                    "v": [np.asarray(b["v"].iloc[i], dtype=np.float64) for i in first],
+                }
+            )
+
+    return df.mapInPandas(run, RACE_SCHEMA)

@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket, col, uniform_sql
-from tessera.functions.kernels import nearest_center
+from tessera.functions.kernels import nearest_center, race_winners
 
 # Fixed values.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -211,7 +211,9 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
     that picks each point with probability w·d / sum(w·d) in one pass, with no
     ordered prefix sum. When every w·d is 0 the key is +Infinity for all and
     the lowest unchosen id wins. Each round is one scan and one aggregate by
-    part; only the L picks come back.
+    part; the key is computed next to the distances in each Arrow batch, which
+    passes on only its best candidate per part (a partial aggregate before the
+    shuffle), and only the L picks come back to the driver.
 
     d is the minimum over a stored ``dmin`` (the centers up to ``base``) and
     the kernel's distance to the centers chosen since. Every
@@ -221,10 +223,15 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
     with a lineage of one projection per rebase. ``taken`` marks the points
     chosen before the last rebase.
     """
-    u0 = F.expr(uniform_sql(seed, 0, col("id")))
-    first = pts.groupBy("part").agg(F.min(F.struct(u0.alias("key"), "id", "v")).alias("m"))
-    chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in first.select("part", "m.id", "m.v").collect()}
     cur = pts.select("part", "id", "v", "w", F.lit(None).cast("double").alias("dmin"), F.lit(False).alias("taken"))
+
+    def pick(rows: DataFrame, rnd: int, **race) -> list:
+        drawn = rows.withColumn("u", F.expr(uniform_sql(seed, rnd, col("id"))))
+        winners = race_winners(drawn, **race)
+        best = winners.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("m"))
+        return best.select("part", "m.id", "m.v").collect()
+
+    chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in pick(cur, 0, uniform_only=True)}
     base, held, rebases = 0, [], 0
     keep = ["part", "id", "v", "w", "dmin", "taken"]
     try:
@@ -256,33 +263,15 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
                     cur = _persist(rebased)
                     held.append(cur)
                 base = rnd
-                d = cur.select("part", "id", "v", "w", "taken", F.col("dmin").alias("d"))
+                picks = pick(cur.where(F.col("part").isin(list(active))), rnd)
             else:
-                near = _with_nearest(
+                picks = pick(
                     rows,
-                    {p: [v for _, v in c[base:]] for p, c in active.items()},
-                    keep,
+                    rnd,
+                    centers={p: [v for _, v in c[base:]] for p, c in active.items()},
                     exclude={p: [i for i, _ in c[base:]] for p, c in active.items()},
                 )
-                # An excluded (chosen) point has a NULL distance: mark it taken.
-                d = near.select(
-                    "part",
-                    "id",
-                    "v",
-                    "w",
-                    (F.col("taken") | F.col("dist").isNull()).alias("taken"),
-                    F.least("dmin", "dist").alias("d"),
-                )
-            wd = d.select("part", "id", "v", "taken", (F.col("w") * F.col("d")).alias("wd"))
-            key = F.expr(
-                f"CASE WHEN wd > 0 THEN -ln({uniform_sql(seed, rnd, col('id'))}) / wd ELSE double('Infinity') END"
-            )
-            # Chosen points are skipped as a NULL struct, which min ignores (a
-            # filter on the kernel's output would be pushed below it and run
-            # the kernel twice).
-            cand = F.when(~F.col("taken"), F.struct(key.alias("key"), "id", "v"))
-            picks = wd.groupBy("part").agg(F.min(cand).alias("m"))
-            for r in picks.select("part", "m.id", "m.v").collect():
+            for r in picks:
                 if r.id is not None:  # NULL: every point of the part is chosen already
                     chosen[r.part].append((r.id, [float(x) for x in r.v]))
             while len(held) > (1 if held and cur is held[-1] else 0):  # older copies are no longer read
