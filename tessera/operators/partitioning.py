@@ -16,7 +16,9 @@ def spread(df: DataFrame, parts: int | None = None) -> DataFrame:
     """
     if parts:
         return df.repartition(parts)
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        pieces = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the input as it is
+        return df
+    return df.repartition(slots) if pieces < slots else df
