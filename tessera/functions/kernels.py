@@ -28,12 +28,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _matrix(v: pd.Series, dim: int) -> np.ndarray:
+    """The batch's vectors as an (n, dim) matrix; refuses ragged, NULL or
+    non-finite coordinates (a distance to them is meaningless)."""
     if len(v) == 0:
         return np.empty((0, dim))
     arrs = v.to_numpy()
     if any(len(a) != dim for a in arrs):
         raise ValueError("vectors of different length")
-    return np.stack(arrs).astype(np.float64, copy=False)
+    x = np.stack(arrs)
+    if x.dtype == object:
+        raise ValueError("NULL coordinate in a point")
+    x = x.astype(np.float64, copy=False)
+    if not np.isfinite(x).all():
+        raise ValueError("non-finite coordinate in a point")
+    return x
 
 
 def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:

@@ -292,3 +292,10 @@ def test_checkpointed_rebase_gives_the_same_seeds(spark, monkeypatch):
     monkeypatch.setattr(C, "CHECKPOINT_EVERY_REBASES", 2)
     cut = [(r.label, r.id) for r in seed_centers(emb, 9, seed=5).collect()]
     assert plain == cut
+
+
+@pytest.mark.parametrize("bad", [[1.0, None], [1.0, float("nan")], [float("inf"), 0.0]])
+def test_bad_coordinates_are_refused(spark, bad):
+    p = pts(spark, [(0, [0.0, 0.0]), (1, bad)])
+    with pytest.raises(Exception, match="NULL coordinate|non-finite"):
+        assign_nearest(p, ctr(spark)).collect()
