@@ -199,6 +199,20 @@ def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _persist_points(df: DataFrame) -> DataFrame:
+    """Keep the points between the rounds of a clustering.
+
+    ``tessera.pointsStorageLevel`` (a ``StorageLevel`` name, default
+    MEMORY_AND_DISK) chooses how; ``NONE`` re-reads the pruned source columns
+    in every round instead, for inputs larger than the cluster's memory and
+    local disks.
+    """
+    level = df.sparkSession.conf.get("tessera.pointsStorageLevel", "MEMORY_AND_DISK").upper()
+    if level == "NONE":
+        return df
+    return df.persist(getattr(StorageLevel, level))
+
+
 # ---------------------------------------------------------------- seeding
 
 
@@ -396,7 +410,7 @@ def seed_centers(
     """
     _check_args(k=k)
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    pts = _persist(pts)
+    pts = _persist_points(pts)
     try:
         chosen = _seed(pts, k, seed)
     finally:
@@ -540,7 +554,7 @@ def lloyd(
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
     by_part = _collect_centers(centers, has_part)
     labels = {p: [lab for lab, _ in cs] for p, cs in by_part.items()}
-    pts = _persist(pts)
+    pts = _persist_points(pts)
     try:
         state = _lloyd(pts, {p: [c for _, c in cs] for p, cs in by_part.items()}, iterations, False)
     finally:
@@ -567,7 +581,7 @@ def kmedian(
     """
     _check_args(k=k, iterations=iterations)
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    pts = _persist(pts)
+    pts = _persist_points(pts)
     try:
         state = _run_kmedian(pts, k, iterations, seed, False)
     finally:
@@ -607,7 +621,7 @@ def coreset(
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
-    pts = _persist(pts)
+    pts = _persist_points(pts)
     try:
         rows = _coreset_rows(pts, k, iterations, seed)
     finally:
@@ -639,7 +653,7 @@ def kmedian_mr(
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
-    pts = _persist(pts)
+    pts = _persist_points(pts)
     try:
         rows = _coreset_rows(pts, k, iterations, seed)
         if sum(w for *_, w in rows) < k:

@@ -299,3 +299,14 @@ def test_bad_coordinates_are_refused(spark, bad):
     p = pts(spark, [(0, [0.0, 0.0]), (1, bad)])
     with pytest.raises(Exception, match="NULL coordinate|non-finite"):
         assign_nearest(p, ctr(spark)).collect()
+
+
+def test_points_can_be_reread_instead_of_cached(spark):
+    emb = _emb(spark)
+    cached = [(r.label, r.center) for r in kmedian(emb, 3, 2, seed=8).orderBy("label").collect()]
+    spark.conf.set("tessera.pointsStorageLevel", "NONE")
+    try:
+        reread = [(r.label, r.center) for r in kmedian(emb, 3, 2, seed=8).orderBy("label").collect()]
+    finally:
+        spark.conf.unset("tessera.pointsStorageLevel")
+    assert cached == reread
