@@ -154,13 +154,15 @@ def _with_nearest(
     return pts.select(*keep, nn).select(*keep, F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist"))
 
 
-def _assigned(pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str]) -> DataFrame:
+def _assigned(
+    pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str], by_part: dict | None = None
+) -> DataFrame:
     """Points of the parts that have centers, with ``label`` and ``dist``.
 
     Points of a part without centers have no nearest center and are left out
     (the part filter is on a stored column, so it reaches the scan).
     """
-    by_part = _collect_centers(centers, has_part)
+    by_part = by_part if by_part is not None else _collect_centers(centers, has_part)
     return _with_nearest(
         pts.where(F.col("part").isin(list(by_part))),
         {p: [c for _, c in cs] for p, cs in by_part.items()},
@@ -511,8 +513,9 @@ def lloyd_step(
     coordinate sums are one aggregate per (part, label), partial per task.
     """
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    a = _assigned(pts, centers, has_part, ["part", "w", "v"])
-    dim = max((len(c) for cs in _collect_centers(centers, has_part).values() for _, c in cs), default=0)
+    by_part = _collect_centers(centers, has_part)
+    a = _assigned(pts, centers, has_part, ["part", "w", "v"], by_part)
+    dim = max((len(c) for cs in by_part.values() for _, c in cs), default=0)
     sums = F.expr("array(" + ", ".join(f"sum(w * v[{i}])" for i in range(dim)) + ")").alias("sx")
     per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), sums).withColumn(
         "old", F.lit(None).cast("array<double>")
