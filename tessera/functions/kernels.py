@@ -176,3 +176,50 @@ def race_winners(
             )
 
     return df.mapInPandas(run, RACE_SCHEMA)
+
+
+def cluster_partials(df: DataFrame, centers: dict[int, list[list[float]]]) -> DataFrame:
+    """Per Arrow batch, part and nearest center: count, Σw, Σw·d and Σw·v.
+
+    ``df`` holds ``part, v, w``. Assignment follows :func:`nearest_center`
+    (ties to the first center); only these partial sums, at most k per part
+    and batch, leave Python, and Spark adds them up by (part, label).
+    """
+    mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in centers.items() if cs}
+    dim = next(iter(mats.values())).shape[1] if mats else 0
+
+    def run(batches):
+        for b in batches:
+            if len(b) == 0:
+                continue
+            pv = b["part"].to_numpy()
+            wv = b["w"].to_numpy(dtype=np.float64)
+            x = _matrix(b["v"], dim)
+            for p in np.unique(pv):
+                c = mats.get(int(p))
+                if c is None:
+                    continue
+                rows = np.flatnonzero(pv == p)
+                d = _distances(x[rows], c)
+                idx = np.argmin(d, axis=1)
+                dist = d[np.arange(len(rows)), idx]
+                w = wv[rows]
+                k = c.shape[0]
+                cnt = np.bincount(idx, minlength=k)
+                sw = np.bincount(idx, weights=w, minlength=k)
+                sd = np.bincount(idx, weights=w * dist, minlength=k)
+                hit = np.flatnonzero(cnt)
+                xr = x[rows]
+                sx = {int(i): w[idx == i] @ xr[idx == i] for i in hit}
+                yield pd.DataFrame(
+                    {
+                        "part": np.full(len(hit), p, dtype=np.int32),
+                        "label": hit.astype(np.int32),
+                        "cnt": cnt[hit].astype(np.int64),
+                        "sw": sw[hit],
+                        "sd": sd[hit],
+                        "sx": [sx[int(i)] for i in hit],
+                    }
+                )
+
+    return df.mapInPandas(run, "part INT, label INT, cnt BIGINT, sw DOUBLE, sd DOUBLE, sx ARRAY<DOUBLE>")

@@ -57,13 +57,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket, col, uniform_sql
-from tessera.functions.kernels import nearest_center, race_winners
+from tessera.functions.kernels import cluster_partials, nearest_center, race_winners
 
 # Fixed values.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 MAX_CENTERS = 1_000_000  # rows read from a centers table before refusing it
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
-WIDE_VECTOR = 96  # above this width, coordinate sums go through posexplode
 REBASE_EVERY = 8  # seeding rounds between two rewrites of the running distance
 CHECKPOINT_EVERY_REBASES = 8  # every 8th rewrite is a checkpoint, which cuts the lineage
 
@@ -312,29 +311,21 @@ class _PartState:
 
 
 def _pass(pts: DataFrame, centers: dict[int, list[list[float]]]) -> dict[int, dict[int, tuple]]:
-    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v."""
+    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v.
+
+    The Arrow step assigns each batch's points and sums them per nearest
+    center, so at most k rows per part and batch reach Spark's aggregate.
+    """
+    _check_model(pts.sparkSession, centers)
     dim = max(len(c) for cs in centers.values() for c in cs)
-    a = _with_nearest(pts.where(F.col("part").isin(list(centers))), centers, ["part", "w", "v"])
-    base = [
-        F.count(F.lit(1)).alias("cnt"),
-        F.sum("w").alias("sw"),
-        F.sum(F.col("w") * F.col("dist")).alias("sd"),
-    ]
+    partial = cluster_partials(pts.where(F.col("part").isin(list(centers))).select("part", "v", "w"), centers)
+    sums = F.expr("array(" + ", ".join(f"sum(sx[{j}])" for j in range(dim)) + ")").alias("sx")
+    total = partial.groupBy("part", "label").agg(
+        F.sum("cnt").alias("cnt"), F.sum("sw").alias("sw"), F.sum("sd").alias("sd"), sums
+    )
     out: dict[int, dict[int, tuple]] = {}
-    if dim <= WIDE_VECTOR:
-        sums = F.expr("array(" + ", ".join(f"sum(w * v[{j}])" for j in range(dim)) + ")").alias("sx")
-        for r in a.groupBy("part", "label").agg(*base, sums).collect():
-            out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, list(r.sx))
-        return out
-    a = _persist(a)
-    try:
-        for r in a.groupBy("part", "label").agg(*base).collect():
-            out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, [0.0] * dim)
-        coords = a.select("part", "label", "w", F.posexplode("v").alias("j", "x"))
-        for r in coords.groupBy("part", "label", "j").agg(F.sum(F.col("w") * F.col("x")).alias("s")).collect():
-            out[r.part][r.label][3][r.j] = r.s
-    finally:
-        a.unpersist()
+    for r in total.collect():
+        out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, list(r.sx))
     return out
 
 

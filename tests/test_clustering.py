@@ -199,18 +199,16 @@ def test_zero_weight_coreset_points_are_dropped(spark):
     assert len(out) == 1 and out[0].center == [1.0, 2.0] and out[0].cost == 0.0
 
 
-def test_wide_vectors_take_the_exploded_path(spark, monkeypatch):
-    import tessera.operators.clustering as C
-
-    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
-        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
-    )
+def test_doubled_vectors_give_doubled_centers(spark):
+    # Repeating every vector scales all distances by sqrt(2): the same seeds,
+    # assignments and means, so each center is the 64-wide center repeated.
+    emb = _emb(spark)
+    wide = emb.select("id", F.concat("v", "v").alias("v"))
     narrow = {r.label: r.center for r in kmedian(emb, 3, 2, seed=1).collect()}
-    monkeypatch.setattr(C, "WIDE_VECTOR", 1)
-    wide = {r.label: r.center for r in kmedian(emb, 3, 2, seed=1).collect()}
-    assert narrow.keys() == wide.keys()
+    doubled = {r.label: r.center for r in kmedian(wide, 3, 2, seed=1).collect()}
+    assert narrow.keys() == doubled.keys()
     for lab in narrow:
-        assert narrow[lab] == pytest.approx(wide[lab], abs=1e-12)
+        assert doubled[lab] == pytest.approx(narrow[lab] + narrow[lab], abs=1e-12)
 
 
 def test_sql_nearest_matches_kernel(spark):
