@@ -308,3 +308,9 @@ def test_points_can_be_reread_instead_of_cached(spark):
     finally:
         spark.conf.unset("tessera.pointsStorageLevel")
     assert cached == reread
+
+
+def test_mr_reports_round_times(spark):
+    t = {}
+    kmedian_mr(pts(spark), 2, 2, 1, seed=3, timings=t)
+    assert set(t) == {"round1", "round2", "round3"} and all(v >= 0 for v in t.values())
