@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_words
+from tessera.sources.text import _number
 
 
 def _checked(v):
@@ -20,7 +21,7 @@ def parse_points(df: DataFrame, text_col: str = "value", id_col: str | None = No
     ``id_col`` the id is ``monotonically_increasing_id()``.
     """
     ident = F.col(id_col).cast("long") if id_col else F.monotonically_increasing_id()
-    v = F.transform(split_words(F.col(text_col)), lambda t: t.cast("double"))
+    v = F.transform(split_words(F.col(text_col)), _number)
     return df.where(F.col(text_col).isNotNull()).select(ident.alias("id"), _checked(v).alias("v"))
 
 

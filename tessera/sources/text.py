@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from tessera.functions.text import split_lines
 
 
+def _number(token):
+    """The token as a double; a malformed token fails the query in any SQL
+    mode (ANSI casting already fails; without ANSI the cast gives NULL)."""
+    x = token.cast("double")
+    return F.when(x.isNull(), F.raise_error(F.concat(F.lit("not a number: "), token))).otherwise(x)
+
+
 def parse_numbers(df: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Whitespace-separated numbers of a text column, one row per number.
 
@@ -21,7 +28,7 @@ def parse_numbers(df: DataFrame, text_col: str = "value", keep: Sequence[str] =
     return (
         df.where(F.col(text_col).isNotNull())
         .select(*keep, F.posexplode(tokens).alias("pos", "token"))
-        .select(*keep, "pos", F.col("token").cast("double").alias("x"))
+        .select(*keep, "pos", _number(F.col("token")).alias("x"))
     )
 
 

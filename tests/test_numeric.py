@@ -65,3 +65,13 @@ def test_one_pass_plan(spark):
     plan = harmonic_mean(nums(spark, [1, 2]), "x")._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" not in plan and "Join" not in plan
     assert F is not None
+
+
+def test_malformed_number_fails_without_ansi_too(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("1.0 abc",)], "value STRING")
+        with pytest.raises(PySparkException):
+            parse_numbers(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
