@@ -54,3 +54,13 @@ def test_seed_round_evaluates_kernel_once(spark):
     assert plan(kmedian_cost(emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), centers)).count(
         "ArrowEvalPython"
     ) == 1
+
+
+def test_no_row_caps_or_sampling_in_registered_queries(spark):
+    for name, q in E.queries().items():
+        p = plan(q(spark, SF_SMALL))
+        if name == "max_value_sorted":  # the top-1 is the operator itself
+            assert "TakeOrderedAndProject" in p or "Limit" in p
+            continue
+        for word in ("Limit", "Sample", "TakeOrdered"):
+            assert word not in p, (name, word)
