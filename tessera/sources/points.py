@@ -28,8 +28,13 @@ def parse_points(df: DataFrame, text_col: str = "value", id_col: str | None = No
 def read_points(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """A point-per-line text file or folder as ``id BIGINT, v ARRAY<DOUBLE>``."""
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
+    if min_partitions:
+        try:
+            few = df.rdd.getNumPartitions() < min_partitions
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+            few = True
+        if few:
+            df = df.repartition(min_partitions)
     return parse_points(df, "value")
 
 
