@@ -82,3 +82,15 @@ def test_doc_term_counts_and_tokenize_positions(spark):
     assert tf == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 1}
     toks = tokenize(lines(df), "line", keep=("doc_id", "line_no")).orderBy("doc_id", "pos").collect()
     assert [(r.doc_id, r.pos, r.word) for r in toks] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "a"), (2, 0, "b")]
+
+
+def test_spread_only_when_the_input_is_in_few_pieces(spark):
+    from tessera import spread
+
+    slots = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, slots * 2)
+    assert spread(many) is many
+    one = spark.range(0, 1000, 1, 1)
+    assert spread(one).rdd.getNumPartitions() == slots
+    assert spread(one, parts=3).rdd.getNumPartitions() == 3
+    assert sorted(r.id for r in spread(one).collect()) == list(range(1000))
