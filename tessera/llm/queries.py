@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import quality_rules, simhash, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,9 +18,61 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules of the URL query, and of its SQL.
+URL_RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of the pages whose page_id is divisible by 50; every page is judged."""
+    pages = _read(spark, sf_dir, "pages")
+    return urls.filter_urls(pages, pages.where(F.col("page_id") % 50 == 0), URL_RULES)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return judged.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr",
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op7_urls": op7_urls,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 #: DuckDB SQL where it can express an operator; the others are tested against brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_urls": r"""
+WITH parts AS (
+  SELECT page_id, url,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS params
+  FROM pages),
+named AS (
+  SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN
+    regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical
+  FROM parts),
+listed AS (SELECT DISTINCT canonical FROM named WHERE page_id % 50 = 0 AND canonical IS NOT NULL),
+rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+ruled AS (
+  SELECT n.page_id, n.host, n.path, n.canonical,
+    (SELECT max_by(r.host || r.path, length(r.host || r.path)) FROM rules r
+     WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path)) AS rule
+  FROM named n)
+SELECT page_id, u.host, u.path, rule, coalesce(r.verdict, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled u LEFT JOIN rules r ON rule = r.host || r.path LEFT JOIN listed l ON u.canonical = l.canonical
+""",
+}
