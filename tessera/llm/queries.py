@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality_rules, simhash, urls
+from tessera.llm import mixing, quality_rules, simhash, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), total_share=1.5, limit=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 #: Rules of the URL query, and of its SQL.
 URL_RULES = (
     urls.Rule("allow", "org", "/"),
@@ -44,6 +49,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_mixing": op4_mixing,
     "op7_urls": op7_urls,
     "op8_quality_rules": op8_quality_rules,
 }
