@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, quality_rules, simhash, urls
+from tessera.llm import decontaminate, mixing, quality_rules, simhash, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminations(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "distance", "edits")
+
+
 #: Rules of the URL query, and of its SQL.
 URL_RULES = (
     urls.Rule("allow", "org", "/"),
@@ -50,6 +55,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_mixing": op4_mixing,
+    "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
     "op8_quality_rules": op8_quality_rules,
 }
