@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing, quality_rules, simhash, urls
+from tessera.llm import decontaminate, mixing, quality_rules, simhash, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with a repeated passage; the others have none."""
+    found = substrings.repeats(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chunks", "repeated_words", "removed_words", "firsts",
+        F.size("spans").alias("n_spans"), F.size("removed").alias("n_removed"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), total_share=1.5, limit=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -54,6 +63,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_substrings": op2_substrings,
     "op4_mixing": op4_mixing,
     "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
