@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing, quality_rules, simhash, substrings, urls
+from tessera.llm import decontaminate, lines, mixing, quality_rules, simhash, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.dedup_lines(_read(spark, sf_dir, "documents"))
+    return left.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_deleted",
+        F.size(F.split("text", "\n", -1)).alias("n_lines_left"),
+        F.length("text").alias("n_chars_left"),
+        F.xxhash64("text").alias("text_digest"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -68,6 +79,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
     "op8_quality_rules": op8_quality_rules,
+    "op10_lines": op10_lines,
 }
 
 #: DuckDB SQL where it can express an operator; the others are tested against brute force.
