@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, lines, mixing, quality_rules, simhash, substrings, urls
+from tessera.llm import decontaminate, language_model, lines, mixing, quality_rules, simhash, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminations(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "distance", "edits")
@@ -76,6 +80,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
     "op4_mixing": op4_mixing,
+    "op5_language_model": op5_language_model,
     "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
     "op8_quality_rules": op8_quality_rules,
