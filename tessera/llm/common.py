@@ -54,4 +54,9 @@ def as_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
+    """Whether the CRC-32 of the doc_id's digits leaves the remainder; a NULL doc_id never does."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
 ship_by_value(__name__)

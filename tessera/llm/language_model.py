@@ -16,10 +16,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_bytes, materialize, ship_by_value
+from tessera.llm.common import as_bytes, held_out, materialize, ship_by_value
 
 #: Bits per entry and probes of the filter, and the most bytes it may take (the bound of the broadcast).
 BITS, PROBES, MAX_BYTES = 8, 4, 128 << 20
@@ -149,11 +149,6 @@ class Model(NamedTuple):
         return np.log10((pair + self.prior * own) / (context + self.prior))
 
 
-def is_held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
-    """Whether the CRC-32 of the doc_id's digits leaves the remainder; a NULL doc_id never does."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
-
-
 def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values, counts = np.unique(h, return_counts=True)
     return values, counts.astype(np.int64)
@@ -254,7 +249,7 @@ def score(
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
-        is_held_out(F.col(id_col), held_out_of, held_out_remainder).alias("held_out"),
+        held_out(F.col(id_col), held_out_of, held_out_remainder).alias("held_out"),
         as_bytes(F.col(text_col)).alias("text"),
     )
     model, counts = train(rows.where("NOT held_out").select("text"), max_bytes, head_words, prior)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language_model, lines, mixing, quality_rules, simhash, substrings, urls
+from tessera.llm import decontaminate, language_model, lines, mixing, quality_rules, rule_ensemble, simhash, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = lines.dedup_lines(_read(spark, sf_dir, "documents"))
     return left.select(
@@ -84,6 +88,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
     "op8_quality_rules": op8_quality_rules,
+    "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lines": op10_lines,
 }
 
