@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language_model, lines, mixing, quality_rules, rule_ensemble, simhash, substrings, urls
+import corpus_pipeline
+from tessera.llm import decontaminate, language_model, licenses, lines, mixing, quality_rules, rule_ensemble, simhash, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line", "family", "probability", "similarity")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), total_share=1.5, limit=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -83,6 +89,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
+    "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_language_model": op5_language_model,
     "op6_decontaminate": op6_decontaminate,
@@ -90,6 +97,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lines": op10_lines,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL where it can express an operator; the others are tested against brute force.
