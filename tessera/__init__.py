@@ -35,4 +35,4 @@ from tessera.operators.clustering import (  # noqa: F401
 )
 from tessera.operators.partitioning import spread  # noqa: F401
 from tessera.sources.text import lines, parse_numbers, read_documents, read_numbers  # noqa: F401
-from tessera.sources.points import parse_points, points_from_table, read_points  # noqa: F401
+from tessera.sources.points import parse_points, read_points  # noqa: F401

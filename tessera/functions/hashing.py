@@ -53,9 +53,5 @@ def bucket_sql(n: int, *parts) -> str:
     return f"CAST(pmod({hash52_sql(*parts)}, {int(n)}) AS INT)"
 
 
-def uniform(*parts) -> Column:
-    return F.expr(uniform_sql(*parts))
-
-
 def bucket(n: int, *parts) -> Column:
     return F.expr(bucket_sql(n, *parts))

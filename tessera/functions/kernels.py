@@ -1,11 +1,11 @@
-"""Arrow-batched distance kernel: the one hot spot that leaves the JVM.
+"""Arrow-batched distance kernels: the one hot spot that leaves the JVM.
 
 Spark's higher-order functions evaluate a 64-wide distance at tens of
 microseconds (boxed elements, interpreted lambdas), and written-out arithmetic
-grows past the JIT's method size. This ``pandas_udf`` receives a batch of
-points as one Arrow column, stacks it into a matrix and measures it against
-the k centers of each part with vectorized NumPy. It only maps rows to rows;
-grouping, shuffling and aggregation stay in Spark.
+grows past the JIT's method size. These steps view each Arrow batch of points
+as a matrix, without a Python object per row, and measure it against the
+centers of each part with NumPy. A task adds up what its batches give and
+returns one row per part or per (part, label); Spark does the rest.
 
 Squares are added coordinate by coordinate from the first on, the order of
 ``aggregate(zip_with(...), 0D, (s, e) -> s + e)``, so the results are the
@@ -15,36 +15,39 @@ same doubles as the SQL expression.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-# Ship this module's code with the UDF (by value), so that Python workers do
+# Ship this module's code with the step (by value), so that Python workers do
 # not need this package installed or on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: The centers of each part: a (k, dim) matrix.
+Model = dict[int, np.ndarray]
 
-def _matrix(v: pd.Series, dim: int) -> np.ndarray:
-    """The batch's vectors as an (n, dim) matrix; refuses ragged, NULL or
-    non-finite coordinates (a distance to them is meaningless)."""
-    if len(v) == 0:
-        return np.empty((0, dim))
-    arrs = v.to_numpy()
-    if any(len(a) != dim for a in arrs):
+NEAREST_SCHEMA = "part INT, id BIGINT, label INT, dist DOUBLE"
+RACE_SCHEMA = "part INT, key DOUBLE, id BIGINT, v ARRAY<DOUBLE>"
+PARTIAL_SCHEMA = "part INT, label INT, cnt BIGINT, sw DOUBLE, sd DOUBLE, sx ARRAY<DOUBLE>"
+
+
+def matrix(v: pa.ListArray, dim: int) -> np.ndarray:
+    """A batch's vectors as an (n, dim) matrix of doubles; refuses ragged, NULL or non-finite coordinates."""
+    if (np.diff(v.offsets.to_numpy()) != dim).any():
         raise ValueError("vectors of different length")
-    x = np.stack(arrs)
-    if x.dtype == object:
+    flat = v.flatten()
+    if flat.null_count:
         raise ValueError("NULL coordinate in a point")
-    x = x.astype(np.float64, copy=False)
+    x = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(v), dim)
     if not np.isfinite(x).all():
         raise ValueError("non-finite coordinate in a point")
     return x
 
 
-def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """(n, k) Euclidean distances, squares summed in coordinate order."""
     acc = np.zeros((x.shape[0], c.shape[0]))
     for j in range(x.shape[1]):
@@ -53,173 +56,150 @@ def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(acc)
 
 
-def nearest_center(
-    part: Column | str,
-    v: Column | str,
-    centers: dict[int, list[list[float]]],
-    labels: dict[int, list[int]] | None = None,
-    ids: Column | str | None = None,
-    exclude: dict[int, list[int]] | None = None,
-) -> Column:
-    """STRUCT<label INT, dist DOUBLE>: nearest center of the row's part.
-
-    Ties go to the first center (the lowest label). Rows of a part without
-    centers, and rows whose id is in ``exclude[part]`` (the points already
-    chosen as centers), get NULLs. ``centers`` and ``exclude`` travel with the
-    function (at most k·parts entries; callers check the size), which keeps
-    the plan free of long literal lists.
-    """
-    mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in centers.items() if cs}
-    labs = {int(p): np.asarray(labels[p] if labels else range(len(cs)), dtype=np.int32) for p, cs in centers.items() if cs}
-    skip = {int(p): np.asarray(sorted(i), dtype=np.int64) for p, i in (exclude or {}).items()}
-    dim = next(iter(mats.values())).shape[1] if mats else 0
-
-    def compute(pv: np.ndarray, vs: pd.Series, iv: np.ndarray | None) -> pd.DataFrame:
-        n = len(vs)
-        label = np.full(n, -1, dtype=np.int32)
-        dist = np.full(n, np.nan)
-        found = np.zeros(n, dtype=bool)
-        x = _matrix(vs, dim)
-        for p in np.unique(pv):
-            c = mats.get(int(p))
-            if c is None:
-                continue
-            rows = np.flatnonzero(pv == p)
-            if iv is not None and int(p) in skip:
-                rows = rows[~np.isin(iv[rows], skip[int(p)])]
-            d = _distances(x[rows], c)
-            idx = np.argmin(d, axis=1)
-            label[rows] = labs[int(p)][idx]
-            dist[rows] = d[np.arange(len(rows)), idx]
-            found[rows] = True
-        out = pd.DataFrame({"label": pd.array(label, dtype="Int32"), "dist": dist})
-        out.loc[~found, :] = None
-        return out
+def _width(model: Model) -> int:
+    return next(iter(model.values())).shape[1] if model else 0
 
-    def c(x):
-        return F.col(x) if isinstance(x, str) else x
 
-    if ids is None:
+def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each part of a batch, after one sort."""
+    order = np.argsort(parts, kind="stable")
+    cuts = np.flatnonzero(np.diff(parts[order])) + 1
+    for rows in np.split(order, cuts):
+        if len(rows):
+            yield int(parts[rows[0]]), rows
 
-        @F.pandas_udf("label INT, dist DOUBLE")
-        def kernel(parts: pd.Series, vs: pd.Series) -> pd.DataFrame:
-            return compute(parts.to_numpy(), vs, None)
 
-        return kernel(c(part), c(v))
+def _lists(vectors: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *(len(v) for v in vectors)])
+    flat = np.concatenate(vectors) if vectors else np.empty(0)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float64()))
 
-    @F.pandas_udf("label INT, dist DOUBLE")
-    def kernel_ex(parts: pd.Series, vs: pd.Series, iv: pd.Series) -> pd.DataFrame:
-        return compute(parts.to_numpy(), vs, iv.to_numpy())
 
-    return kernel_ex(c(part), c(v), c(ids))
+def nearest_rows(df: DataFrame, model: Model, labels: dict[int, np.ndarray]) -> DataFrame:
+    """``part, id, v`` to ``part, id, label, dist``: the nearest center of the row's part.
 
+    Ties go to the first center (the lowest label). Every part must have centers.
+    """
+    dim = _width(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts, x = b.column("part").to_numpy(), matrix(b.column("v"), dim)
+            label, dist = np.empty(len(parts), np.int32), np.empty(len(parts))
+            for p, rows in _by_part(parts):
+                d = distances(x[rows], model[p])
+                at = np.argmin(d, axis=1)
+                label[rows], dist[rows] = labels[p][at], d[np.arange(len(rows)), at]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("part"), b.column("id"), pa.array(label), pa.array(dist)], ["part", "id", "label", "dist"]
+            )
+
+    return df.select("part", "id", "v").mapInArrow(run, NEAREST_SCHEMA)
 
-RACE_SCHEMA = "part INT, key DOUBLE, id BIGINT, v ARRAY<DOUBLE>"
 
+def race_winners(df: DataFrame, model: Model | None = None, exclude: dict[int, list[int]] | None = None) -> DataFrame:
+    """Per task and part, the candidate with the smallest (key, id).
 
-def race_winners(
-    df: DataFrame,
-    centers: dict[int, list[list[float]]] | None = None,
-    exclude: dict[int, list[int]] | None = None,
-    uniform_only: bool = False,
-) -> DataFrame:
-    """Per Arrow batch and part, the candidate with the smallest (key, id).
-
-    ``df`` holds ``part, id, v, w, u, dmin, taken``. The distance d is the
-    smaller of ``dmin`` and the distance to the part's ``centers``; the key
-    is -ln(u) / (w·d), or +Infinity when w·d is 0, or ``u`` itself when
-    ``uniform_only``. Points in ``exclude`` or ``taken`` do not run. Only the
-    winners leave Python, so Spark's final ``min`` over (key, id) sees a few
-    rows per batch instead of every point.
+    ``df`` holds ``part, id, v, w, u``. The key is -ln(u) / (w·d) with the
+    distance d to the nearest of the part's centers, or +Infinity when w·d is
+    0; without a model it is ``u`` itself. Points in ``exclude`` do not run.
     """
-    mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in (centers or {}).items() if cs}
-    skip = {int(p): np.asarray(sorted(i), dtype=np.int64) for p, i in (exclude or {}).items()}
-    dim = next(iter(mats.values())).shape[1] if mats else 0
+    skip = {p: np.asarray(sorted(i), dtype=np.int64) for p, i in (exclude or {}).items()}
+    dim = _width(model or {})
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[float, int, np.ndarray]] = {}
         for b in batches:
-            if len(b) == 0:
+            if not b.num_rows:
                 continue
-            pv = b["part"].to_numpy()
-            iv = b["id"].to_numpy()
-            u = b["u"].to_numpy(dtype=np.float64)
-            ok = ~b["taken"].to_numpy(dtype=bool)
-            if uniform_only:
-                key = u
-            else:
-                d = b["dmin"].to_numpy(dtype=np.float64, na_value=np.nan)
-                if mats:
-                    x = _matrix(b["v"], dim)
-                    for p in np.unique(pv):
-                        rows = np.flatnonzero(pv == p)
-                        c = mats.get(int(p))
-                        if c is not None:
-                            d[rows] = np.fmin(d[rows], _distances(x[rows], c).min(axis=1))
-                        if int(p) in skip:
-                            ok[rows[np.isin(iv[rows], skip[int(p)])]] = False
-                wd = b["w"].to_numpy(dtype=np.float64) * d
-                key = np.full(len(b), np.inf)
-                pos = wd > 0
-                key[pos] = -np.log(u[pos]) / wd[pos]
-            idx = np.flatnonzero(ok)
-            if len(idx) == 0:
-                continue
-            order = idx[np.lexsort((iv[idx], key[idx], pv[idx]))]
-            first = order[np.r_[True, pv[order][1:] != pv[order][:-1]]]
-            yield pd.DataFrame(
-                {
-                    "part": pv[first].astype(np.int32),
-                    "key": key[first],
-                    "id": iv[first],
-                    "v": [np.asarray(b["v"].iloc[i], dtype=np.float64) for i in first],
-                }
+            parts, ids, u = (b.column(c).to_numpy() for c in ("part", "id", "u"))
+            v = b.column("v")
+            x = matrix(v, dim or len(v[0]))
+            w = b.column("w").to_numpy()
+            for p, rows in _by_part(parts):
+                if p in skip:
+                    rows = rows[~np.isin(ids[rows], skip[p])]
+                if not len(rows):
+                    continue
+                key = u[rows]
+                if model is not None:
+                    wd = w[rows] * distances(x[rows], model[p]).min(axis=1)
+                    key = np.full(len(rows), np.inf)
+                    run_ = wd > 0
+                    key[run_] = -np.log(u[rows][run_]) / wd[run_]
+                first = np.lexsort((ids[rows], key))[0]
+                one = (float(key[first]), int(ids[rows[first]]))
+                if p not in best or one < best[p][:2]:
+                    best[p] = (*one, x[rows[first]].copy())
+        if best:
+            key, ids, vectors = zip(*best.values(), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(best), pa.int32()), pa.array(key), pa.array(ids, pa.int64()), _lists(list(vectors))],
+                ["part", "key", "id", "v"],
             )
 
-    return df.mapInPandas(run, RACE_SCHEMA)
+    return df.select("part", "id", "v", "w", "u").mapInArrow(run, RACE_SCHEMA)
+
+
+class _Sums:
+    """Count, Σw, Σw·d and Σw·v by (part, label)."""
+
+    def __init__(self):
+        self.of: dict[tuple[int, int], list] = {}
 
+    def add(self, key: tuple[int, int], cnt: int, sw: float, sd: float, sx: np.ndarray) -> None:
+        if key in self.of:
+            held = self.of[key]
+            held[0], held[1], held[2] = held[0] + cnt, held[1] + sw, held[2] + sd
+            held[3] += sx
+        else:
+            self.of[key] = [int(cnt), float(sw), float(sd), np.array(sx)]
 
-def cluster_partials(df: DataFrame, centers: dict[int, list[list[float]]]) -> DataFrame:
-    """Per Arrow batch, part and nearest center: count, Σw, Σw·d and Σw·v.
+    def batch(self) -> pa.RecordBatch:
+        parts, labels = zip(*self.of, strict=True)
+        cnt, sw, sd, sx = zip(*self.of.values(), strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), pa.array(labels, pa.int32()), pa.array(cnt, pa.int64()), pa.array(sw, pa.float64()), pa.array(sd, pa.float64()), _lists(list(sx))],
+            ["part", "label", "cnt", "sw", "sd", "sx"],
+        )
 
-    ``df`` holds ``part, v, w``. Assignment follows :func:`nearest_center`
-    (ties to the first center); only these partial sums, at most k per part
-    and batch, leave Python, and Spark adds them up by (part, label).
+
+def cluster_sums(df: DataFrame, model: Model) -> DataFrame:
+    """``part, v, w`` to ``part, label, cnt, sw, sd, sx``: the count, Σw, Σw·d and Σw·v of each nonempty cluster.
+
+    ``label`` is the center's row in the model; ties go to the first. A task
+    returns one row per (part, label) it has seen, and these rows, at most k
+    for each part and task, meet by (part, label).
     """
-    mats = {int(p): np.asarray(cs, dtype=np.float64) for p, cs in centers.items() if cs}
-    dim = next(iter(mats.values())).shape[1] if mats else 0
+    dim = _width(model)
 
-    def run(batches):
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
         for b in batches:
-            if len(b) == 0:
+            if not b.num_rows:
                 continue
-            pv = b["part"].to_numpy()
-            wv = b["w"].to_numpy(dtype=np.float64)
-            x = _matrix(b["v"], dim)
-            for p in np.unique(pv):
-                c = mats.get(int(p))
-                if c is None:
-                    continue
-                rows = np.flatnonzero(pv == p)
-                d = _distances(x[rows], c)
-                idx = np.argmin(d, axis=1)
-                dist = d[np.arange(len(rows)), idx]
-                w = wv[rows]
-                k = c.shape[0]
-                cnt = np.bincount(idx, minlength=k)
-                sw = np.bincount(idx, weights=w, minlength=k)
-                sd = np.bincount(idx, weights=w * dist, minlength=k)
-                hit = np.flatnonzero(cnt)
-                xr = x[rows]
-                sx = {int(i): w[idx == i] @ xr[idx == i] for i in hit}
-                yield pd.DataFrame(
-                    {
-                        "part": np.full(len(hit), p, dtype=np.int32),
-                        "label": hit.astype(np.int32),
-                        "cnt": cnt[hit].astype(np.int64),
-                        "sw": sw[hit],
-                        "sd": sd[hit],
-                        "sx": [sx[int(i)] for i in hit],
-                    }
-                )
-
-    return df.mapInPandas(run, "part INT, label INT, cnt BIGINT, sw DOUBLE, sd DOUBLE, sx ARRAY<DOUBLE>")
+            parts, w, x = b.column("part").to_numpy(), b.column("w").to_numpy(), matrix(b.column("v"), dim)
+            for p, rows in _by_part(parts):
+                d = distances(x[rows], model[p])
+                at = np.argmin(d, axis=1)
+                dist, wp, xp = d[np.arange(len(rows)), at], w[rows], x[rows]
+                for label in np.unique(at):
+                    mine = at == label
+                    sums.add((p, int(label)), mine.sum(), wp[mine].sum(), wp[mine] @ dist[mine], wp[mine] @ xp[mine])
+        if sums.of:
+            yield sums.batch()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = matrix(b.column("sx"), dim)
+            rows = zip(*(b.column(c).to_pylist() for c in ("part", "label", "cnt", "sw", "sd")), strict=True)
+            for k, (p, label, cnt, sw, sd) in enumerate(rows):
+                sums.add((p, label), cnt, sw, sd, x[k])
+        if sums.of:
+            yield sums.batch()
+
+    partial = df.select("part", "v", "w").mapInArrow(assign, PARTIAL_SCHEMA)
+    return partial.repartition("part", "label").mapInArrow(merge, PARTIAL_SCHEMA)

@@ -7,5 +7,6 @@ from pyspark.sql import functions as F
 
 
 def reciprocal(x: Column) -> Column:
-    """1/x with 1/0 = +Infinity (negative zero counts as zero), never an error."""
-    return F.when(x == 0, F.lit(float("inf"))).otherwise(F.lit(1.0) / x)
+    """1/x with 1/0 = +Infinity and 1/-0 = -Infinity, never an error."""
+    infinite = F.when(x.cast("string") == "-0.0", F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(x == 0, infinite).otherwise(F.lit(1.0) / x)

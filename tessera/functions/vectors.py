@@ -42,11 +42,6 @@ def nearest_sql(v: str, centers: str) -> str:
     )
 
 
-def min_distance_sql(v: str, vectors: str) -> str:
-    """Distance from ``v`` to the nearest of an ARRAY<ARRAY<DOUBLE>>."""
-    return f"array_min(transform({vectors}, c -> {euclidean_sql(v, 'c')}))"
-
-
 def euclidean(a: str, b: str) -> Column:
     return F.expr(euclidean_sql(a, b))
 
@@ -55,9 +50,5 @@ def nearest(v: str, centers: str) -> Column:
     return F.expr(nearest_sql(v, centers))
 
 
-def min_distance(v: str, vectors: str) -> Column:
-    return F.expr(min_distance_sql(v, vectors))
-
-
 def round_vector(v: str, digits: int = 6) -> Column:
     return F.expr(f"transform({v}, x -> round(x, {digits}))")

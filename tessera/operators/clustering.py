@@ -11,25 +11,28 @@ members.
 
 How it runs at scale
 --------------------
-* The points are read once, persisted (memory and disk) and scanned once per
-  seeding round and once per Lloyd pass. Each scan ends in a partial/final
-  aggregate grouped by ``part`` (seeding) or ``(part, label)`` (Lloyd): a task
-  sends at most one row per group through the shuffle, whatever the skew of the
-  data, and only k·L rows (the centers) come back to the driver.
-* The centers (at most k per part) travel to the tasks with the distance
-  kernel (:mod:`tessera.functions.kernels`), like a broadcast variable; their
-  size is bounded by k·L·dim and checked against ``tessera.maxBroadcastBytes``
-  (default 256 MiB). No join is needed to bring them to the points.
-* Seeding keeps a running minimum distance, rewritten only every
-  ``REBASE_EVERY`` rounds; in between, a round measures the centers chosen
-  since the last rewrite. That bounds both the distance work (O(k) per point)
-  and the data rewritten (k / REBASE_EVERY copies). The lineage grows by one
-  projection per rewrite, and every ``CHECKPOINT_EVERY_REBASES``-th rewrite is
-  a checkpoint into ``spark.checkpoint.dir``, so an executor loss recomputes
-  only its own partitions through a chain of a few projections.
+* The points are read once, persisted (memory and disk) as they come (FLOAT
+  vectors stay FLOAT) and scanned once per seeding round and once per Lloyd
+  pass: k + iterations + 1 scans in all. With many parts they are first dealt
+  out by (part, slice of the id's hash) and sorted by part, so a task holds few
+  parts. A task returns one row per part (seeding) or per (part, label)
+  (Lloyd), whatever the skew of the data, and only the k·L centers come back to
+  the driver, as matrices.
+* The centers travel with the distance kernel (:mod:`tessera.functions.kernels`).
+  The parts are taken in blocks whose centers take at most
+  ``tessera.maxBroadcastBytes`` (default 256 MiB) together, each block one job
+  over the points of its parts; the centers of one part must fit, which is
+  checked before the first clustering job. No join is needed.
+* A seeding round measures all centers chosen so far: k²/2 distances a point
+  in all, and in exchange nothing is ever rewritten, no lineage grows and a
+  lost executor costs its own partitions only.
 * Randomness is a hash of (seed, round, id): reruns, retried tasks and plain
   SQL all draw the same numbers.
 
+The ``part`` column counts where both points and centers have one. Centers
+without it apply to all points alike. A part without centers is an error, and
+so are weights that are NULL, negative or not finite.
+
 Deliberate differences from the reference (each has a test)
 -----------------------------------------------------------
 Q1  the next seed is drawn with probability w·d / sum(w·d) (the documented
@@ -49,22 +52,22 @@ from __future__ import annotations
 
 import math
 import time
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket, col, uniform_sql
-from tessera.functions.kernels import cluster_partials, nearest_center, race_winners
+from tessera.functions.kernels import Model, cluster_sums, nearest_rows, race_winners
 
 # Fixed values.
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-MAX_CENTERS = 1_000_000  # rows read from a centers table before refusing it
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024  # centers of the parts of one job
+DEFAULT_MAX_MODEL_BYTES = 2 * 1024 * 1024 * 1024  # all centers, on the driver
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
-REBASE_EVERY = 8  # seeding rounds between two rewrites of the running distance
-CHECKPOINT_EVERY_REBASES = 8  # every 8th rewrite is a checkpoint, which cuts the lineage
 
 _INF = float("inf")
 
@@ -83,95 +86,123 @@ def _check_args(k: int | None = None, parts: int | None = None, iterations: int
         raise ValueError(f"the number of iterations must be at least 0, not {iterations}")
 
 
-def _max_broadcast(spark: SparkSession) -> int:
-    return int(spark.conf.get("tessera.maxBroadcastBytes", str(DEFAULT_MAX_BROADCAST_BYTES)))
+def _limit(spark: SparkSession, name: str, default: int) -> int:
+    return int(spark.conf.get(f"tessera.{name}", str(default)))
+
 
+def _check_size(spark: SparkSession, k: int, dim: int, parts: int = 1) -> None:
+    """Refuse a model whose centers of one part exceed a task's bound, or all of them the driver's."""
+    if 8 * k * dim > _limit(spark, "maxBroadcastBytes", DEFAULT_MAX_BROADCAST_BYTES):
+        raise ValueError(f"{k} centers of width {dim} exceed tessera.maxBroadcastBytes; the centers of a part must be small")
+    if 8 * k * dim * parts > _limit(spark, "maxModelBytes", DEFAULT_MAX_MODEL_BYTES):
+        raise ValueError(f"{parts} parts of {k} centers of width {dim} exceed tessera.maxModelBytes")
 
-def _vectors_bytes(n_vectors: int, dim: int, n_rows: int) -> int:
-    return n_vectors * (8 * dim + 24) + n_rows * 64
+
+def _weight(weight_col: str | None) -> Column:
+    if weight_col is None:
+        return F.lit(1.0)
+    w = F.col(weight_col).cast("double")
+    bad = w.isNull() | F.isnan(w) | (w < 0) | (w == F.lit(_INF))
+    return F.when(bad, F.raise_error(F.lit("a weight is NULL, negative or not finite")).cast("double")).otherwise(w)
 
 
 def _points(
     df: DataFrame, id_col: str = "id", vec_col: str = "v", weight_col: str | None = None, part_col: str | None = "part"
 ) -> tuple[DataFrame, bool]:
-    """``part INT, id BIGINT, v ARRAY<DOUBLE>, w DOUBLE``; NULL ids and vectors dropped."""
+    """``part INT, id BIGINT, v, w DOUBLE``; NULL ids and vectors dropped, weights checked."""
     has_part = part_col is not None and part_col in df.columns
     part = F.col(part_col).cast("int") if has_part else F.lit(0)
-    w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
+    floats = df.schema[vec_col].dataType.simpleString() in ("array<float>", "array<double>")
+    v = F.col(vec_col) if floats else F.col(vec_col).cast("array<double>")
     pts = df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(
-        part.alias("part"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(vec_col).cast("array<double>").alias("v"),
-        w.alias("w"),
+        part.alias("part"), F.col(id_col).cast("long").alias("id"), v.alias("v"), _weight(weight_col).alias("w")
     )
     return pts, has_part
 
 
-def _check_model(spark: SparkSession, centers: dict[int, list[list[float]]]) -> None:
-    """Centers travel to every task with the distance kernel: check their size."""
-    n = sum(len(cs) for cs in centers.values())
-    dims = {len(c) for cs in centers.values() for c in cs}
-    if len(dims) > 1:
-        raise ValueError("vectors of different length")
-    nbytes = _vectors_bytes(n, dims.pop() if dims else 0, len(centers))
-    if nbytes > _max_broadcast(spark):
-        raise ValueError(
-            f"{n} centers take about {nbytes} bytes, above tessera.maxBroadcastBytes; "
-            "a k-median model (k centers per part) is expected to be small"
-        )
-
-
-def _collect_centers(centers: DataFrame, has_part: bool) -> dict[int, list[tuple[int, list[float]]]]:
-    """Small centers table (``part?, label, center``) to the driver, after a size check."""
-    part = F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)
-    c = centers.select(part.alias("part"), F.col("label").cast("int").alias("label"), "center")
-    limit = MAX_CENTERS + 1
-    rows = c.limit(limit).collect()
-    dim = max((len(r.center) for r in rows), default=0)
-    if len(rows) == limit or _vectors_bytes(len(rows), dim, len(rows)) > _max_broadcast(centers.sparkSession):
-        raise ValueError(
-            f"more than {len(rows) - 1} centers (width {dim}) exceed tessera.maxBroadcastBytes "
-            "or MAX_CENTERS; a k-median model is expected to be small"
-        )
-    out: dict[int, list[tuple[int, list[float]]]] = {}
-    for r in rows:
-        out.setdefault(r.part, []).append((r.label, [float(x) for x in r.center]))
-    for p in out:
-        out[p].sort()
-    return out
-
-
-def _with_nearest(
-    pts: DataFrame, centers: dict[int, list[list[float]]], keep: list[str], labels=None, exclude=None
-) -> DataFrame:
-    """``keep..., label, dist``: nearest center of each point's part (size-checked model).
-
-    With ``exclude`` ({part: ids}) those points get a NULL distance.
-    """
-    _check_model(pts.sparkSession, centers)
-    nn = nearest_center("part", "v", centers, labels, "id" if exclude else None, exclude).alias("nn")
-    return pts.select(*keep, nn).select(*keep, F.col("nn.label").alias("label"), F.col("nn.dist").alias("dist"))
-
-
-def _assigned(
-    pts: DataFrame, centers: DataFrame, has_part: bool, keep: list[str], by_part: dict | None = None
-) -> DataFrame:
-    """Points of the parts that have centers, with ``label`` and ``dist``.
+def _clustered(pts: DataFrame, parts: int) -> DataFrame:
+    """Deal the points out by (part, slice), sorted by part, so that a task holds few of many parts.
 
-    Points of a part without centers have no nearest center and are left out
-    (the part filter is on a stored column, so it reaches the scan).
+    A part has enough slices for all tasks to share a few parts, however large they are.
     """
-    by_part = by_part if by_part is not None else _collect_centers(centers, has_part)
-    return _with_nearest(
-        pts.where(F.col("part").isin(list(by_part))),
-        {p: [c for _, c in cs] for p, cs in by_part.items()},
-        keep,
-        labels={p: [lab for lab, _ in cs] for p, cs in by_part.items()},
-    )
+    if parts == 1:
+        return pts
+    tasks = int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = -(-4 * tasks // parts)
+    dealt = pts.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices))).repartition("part", "slice")
+    return dealt.sortWithinPartitions("part").drop("slice")
+
+
+def _blocks(spark: SparkSession, model: Model) -> Iterator[Model]:
+    """The parts in blocks whose centers may travel together."""
+    most, block, size = _limit(spark, "maxBroadcastBytes", DEFAULT_MAX_BROADCAST_BYTES), {}, 0
+    for p, c in sorted(model.items()):
+        if block and size + c.nbytes > most:
+            yield block
+            block, size = {}, 0
+        block[p], size = c, size + c.nbytes
+    if block:
+        yield block
+
+
+def _of_parts(pts: DataFrame, parts: Iterable[int], every: bool) -> DataFrame:
+    """The points of some parts; ``every`` if these are all the parts there are, and others are an error."""
+    parts = sorted(parts)
+    part = F.col("part")
+    if not every:
+        return pts.where(part.isin(parts))
+    lost = F.raise_error(F.concat(F.lit("no centers for part "), F.coalesce(part.cast("string"), F.lit("NULL"))))
+    return pts.withColumn("part", F.when(part.isin(parts), part).otherwise(lost.cast("int")))
+
+
+def _collect_centers(centers: DataFrame, by_part: bool) -> tuple[Model, dict[int, np.ndarray]]:
+    """A centers table (``part?, label, center``) as matrices and labels by part, after a size check."""
+    part = F.col("part").cast("int") if by_part else F.lit(0)
+    c = centers.select(part.alias("part"), F.col("label").cast("int").alias("label"), F.col("center").cast("array<double>"))
+    spark = centers.sparkSession
+    n, dim = c.agg(F.count("*"), F.coalesce(F.max(F.size("center")), F.lit(0))).first()
+    _check_size(spark, 0, dim)
+    if 8 * n * dim > _limit(spark, "maxModelBytes", DEFAULT_MAX_MODEL_BYTES):
+        raise ValueError(f"{n} centers of width {dim} exceed tessera.maxModelBytes")
+    rows: dict[int, list] = {}
+    for r in c.collect():
+        if len(r.center) != dim:
+            raise ValueError("vectors of different length")
+        rows.setdefault(r.part, []).append((r.label, r.center))
+    model, labels = {}, {}
+    for p, cs in rows.items():
+        cs.sort(key=lambda x: x[0])
+        _check_size(spark, len(cs), dim)
+        model[p] = np.array([v for _, v in cs], dtype=np.float64)
+        labels[p] = np.array([lab for lab, _ in cs], dtype=np.int32)
+    return model, labels
+
+
+def _matched(points: DataFrame, centers: DataFrame, id_col, vec_col, weight_col, part_col) -> tuple[DataFrame, bool]:
+    """The points, and whether both tables go by part; else all points are one part."""
+    theirs = "part" in centers.columns
+    pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
+    if theirs and not has_part:
+        raise ValueError("the centers have a part column but the points have none")
+    return (pts, True) if theirs else (pts.withColumn("part", F.lit(0)), False)
+
+
+def _sums(pts: DataFrame, model: Model, every: bool) -> DataFrame:
+    """Sums by (part, label row), in one job or, for a large model, one per block of parts."""
+    blocks = list(_blocks(pts.sparkSession, model))
+    if not blocks:
+        return cluster_sums(_of_parts(pts, [], every), {})
+    if every and len(blocks) > 1:
+        pts = _of_parts(pts, model, True)
+    frames = [cluster_sums(_of_parts(pts, b, every and len(blocks) == 1), b) for b in blocks]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out
 
 
 def _local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small driver-side result (at most k·L rows) as a DataFrame.
+    """A driver-side result (at most k·L rows) as a DataFrame.
 
     Built through pandas and Arrow, it plans as a JVM ``LocalTableScan``; a
     list of tuples would become a Python-backed RDD that every later job
@@ -181,25 +212,6 @@ def _local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame | None:
-    """Write ``df`` to the session's checkpoint folder and cut its lineage.
-
-    Uses the shared folder the cluster names in ``spark.checkpoint.dir``;
-    without one, returns None and the caller keeps a persisted copy instead.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            return None
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _persist_points(df: DataFrame) -> DataFrame:
     """Keep the points between the rounds of a clustering.
 
@@ -217,7 +229,7 @@ def _persist_points(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- seeding
 
 
-def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[float]]]]:
+def _seed(pts: DataFrame, k: int, seed: int, parts: int = 1) -> dict[int, list[tuple[int, np.ndarray]]]:
     """Weighted k-means++ seeding per part: ``{part: [(id, v), ...]}`` in pick order.
 
     Round 0 takes the point of smallest u(seed, 0, id) (uniform, weights
@@ -225,75 +237,29 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
     -ln(u(seed, r, id)) / (w·d), ties to the lowest id: an exponential race
     that picks each point with probability w·d / sum(w·d) in one pass, with no
     ordered prefix sum. When every w·d is 0 the key is +Infinity for all and
-    the lowest unchosen id wins. Each round is one scan and one aggregate by
-    part; the key is computed next to the distances in each Arrow batch, which
-    passes on only its best candidate per part (a partial aggregate before the
-    shuffle), and only the L picks come back to the driver.
-
-    d is the minimum over a stored ``dmin`` (the centers up to ``base``) and
-    the kernel's distance to the centers chosen since. Every
-    ``REBASE_EVERY`` rounds the recent centers are folded into ``dmin`` and
-    the points are persisted once more (the former copy released), so a round
-    measures at most ``REBASE_EVERY`` centers: O(k) distances per point in all,
-    with a lineage of one projection per rebase. ``taken`` marks the points
-    chosen before the last rebase.
+    the lowest unchosen id wins. Each round is one scan, in which a task finds
+    its best candidate of each part, and one aggregate by part; only the L
+    picks come back to the driver.
     """
-    cur = pts.select("part", "id", "v", "w", F.lit(None).cast("double").alias("dmin"), F.lit(False).alias("taken"))
+    spark = pts.sparkSession
+    width = pts.select(F.size("v")).first()
+    if width is not None:
+        _check_size(spark, k, width[0], parts)
 
-    def pick(rows: DataFrame, rnd: int, **race) -> list:
+    def pick(rows: DataFrame, rnd: int, model: Model | None = None, exclude=None) -> list:
         drawn = rows.withColumn("u", F.expr(uniform_sql(seed, rnd, col("id"))))
-        winners = race_winners(drawn, **race)
+        winners = race_winners(drawn, model, exclude)
         best = winners.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("m"))
         return best.select("part", "m.id", "m.v").collect()
 
-    chosen = {r.part: [(r.id, [float(x) for x in r.v])] for r in pick(cur, 0, uniform_only=True)}
-    base, held, rebases = 0, [], 0
-    keep = ["part", "id", "v", "w", "dmin", "taken"]
-    try:
-        for rnd in range(1, k):
-            active = {p: c for p, c in chosen.items() if len(c) == rnd}
-            if not active:
-                break
-            rows = cur.where(F.col("part").isin(list(active)))
-            if rnd - base >= REBASE_EVERY:
-                folded = _with_nearest(
-                    rows,
-                    {p: [v for _, v in c[base:]] for p, c in active.items()},
-                    keep,
-                    exclude={p: [i for i, _ in c] for p, c in active.items()},
-                )
-                rebased = folded.select(
-                    "part",
-                    "id",
-                    "v",
-                    "w",
-                    F.least("dmin", "dist").alias("dmin"),
-                    (F.col("taken") | F.col("dist").isNull()).alias("taken"),
-                )
-                rebases += 1
-                cut = _checkpoint(rebased) if rebases % CHECKPOINT_EVERY_REBASES == 0 else None
-                if cut is not None:
-                    cur = cut
-                else:
-                    cur = _persist(rebased)
-                    held.append(cur)
-                base = rnd
-                picks = pick(cur.where(F.col("part").isin(list(active))), rnd)
-            else:
-                picks = pick(
-                    rows,
-                    rnd,
-                    centers={p: [v for _, v in c[base:]] for p, c in active.items()},
-                    exclude={p: [i for i, _ in c[base:]] for p, c in active.items()},
-                )
-            for r in picks:
-                if r.id is not None:  # NULL: every point of the part is chosen already
-                    chosen[r.part].append((r.id, [float(x) for x in r.v]))
-            while len(held) > (1 if held and cur is held[-1] else 0):  # older copies are no longer read
-                held.pop(0).unpersist()
-    finally:
-        for h in held:
-            h.unpersist()
+    chosen = {r.part: [(r.id, np.array(r.v))] for r in pick(pts, 0)}
+    for rnd in range(1, k):
+        # A part whose points are all chosen has no candidate and drops out.
+        model = {p: np.stack([v for _, v in c]) for p, c in chosen.items() if len(c) == rnd}
+        for block in _blocks(spark, model):
+            exclude = {p: [i for i, _ in chosen[p]] for p in block}
+            for r in pick(_of_parts(pts, block, False), rnd, block, exclude):
+                chosen[r.part].append((r.id, np.array(r.v)))
     return chosen
 
 
@@ -302,7 +268,7 @@ def _seed(pts: DataFrame, k: int, seed: int) -> dict[int, list[tuple[int, list[f
 
 @dataclass
 class _PartState:
-    centers: list[list[float]]
+    centers: np.ndarray
     best: float = _INF
     it: int = 0
     done: bool = False
@@ -310,28 +276,21 @@ class _PartState:
     cost: float | None = None
 
 
-def _pass(pts: DataFrame, centers: dict[int, list[list[float]]]) -> dict[int, dict[int, tuple]]:
-    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v.
-
-    The Arrow step assigns each batch's points and sums them per nearest
-    center, so at most k rows per part and batch reach Spark's aggregate.
-    """
-    _check_model(pts.sparkSession, centers)
-    dim = max(len(c) for cs in centers.values() for c in cs)
-    partial = cluster_partials(pts.where(F.col("part").isin(list(centers))).select("part", "v", "w"), centers)
-    sums = F.expr("array(" + ", ".join(f"sum(sx[{j}])" for j in range(dim)) + ")").alias("sx")
-    total = partial.groupBy("part", "label").agg(
-        F.sum("cnt").alias("cnt"), F.sum("sw").alias("sw"), F.sum("sd").alias("sd"), sums
-    )
+def _pass(pts: DataFrame, model: Model) -> dict[int, dict[int, tuple]]:
+    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v."""
     out: dict[int, dict[int, tuple]] = {}
-    for r in total.collect():
-        out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, list(r.sx))
+    for block in _blocks(pts.sparkSession, model):
+        for r in cluster_sums(_of_parts(pts, block, False), block).collect():
+            out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, np.array(r.sx))
     return out
 
 
-def _lloyd(
-    pts: DataFrame, centers: dict[int, list[list[float]]], iterations: int, final_pass: bool
-) -> dict[int, _PartState]:
+def _moved(center: np.ndarray, stats: tuple | None) -> np.ndarray:
+    """The weighted mean of a cluster, or its former center if it weighs nothing (Q4)."""
+    return stats[3] / stats[1] if stats and stats[1] > 0 else center
+
+
+def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) -> dict[int, _PartState]:
     """Lloyd steps per part with the reference's stop rule.
 
     Iteration ``it`` moves the centers to the weighted means; after iterations
@@ -342,7 +301,7 @@ def _lloyd(
     spent on the test. ``final_pass`` adds the scan that gives the sizes and the
     cost of the final centers.
     """
-    state = {p: _PartState(centers=[list(c) for c in cs]) for p, cs in centers.items()}
+    state = {p: _PartState(centers=c) for p, c in centers.items()}
     while True:
         for s in state.values():
             if not s.done and s.it >= iterations and not final_pass:
@@ -367,10 +326,7 @@ def _lloyd(
             if s.it >= iterations:
                 s.done = True
                 continue
-            s.centers = [
-                [x / st[lab][1] for x in st[lab][3]] if lab in st and st[lab][1] > 0 else c
-                for lab, c in enumerate(s.centers)
-            ]
+            s.centers = np.stack([_moved(c, st.get(lab)) for lab, c in enumerate(s.centers)])
             s.it += 1
 
 
@@ -424,39 +380,37 @@ def assign_nearest(
 ) -> DataFrame:
     """Nearest center of each point: ``part?, id, label, dist``.
 
-    Ties go to the lowest label. ``centers`` is ``part?, label, center``.
+    Ties go to the lowest label. ``centers`` is ``part?, label, center``;
+    centers without a part apply to all points.
     """
-    pts, has_part = _points(points, id_col, vec_col, None, part_col)
-    out = _assigned(pts, centers, has_part, ["part", "id"])
-    return out if has_part else out.drop("part")
-
-
-def _center_rows(centers: DataFrame, has_part: bool) -> DataFrame:
-    part = F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)
-    return centers.select(part.alias("part"), F.col("label").cast("int").alias("label"))
-
-
-def _per_cluster(
-    points: DataFrame, centers: DataFrame, agg, name: str, id_col, vec_col, weight_col, part_col, zero
-) -> DataFrame:
-    pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    a = _assigned(pts, centers, has_part, ["part", "w"])
-    per = a.groupBy("part", "label").agg(agg.alias(name))
-    # Centers nobody is nearest to still get a row: add a zero row per center
-    # (k·L rows) and sum. A join here would make Catalyst infer a not-null
-    # filter on ``label`` and push it below the kernel, running it twice.
-    zeros = _center_rows(centers, has_part).select("part", "label", zero.alias(name))
-    out = per.unionByName(zeros).groupBy("part", "label").agg(F.sum(name).alias(name))
-    return out if has_part else out.drop("part")
+    pts, by_part = _matched(points, centers, id_col, vec_col, None, part_col)
+    model, labels = _collect_centers(centers, by_part)
+    blocks = list(_blocks(points.sparkSession, model)) or [{}]
+    if len(blocks) > 1:
+        pts = _of_parts(pts, model, True)
+    frames = [nearest_rows(_of_parts(pts, b, len(blocks) == 1), b, labels) for b in blocks]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out if by_part else out.drop("part")
+
+
+def _per_cluster(points, centers, value: str, name: str, kind: str, id_col, vec_col, weight_col, part_col) -> DataFrame:
+    """A sum for every center; those nobody is nearest to have 0."""
+    pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
+    model, labels = _collect_centers(centers, by_part)
+    names = [(p, i, int(lab), 0) for p, ls in labels.items() for i, lab in enumerate(ls)]
+    zeros = _local_frame(points.sparkSession, names, f"part INT, row INT, label INT, {name} {kind}")
+    per = _sums(pts, model, True).select("part", F.col("label").alias("row"), F.lit(None).cast("int").alias("label"), F.col(value).alias(name))
+    out = per.unionByName(zeros).groupBy("part", "row").agg(F.max("label").alias("label"), F.sum(name).alias(name)).drop("row")
+    return out if by_part else out.drop("part")
 
 
 def cluster_sizes(
     points: DataFrame, centers: DataFrame, id_col: str = "id", vec_col: str = "v", part_col: str | None = "part"
 ) -> DataFrame:
     """Number of points nearest to each center: ``part?, label, size`` (0 for empty)."""
-    return _per_cluster(
-        points, centers, F.count(F.lit(1)), "size", id_col, vec_col, None, part_col, F.lit(0).cast("long")
-    )
+    return _per_cluster(points, centers, "cnt", "size", "BIGINT", id_col, vec_col, None, part_col)
 
 
 def cluster_weights(
@@ -468,7 +422,7 @@ def cluster_weights(
     part_col: str | None = "part",
 ) -> DataFrame:
     """Total weight of the points nearest to each center: ``part?, label, weight``."""
-    return _per_cluster(points, centers, F.sum("w"), "weight", id_col, vec_col, weight_col, part_col, F.lit(0.0))
+    return _per_cluster(points, centers, "sw", "weight", "DOUBLE", id_col, vec_col, weight_col, part_col)
 
 
 def kmedian_cost(
@@ -481,13 +435,14 @@ def kmedian_cost(
 ) -> DataFrame:
     """Mean distance to the nearest center, weighted: ``part?, cost``.
 
-    One scan and one aggregate; the centers travel with the distance kernel
-    (size checked).
+    One scan and one small aggregate. Without parts there is always one row,
+    NULL for no points; centers without a part give the cost over all points.
     """
-    pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    a = _assigned(pts, centers, has_part, ["part", "w"])
-    out = a.groupBy("part").agg((F.sum(F.col("w") * F.col("dist")) / F.sum("w")).alias("cost"))
-    return out if has_part else out.drop("part")
+    pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
+    model, _ = _collect_centers(centers, by_part)
+    sums = _sums(pts, model, True)
+    cost = F.try_divide(F.sum("sd"), F.sum("sw")).alias("cost")
+    return sums.groupBy("part").agg(cost) if by_part else sums.agg(cost)
 
 
 def lloyd_step(
@@ -500,37 +455,27 @@ def lloyd_step(
 ) -> DataFrame:
     """One Lloyd step: each center moves to the weighted mean of its members.
 
-    ``part?, label, center``; an empty cluster keeps its center (Q4). The
-    coordinate sums are one aggregate per (part, label), partial per task.
+    ``part?, label, center``; an empty cluster keeps its center (Q4). The step
+    of :func:`lloyd`, run now.
     """
-    pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    by_part = _collect_centers(centers, has_part)
-    a = _assigned(pts, centers, has_part, ["part", "w", "v"], by_part)
-    dim = max((len(c) for cs in by_part.values() for _, c in cs), default=0)
-    sums = F.expr("array(" + ", ".join(f"sum(w * v[{i}])" for i in range(dim)) + ")").alias("sx")
-    per = a.groupBy("part", "label").agg(F.sum("w").alias("sw"), sums).withColumn(
-        "old", F.lit(None).cast("array<double>")
-    )
-    old = centers.select(
-        (F.col("part").cast("int") if has_part and "part" in centers.columns else F.lit(0)).alias("part"),
-        F.col("label").cast("int").alias("label"),
-        F.lit(0.0).alias("sw"),
-        F.lit(None).cast("array<double>").alias("sx"),
-        F.col("center").cast("array<double>").alias("old"),
-    )
-    # Union and aggregate (k·L rows) rather than a join, which would push an
-    # inferred filter below the kernel and run it twice.
-    both = per.unionByName(old).groupBy("part", "label").agg(
-        F.sum("sw").alias("sw"), F.max("sx").alias("sx"), F.max("old").alias("old")
-    )
-    mean = F.expr("transform(sx, x -> x / sw)")
-    out = both.select("part", "label", F.when(F.col("sw") > 0, mean).otherwise(F.col("old")).alias("center"))
-    return out if has_part else out.drop("part")
+    pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
+    model, labels = _collect_centers(centers, by_part)
+    stats = _step(pts, model)
+    rows = [
+        (p, int(labels[p][i]), _moved(c, stats.get(p, {}).get(i))) for p, cs in sorted(model.items()) for i, c in enumerate(cs)
+    ]
+    out = _local_frame(points.sparkSession, rows, _CENTER_ROWS_SCHEMA)
+    return out if by_part else out.drop("part")
+
 
+def _step(pts: DataFrame, model: Model) -> dict[int, dict[int, tuple]]:
+    """:func:`_pass` over points all of whose parts must have centers."""
+    return _pass(_of_parts(pts, model, True), model)
 
-def _run_kmedian(pts: DataFrame, k: int, iterations: int, seed: int, final_pass: bool):
-    chosen = _seed(pts, k, seed)
-    centers = {p: [v for _, v in c] for p, c in chosen.items()}
+
+def _run_kmedian(pts: DataFrame, k: int, iterations: int, seed: int, final_pass: bool, parts: int = 1):
+    chosen = _seed(pts, k, seed, parts)
+    centers = {p: np.stack([v for _, v in c]) for p, c in chosen.items()}
     return _lloyd(pts, centers, iterations, final_pass)
 
 
@@ -545,17 +490,16 @@ def lloyd(
 ) -> DataFrame:
     """Lloyd refinement from given centers with the stop test: ``part?, label, center``."""
     _check_args(iterations=iterations)
-    pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
-    by_part = _collect_centers(centers, has_part)
-    labels = {p: [lab for lab, _ in cs] for p, cs in by_part.items()}
-    pts = _persist_points(pts)
+    pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
+    model, labels = _collect_centers(centers, by_part)
+    pts = _persist_points(_of_parts(pts, model, True))
     try:
-        state = _lloyd(pts, {p: [c for _, c in cs] for p, cs in by_part.items()}, iterations, False)
+        state = _lloyd(pts, model, iterations, False)
     finally:
         pts.unpersist()
-    rows = [(p, labels[p][i], c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]
+    rows = [(p, int(labels[p][i]), c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]
     out = _local_frame(points.sparkSession, rows, _CENTER_ROWS_SCHEMA)
-    return out if has_part else out.drop("part")
+    return out if by_part else out.drop("part")
 
 
 def kmedian(
@@ -580,15 +524,15 @@ def kmedian(
         state = _run_kmedian(pts, k, iterations, seed, False)
     finally:
         pts.unpersist()
-    if not has_part and len(state.get(0, _PartState([])).centers) < k:
+    if not has_part and (0 not in state or len(state[0].centers) < k):
         raise ValueError(f"k = {k} is above the number of points")
     rows = [(p, i, c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]
     out = _local_frame(points.sparkSession, rows, _CENTER_ROWS_SCHEMA)
     return out if has_part else out.drop("part")
 
 
-def _coreset_rows(pts: DataFrame, k: int, iterations: int, seed: int) -> list[tuple]:
-    state = _run_kmedian(pts, k, iterations, seed, True)
+def _coreset_rows(pts: DataFrame, k: int, iterations: int, seed: int, parts: int) -> list[tuple]:
+    state = _run_kmedian(pts, k, iterations, seed, True, parts)
     return [
         (p, label, c, int(s.sizes[label]))
         for p, s in sorted(state.items())
@@ -615,9 +559,9 @@ def coreset(
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
-    pts = _persist_points(pts)
+    pts = _persist_points(_clustered(pts, parts))
     try:
-        rows = _coreset_rows(pts, k, iterations, seed)
+        rows = _coreset_rows(pts, k, iterations, seed, parts)
     finally:
         pts.unpersist()
     return _local_frame(spark, rows, "part INT, label INT, center ARRAY<DOUBLE>, w BIGINT")
@@ -636,10 +580,9 @@ def kmedian_mr(
     """Three-round MapReduce k-median: ``label, center, cost``.
 
     Round 1: the coreset (k weighted centers per part). Round 2: weighted
-    k-means++ and Lloyd on the coreset alone (k·parts rows, one Spark
-    partition), coreset ids ``part·k + label``, zero weights dropped (Q5).
-    Round 3: the mean distance of all points to the k centers, one scan with
-    the centers in the distance kernel. ``timings``, if given, receives the
+    k-means++ and Lloyd on the coreset alone (k·parts rows), coreset ids ``part·k + label``, zero weights dropped (Q5).
+    Round 3: the mean distance of all points to the k centers, one scan, as
+    :func:`kmedian_cost` gives it. ``timings``, if given, receives the
     seconds spent in each round (``round1`` .. ``round3``).
     """
     clock = time.perf_counter
@@ -647,9 +590,9 @@ def kmedian_mr(
     _check_args(k=k, parts=parts, iterations=iterations)
     spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
-    pts = _persist_points(pts)
+    pts = _persist_points(_clustered(pts, parts))
     try:
-        rows = _coreset_rows(pts, k, iterations, seed)
+        rows = _coreset_rows(pts, k, iterations, seed, parts)
         if sum(w for *_, w in rows) < k:
             raise ValueError(f"k = {k} is above the number of points")
         marks.append(clock())
@@ -657,12 +600,11 @@ def kmedian_mr(
             spark,
             [(0, p * k + label, c, float(w)) for p, label, c, w in rows if w > 0],
             "part INT, id BIGINT, v ARRAY<DOUBLE>, w DOUBLE",
-        ).coalesce(1)
+        )
         state = _run_kmedian(core, k, iterations, seed, False)[0]
         marks.append(clock())
-        everyone = pts.select(F.lit(0).alias("part"), "v", "w")
-        near = _with_nearest(everyone, {0: state.centers}, ["w"])
-        cost = near.agg(F.sum(F.col("w") * F.col("dist")) / F.sum("w")).first()[0]
+        everyone = cluster_sums(pts.withColumn("part", F.lit(0)), {0: state.centers})
+        cost = everyone.agg(F.sum("sd") / F.sum("sw")).first()[0]
         marks.append(clock())
     finally:
         pts.unpersist()

@@ -48,26 +48,16 @@ def normalize_by_max(
 
 
 def harmonic_mean(df: DataFrame, col: str) -> DataFrame:
-    """One row ``harmonic_mean`` of the values divided by their maximum.
+    """One row ``harmonic_mean`` of the values divided by their maximum: n / sum(1 / (x / max)).
 
-    n / sum(1 / (x / max)). A value of 0 makes its reciprocal +Infinity and
-    the mean 0 (Java's double arithmetic; ANSI SQL would raise). One pass over
-    the data: 1/(x/max) = max * (1/x), so count, max, the number of zeros and
-    sum(1/x) are gathered by a single partial/final aggregate. NULL for no
-    rows; a maximum of 0 raises an error.
+    The same doubles as Java: a value of 0 makes its reciprocal infinite and
+    the mean 0; a NaN value, or an infinite maximum, makes it NaN. NULL for no
+    rows; a maximum of 0 raises an error. Two scans: the maximum is a scalar
+    subquery, as in :func:`normalize_by_max`, since scaling the sum of 1/x
+    afterwards would lose tiny and infinite values.
     """
-    x = F.col(col).cast("double")
-    stats = df.where(x.isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(x).alias("mx"),
-        F.sum(F.when(x == 0, 1).otherwise(0)).alias("zeros"),
-        F.sum(F.when(x != 0, reciprocal(x))).alias("inv"),
-    )
-    n, mx, zeros, inv = (F.col(c) for c in ("n", "mx", "zeros", "inv"))
-    value = (
-        F.when(n == 0, F.lit(None).cast("double"))
-        .when(mx == 0, F.raise_error(F.lit(_ZERO_MAX)).cast("double"))
-        .when(zeros > 0, F.lit(0.0))
-        .otherwise(n / (mx * inv))
-    )
-    return stats.select(value.alias("harmonic_mean"))
+    inverse = normalize_by_max(df, col).select(reciprocal(F.col("normalized")).alias("inv"))
+    n, total = F.count("inv"), F.sum("inv")
+    # An infinite sum gives 0 and a NaN one NaN; the sum is 0 only if infinities are missing, so never.
+    mean = F.when(n == 0, F.lit(None).cast("double")).otherwise(n / total)
+    return inverse.agg(mean.alias("harmonic_mean"))

@@ -1,4 +1,4 @@
-"""Even redistribution of an input that arrives in too few pieces."""
+"""Even redistribution into a given number of pieces."""
 
 from __future__ import annotations
 
@@ -6,19 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, parts: int | None = None) -> DataFrame:
-    """Round-robin ``df`` into ``parts`` pieces, or into the cluster's task slots
-    when the input has fewer partitions than that.
+    """Round-robin ``df`` into ``parts`` pieces; without ``parts`` it stays as it is.
 
-    A large input split into many files or row groups is left alone (no
-    shuffle); a single big file read as one task is spread so that the work
-    after it runs on every core. This is the reference's ``repartition(K)``
-    with K defaulting to the cluster's parallelism.
+    The shuffle moves all of ``df``. Spark's file settings
+    (``spark.sql.files.maxPartitionBytes``) split large files without one.
     """
-    if parts:
-        return df.repartition(parts)
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        pieces = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the input as it is
-        return df
-    return df.repartition(slots) if pieces < slots else df
+    return df.repartition(parts) if parts else df

@@ -39,7 +39,7 @@ def doc_term_counts(df: DataFrame, text_col: str = "text", doc_cols: Sequence[st
 
     The text of a document is split into words as a whole (no line cut).
     """
-    words = spread(df.select(*doc_cols, text_col)).where(F.col(text_col).isNotNull()).select(
+    words = df.select(*doc_cols, text_col).where(F.col(text_col).isNotNull()).select(
         *doc_cols, F.explode(split_words(F.col(text_col))).alias("word")
     )
     return words.groupBy(*doc_cols, "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -83,12 +83,12 @@ def word_count_partitioned(
 ) -> DataFrame:
     """Strategy 2-bis: combine inside each partition, then sum by word.
 
-    This is exactly Spark's partial/final aggregate: the partial step is the
-    per-partition combine. ``parts`` redistributes the documents evenly first
-    (the reference's ``K``); by default they are spread only when the input
-    has fewer partitions than the cluster has task slots.
+    Spark's partial/final aggregate does this: the partial step is the
+    per-partition combine. With ``parts`` (the reference's ``K``) the documents
+    are dealt evenly into so many partitions first, which moves their texts;
+    without it the plan is that of :func:`word_count`.
     """
-    return _words(docs, text_col, id_col, parts).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return word_count(docs, text_col, id_col, parts)
 
 
 def distinct_word_count(counts: DataFrame) -> DataFrame:
@@ -112,18 +112,23 @@ def word_count_report(
     text_col: str = "text",
     id_col: str = "doc_id",
     parts: int | None = None,
+    units: str = "codepoints",
 ) -> DataFrame:
-    """``strategy, distinct_words, avg_length``: one row per strategy."""
+    """``strategy, distinct_words, avg_length``: one row per strategy.
+
+    ``parts`` is the number of partitions of the partition-wise strategy;
+    lengths count in ``units``, as in :func:`avg_distinct_word_length`.
+    """
     tables = {
-        "word_count": word_count(docs, text_col, id_col, parts),
-        "word_count_salted": word_count_salted(docs, salts, seed, text_col, id_col, parts),
+        "word_count": word_count(docs, text_col, id_col),
+        "word_count_salted": word_count_salted(docs, salts, seed, text_col, id_col),
         "word_count_partitioned": word_count_partitioned(docs, text_col, id_col, parts),
     }
     rows = [
         t.agg(
             F.lit(name).alias("strategy"),
             F.count(F.lit(1)).alias("distinct_words"),
-            F.avg(F.length("word").cast("double")).alias("avg_length"),
+            F.avg(char_length(F.col("word"), units).cast("double")).alias("avg_length"),
         )
         for name, t in tables.items()
     ]

@@ -44,7 +44,7 @@ def _docs(spark, sf_dir):
 
 def _points(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), "label"
+        F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label"
     )
 
 
@@ -88,11 +88,11 @@ def q_parse_numbers(spark, sf_dir):
 
 
 def q_lines(spark, sf_dir):
-    return lines(spread(_docs(spark, sf_dir)), "text", keep=("doc_id",))
+    return lines(_docs(spark, sf_dir), "text", keep=("doc_id",))
 
 
 def q_tokenize(spark, sf_dir):
-    ls = lines(spread(_docs(spark, sf_dir)), "text", keep=("doc_id",))
+    ls = lines(_docs(spark, sf_dir), "text", keep=("doc_id",))
     return W.tokenize(ls, "line", keep=("doc_id", "line_no"))
 
 
@@ -110,7 +110,7 @@ def q_word_count_salted(spark, sf_dir):
 
 
 def q_word_count_partitioned(spark, sf_dir):
-    return W.word_count_partitioned(_docs(spark, sf_dir))
+    return W.word_count_partitioned(_docs(spark, sf_dir), parts=PARTS)
 
 
 def q_distinct_word_count(spark, sf_dir):
@@ -123,7 +123,7 @@ def q_avg_distinct_word_length(spark, sf_dir):
 
 
 def q_word_count_report(spark, sf_dir):
-    out = W.word_count_report(_docs(spark, sf_dir), salts=SALTS, seed=SEED)
+    out = W.word_count_report(_docs(spark, sf_dir), salts=SALTS, seed=SEED, parts=PARTS)
     return out.select("strategy", "distinct_words", _r9(F.col("avg_length")).alias("avg_length"))
 
 
@@ -192,6 +192,25 @@ def q_kmedian_with_cost(spark, sf_dir):
     return centers.select("label", round_vector("center", VECTOR_DIGITS).alias("center"), cost.alias("cost"))
 
 
+def q_kmedian_weighted(spark, sf_dir):
+    """Clustering of points that weigh label + 1."""
+    pts = _points(spark, sf_dir).withColumn("weight", F.col("label") + 1)
+    out = C.kmedian(pts, K, KMEDIAN_ITERATIONS, seed=SEED, weight_col="weight")
+    return out.select("label", round_vector("center", VECTOR_DIGITS).alias("center"))
+
+
+def q_kmedian_cost_parted(spark, sf_dir):
+    """The cost over all points of centers without a part, from points that have one."""
+    pts = C.assign_parts(_points(spark, sf_dir), PARTS, seed=SEED)
+    out = C.kmedian_cost(pts, _seeds(spark, sf_dir))
+    return out.select(_r9(F.col("cost")).alias("cost"))
+
+
+def q_spread_lines(spark, sf_dir):
+    """The lines of documents that were dealt evenly into partitions."""
+    return lines(spread(_docs(spark, sf_dir), PARTS), "text", keep=("doc_id",))
+
+
 def q_coreset(spark, sf_dir):
     out = C.coreset(_points(spark, sf_dir), K, PARTS, CORESET_ITERATIONS, seed=SEED)
     return out.select("part", "label", round_vector("center", VECTOR_DIGITS).alias("center"), "w")
@@ -230,4 +249,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmedian_with_cost": q_kmedian_with_cost,
     "coreset": q_coreset,
     "kmedian_mr": q_kmedian_mr,
+    "kmedian_weighted": q_kmedian_weighted,
+    "kmedian_cost_parted": q_kmedian_cost_parted,
+    "spread_lines": q_spread_lines,
 }

@@ -223,6 +223,12 @@ def _kmedian_sql() -> str:
     return _with(ctes + lctes, f"SELECT label, {_rvec('center')} AS center FROM {final}")
 
 
+def _kmedian_weighted_sql() -> str:
+    ctes, seeds = _seeded("label + 1")
+    lctes, final, _ = _lloyd_ctes("pts", seeds, Q.KMEDIAN_ITERATIONS, False, "l_")
+    return _with(ctes + lctes, f"SELECT label, {_rvec('center')} AS center FROM {final}")
+
+
 def _kmedian_with_cost_sql() -> str:
     ctes, seeds = _seeded()
     lctes, final, _ = _lloyd_ctes("pts", seeds, Q.KMEDIAN_ITERATIONS, False, "l_")
@@ -333,4 +339,7 @@ FROM (VALUES ('word_count'), ('word_count_salted'), ('word_count_partitioned'))
     "kmedian_with_cost": _kmedian_with_cost_sql(),
     "coreset": _coreset_sql(),
     "kmedian_mr": _kmedian_mr_sql(),
+    "kmedian_weighted": _kmedian_weighted_sql(),
+    "kmedian_cost_parted": _kmedian_cost_sql(),
+    "spread_lines": _LINES,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_words
-from tessera.sources.text import _number
+from tessera.sources.text import _number, with_line_ids
 
 
 def _checked(v):
@@ -18,37 +18,19 @@ def parse_points(df: DataFrame, text_col: str = "value", id_col: str | None = No
     """Doubles separated by single spaces, one point per row: ``id, v``.
 
     An empty token (two spaces in a row) fails the cast, as in Java. Without
-    ``id_col`` the id is ``monotonically_increasing_id()``.
+    ``id_col`` the id comes from the line itself (:func:`with_line_ids`).
     """
-    ident = F.col(id_col).cast("long") if id_col else F.monotonically_increasing_id()
+    if id_col is None:
+        df, id_col = with_line_ids(df, text_col, "id"), "id"
     v = F.transform(split_words(F.col(text_col)), _number)
-    return df.where(F.col(text_col).isNotNull()).select(ident.alias("id"), _checked(v).alias("v"))
+    return df.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), _checked(v).alias("v"))
 
 
 def read_points(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """A point-per-line text file or folder as ``id BIGINT, v ARRAY<DOUBLE>``."""
-    df = spark.read.text(path)
-    if min_partitions:
-        try:
-            few = df.rdd.getNumPartitions() < min_partitions
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
-            few = True
-        if few:
-            df = df.repartition(min_partitions)
-    return parse_points(df, "value")
-
-
-def points_from_table(
-    df: DataFrame, id_col: str = "id", vec_col: str = "v", weight_col: str | None = None
-) -> DataFrame:
-    """Normalize a table of vectors to ``id BIGINT, v ARRAY<DOUBLE>, w DOUBLE``.
-
-    Rows with a NULL id or vector are dropped; non-finite coordinates raise.
-    The weight defaults to 1.
+    """A point-per-line text file or folder as ``id BIGINT, v ARRAY<DOUBLE>``.
+
+    The ids depend on the lines alone. ``min_partitions`` deals the points into
+    so many partitions; without it Spark's settings decide.
     """
-    w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    return df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"),
-        _checked(F.col(vec_col).cast("array<double>")).alias("v"),
-        w.alias("w"),
-    )
+    points = parse_points(spark.read.text(path), "value")
+    return points.repartition(min_partitions, "id") if min_partitions else points

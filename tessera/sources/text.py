@@ -10,6 +10,31 @@ from pyspark.sql import functions as F
 from tessera.functions.text import split_lines
 
 
+# What separates numbers, Java's Character.isWhitespace.
+NUMBER_SEPARATOR = r"[\t-\r\x1C-\x1F\p{Z}&&[^\u00A0\u2007\u202F]]+"
+#: Equal lines numbered in one task.
+_TIES = 4096
+
+
+def with_line_ids(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``out BIGINT, <text_col>`` with ids that depend on the lines alone, however the file is split.
+
+    The id is a hash of the line and of its number among the equal lines (which
+    one is which makes no difference). It costs one shuffle of the lines,
+    combined per task, so a line that fills a third of the file is counted
+    before it moves, and its copies are numbered in blocks. Among n different
+    lines two get the same id with probability about n**2 / 2**65; files with
+    ids of their own need none of this.
+    """
+    counted = df.where(F.col(text_col).isNotNull()).groupBy(text_col).agg(F.count(F.lit(1)).alias("n"))
+    few = counted.where(F.col("n") <= _TIES).select(text_col, F.explode(F.expr("sequence(0L, n - 1)")).alias("tie"))
+    block = F.explode(F.expr(f"sequence(0L, (n - 1) div {_TIES})")).alias("block")
+    many = counted.where(F.col("n") > _TIES).select(text_col, "n", block).repartition(text_col, "block")
+    last = F.least(F.col("n"), (F.col("block") + 1) * _TIES) - 1
+    many = many.select(text_col, F.explode(F.sequence(F.col("block") * _TIES, last)).alias("tie"))
+    return few.unionAll(many).select(F.xxhash64(text_col, "tie").alias(out), text_col)
+
+
 def _number(token):
     """The token as a double; a malformed token fails the query in any SQL
     mode (ANSI casting already fails; without ANSI the cast gives NULL)."""
@@ -24,7 +49,7 @@ def parse_numbers(df: DataFrame, text_col: str = "value", keep: Sequence[str] =
     row). A malformed token fails the query under ANSI casting, as
     ``Double.parseDouble`` throws. Rows with a NULL text give no numbers.
     """
-    tokens = F.filter(F.split(F.col(text_col), r"\s+", -1), lambda t: t != "")
+    tokens = F.filter(F.split(F.col(text_col), NUMBER_SEPARATOR, -1), lambda t: t != "")
     return (
         df.where(F.col(text_col).isNotNull())
         .select(*keep, F.posexplode(tokens).alias("pos", "token"))
@@ -40,12 +65,9 @@ def read_numbers(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """A line-per-document text file as ``doc_id BIGINT, text STRING``.
 
-    ``doc_id`` is unique and stable for the same input splits, so a retried
-    task gives the same ids.
+    ``doc_id`` is the same however the file is split (see :func:`with_line_ids`).
     """
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text")
-    )
+    return with_line_ids(spark.read.text(path), "value", "doc_id").withColumnRenamed("value", "text")
 
 
 def lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -176,19 +176,14 @@ def test_parts_are_even_and_stable(spark):
 
 
 def test_kernel_equals_sql_distance_bitwise(spark):
-    from tessera.functions.kernels import nearest_center
-    from tessera.functions.vectors import euclidean
+    from tessera.functions.vectors import nearest
 
-    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
-        F.lit(0).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
-    )
-    c = [float(x) for x in emb.orderBy("id").first().v]
-    c = [x * 0.5 + 0.01 for x in c]
-    got = emb.withColumn("c", F.array(*[F.lit(x) for x in c])).select(
-        "id", nearest_center("part", "v", {0: [c]})["dist"].alias("k"), euclidean("v", "c").alias("s")
-    )
-    rows = got.collect()
-    assert rows and all(r.k == r.s for r in rows)
+    emb = _emb(spark)
+    cs = [[float(x) * 0.5 + 0.01 for x in r.v] for r in emb.orderBy("id").limit(3).collect()]
+    lit = F.array(*[F.struct(F.lit(i).alias("label"), F.array(*[F.lit(x) for x in c]).alias("center")) for i, c in enumerate(cs)])
+    want = {r.id: (r.s.label, r.s.dist) for r in emb.withColumn("cs", lit).select("id", nearest("v", "cs").alias("s")).collect()}
+    got = {r.id: (r.label, r.dist) for r in assign_nearest(emb, ctr(spark, list(enumerate(cs)))).collect()}
+    assert got == want
 
 
 def test_zero_weight_coreset_points_are_dropped(spark):
@@ -211,21 +206,6 @@ def test_doubled_vectors_give_doubled_centers(spark):
         assert doubled[lab] == pytest.approx(narrow[lab] + narrow[lab], abs=1e-12)
 
 
-def test_sql_nearest_matches_kernel(spark):
-    from tessera.functions.kernels import nearest_center
-    from tessera.functions.vectors import nearest
-
-    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
-        F.lit(0).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
-    )
-    cs = [[float(x) for x in r.v] for r in emb.orderBy("id").limit(3).collect()]
-    lit = F.array(*[F.struct(F.lit(i).alias("label"), F.array(*[F.lit(x) for x in c]).alias("center")) for i, c in enumerate(cs)])
-    rows = emb.withColumn("cs", lit).select(
-        nearest("v", "cs").alias("s"), nearest_center("part", "v", {0: cs}).alias("k")
-    ).collect()
-    assert all(r.s.label == r.k.label and r.s.dist == r.k.dist for r in rows)
-
-
 def _emb(spark):
     return spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")
@@ -260,36 +240,99 @@ def test_null_rows_are_dropped(spark):
     assert sizes == {0: 1, 1: 1}
 
 
-def test_rebased_running_distance_gives_the_same_seeds(spark, monkeypatch):
-    import tessera.operators.clustering as C
+def test_equal_points_are_chosen_once_each(spark):
+    p = pts(spark, [(i, [1.0, 1.0]) for i in (9, 2, 7, 4, 5, 1)])
+    ids = [r.id for r in seed_centers(p, 6, seed=3).orderBy("label").collect()]
+    assert sorted(ids) == [1, 2, 4, 5, 7, 9]
+    assert ids[1:] == sorted(ids[1:])
+
+
+def test_many_seeds_write_no_second_copy(spark):
+    emb = _emb(spark)
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = held().size()
+    s = seed_centers(emb, 64, seed=2).collect()
+    assert len({r.id for r in s}) == 64 and held().size() <= before
+
+
+def test_centers_without_part_apply_to_every_point(spark):
+    p = pts(spark).withColumn("part", F.col("id") % 2)
+    assert kmedian_cost(p, ctr(spark)).collect() == kmedian_cost(pts(spark), ctr(spark)).collect()
+    assert {r.id: r.label for r in assign_nearest(p, ctr(spark)).collect()} == {0: 0, 1: 0, 2: 1, 3: 1}
+    assert {r.label: r.size for r in cluster_sizes(p, ctr(spark)).collect()} == {0: 2, 1: 2}
+    assert {r.label: r.center for r in lloyd_step(p, ctr(spark)).collect()} == {0: [0.0, 0.5], 1: [10.0, 0.5]}
+    assert {r.label: r.center for r in lloyd(p, ctr(spark), 3).collect()} == {0: [0.0, 0.5], 1: [10.0, 0.5]}
+
 
+def test_mr_cost_on_parted_points(spark):
     emb = _emb(spark)
-    monkeypatch.setattr(C, "REBASE_EVERY", 100)
-    plain = [(r.label, r.id) for r in seed_centers(emb, 11, seed=21).collect()]
-    monkeypatch.setattr(C, "REBASE_EVERY", 3)
-    rebased = [(r.label, r.id) for r in seed_centers(emb, 11, seed=21).collect()]
-    assert plain == rebased and len(plain) == 11
+    out = kmedian_mr(emb, 3, 4, 1, seed=2).collect()
+    cost = kmedian_cost(assign_parts(emb, 4, seed=2), ctr(spark, [(r.label, r.center) for r in out])).first().cost
+    assert cost == pytest.approx(out[0].cost, rel=1e-12)
 
 
-def test_rebase_keeps_chosen_points_out(spark, monkeypatch):
-    import tessera.operators.clustering as C
+def test_part_without_centers_is_an_error(spark):
+    p = pts(spark).withColumn("part", (F.col("id") % 2).cast("int"))
+    c = ctr(spark).withColumn("part", F.lit(0))
+    for run in (assign_nearest, cluster_sizes, cluster_weights, kmedian_cost, lloyd_step):
+        with pytest.raises(Exception, match="no centers for part 1"):
+            run(p, c).collect()
+    with pytest.raises(Exception, match="no centers for part 1"):
+        lloyd(p, c, 2)
+    with pytest.raises(ValueError, match="points have none"):
+        kmedian_cost(pts(spark), c)
 
-    monkeypatch.setattr(C, "REBASE_EVERY", 2)
-    p = pts(spark, [(i, [1.0, 1.0]) for i in (9, 2, 7, 4, 5, 1)])
-    ids = [r.id for r in seed_centers(p, 6, seed=3).orderBy("label").collect()]
-    assert sorted(ids) == [1, 2, 4, 5, 7, 9]
-    assert ids[1:] == sorted(ids[1:])
 
+@pytest.mark.parametrize("bad", [None, -1.0, float("nan"), float("inf")])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_bad_weights_are_refused(spark, bad, parts):
+    rows = [(i, [float(i), 0.0], 1.0) for i in range(4)] + [(9, [1.0, 1.0], bad)]
+    p = spark.createDataFrame(rows, "id BIGINT, v ARRAY<DOUBLE>, w DOUBLE").repartition(parts)
+    for run in (lambda: kmedian(p, 2, 2, weight_col="w"), lambda: lloyd_step(p, ctr(spark), "w"), lambda: cluster_weights(p, ctr(spark), "w").collect()):
+        with pytest.raises(Exception, match="weight is NULL, negative or not finite"):
+            run()
 
-def test_checkpointed_rebase_gives_the_same_seeds(spark, monkeypatch):
-    import tessera.operators.clustering as C
 
+def test_no_points_cost_null(spark):
+    assert kmedian_cost(pts(spark, []), ctr(spark)).collect()[0].cost is None
+
+
+def test_large_models_go_by_blocks_of_parts(spark):
     emb = _emb(spark)
-    plain = [(r.label, r.id) for r in seed_centers(emb, 9, seed=5).collect()]
-    monkeypatch.setattr(C, "REBASE_EVERY", 2)
-    monkeypatch.setattr(C, "CHECKPOINT_EVERY_REBASES", 2)
-    cut = [(r.label, r.id) for r in seed_centers(emb, 9, seed=5).collect()]
-    assert plain == cut
+    whole = [tuple(r) for r in coreset(emb, 3, 4, 1, seed=5).orderBy("part", "label").collect()]
+    parted, centers = assign_parts(emb, 4, seed=5), coreset(emb, 3, 4, 1, seed=5)
+    sizes = sorted(map(tuple, cluster_sizes(parted, centers).collect()))
+    near = sorted(map(tuple, assign_nearest(parted, centers).collect()))
+    spark.conf.set("tessera.maxBroadcastBytes", str(8 * 3 * 64))
+    try:
+        assert [tuple(r) for r in coreset(emb, 3, 4, 1, seed=5).orderBy("part", "label").collect()] == whole
+        assert sorted(map(tuple, cluster_sizes(parted, centers).collect())) == sizes
+        assert sorted(map(tuple, assign_nearest(parted, centers).collect())) == near
+        with pytest.raises(ValueError, match="maxBroadcastBytes"):
+            seed_centers(emb, 4, seed=5)
+    finally:
+        spark.conf.unset("tessera.maxBroadcastBytes")
+
+
+def test_many_parts_shuffle_a_row_each(spark, monkeypatch):
+    """Many parts: a pass returns about k·L rows in all, not k·L for each task or batch."""
+    from tessera.functions import kernels
+    from tessera.operators import clustering as C
+
+    points = spark.range(20000).select("id", F.array((F.col("id") % 97).cast("float"), F.rand(3).cast("float")).alias("v"))
+    partial = []
+
+    def counted(df, model):
+        partial.append(kernels.cluster_sums(df, model))
+        return partial[-1]
+
+    monkeypatch.setattr(C, "cluster_sums", counted)
+    core = coreset(points, 2, 500, 1, seed=1)
+    assert core.count() == 1000
+    pts_, _ = C._points(assign_parts(points, 500, seed=1))
+    dealt = C._clustered(pts_, 500)
+    rows = dealt.select("part", F.spark_partition_id().alias("task")).distinct().count()
+    assert rows < 1.2 * 500
 
 
 @pytest.mark.parametrize("bad", [[1.0, None], [1.0, float("nan")], [float("inf"), 0.0]])

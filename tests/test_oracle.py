@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tessera.compare import compare, duck
+from tessera.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 
 
@@ -13,10 +14,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.SQL)
+    assert catalog.QUERIES.items() <= E.queries().items()
+    assert oracle.SQL.items() <= E.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_matches_sql(spark, con, name):
     res = compare(E.queries()[name](spark, SF_SMALL), con, E.oracle_sql()[name])
     assert res["columns_match"], res["columns"]

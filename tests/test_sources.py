@@ -20,3 +20,25 @@ def test_read_points(spark, tmp_path):
     p.write_text("0 0\n0 1\n10 0\n10 1\n")
     pts = read_points(spark, str(p), min_partitions=2).collect()
     assert sorted(tuple(r.v) for r in pts) == [(0.0, 0.0), (0.0, 1.0), (10.0, 0.0), (10.0, 1.0)]
+
+
+def test_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    from tessera import seed_centers
+
+    p = tmp_path / "points.txt"
+    p.write_text("".join(f"{i % 50} {i % 7}\n" for i in range(3000)))
+    seeds = {tuple(sorted((r.id, *r.center) for r in seed_centers(read_points(spark, str(p), n), 4, seed=3).collect())) for n in (1, 3, 7)}
+    assert len(seeds) == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        split = {r.doc_id: r.text for r in read_documents(spark, str(p)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert split == {r.doc_id: r.text for r in read_documents(spark, str(p)).collect()} and len(split) == 3000
+
+
+def test_frequent_lines_are_numbered_in_blocks(spark, tmp_path):
+    p = tmp_path / "docs.txt"
+    p.write_text("same\n" * 9000 + "other\n")
+    rows = read_documents(spark, str(p)).collect()
+    assert len({r.doc_id for r in rows}) == 9001 and sum(r.text == "same" for r in rows) == 9000

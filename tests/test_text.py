@@ -84,13 +84,15 @@ def test_doc_term_counts_and_tokenize_positions(spark):
     assert [(r.doc_id, r.pos, r.word) for r in toks] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "a"), (2, 0, "b")]
 
 
-def test_spread_only_when_the_input_is_in_few_pieces(spark):
+def test_spread_only_when_asked(spark):
     from tessera import spread
 
-    slots = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, slots * 2)
-    assert spread(many) is many
     one = spark.range(0, 1000, 1, 1)
-    assert spread(one).rdd.getNumPartitions() == slots
+    assert spread(one) is one
     assert spread(one, parts=3).rdd.getNumPartitions() == 3
-    assert sorted(r.id for r in spread(one).collect()) == list(range(1000))
+    assert sorted(r.id for r in spread(one, 3).collect()) == list(range(1000))
+
+
+def test_report_in_utf16_units(spark):
+    docs = _docs(spark, ["\U0001f600 b"])
+    assert {r.avg_length for r in word_count_report(docs, units="utf16").collect()} == {1.5}
