@@ -184,7 +184,10 @@ def mix(
 
 
 def take_copies(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5, limit: float = 2.0) -> DataFrame:
-    """The mix itself: every document as often as :func:`mix` says, with its columns and ``copy`` (from 1)."""
+    """The mix itself: every document as often as :func:`mix` says, with its columns and ``copy`` (from 1).
+
+    The new column is called ``copy_`` where the documents have a ``copy`` already, and so on.
+    """
     mixed = materialize(mix(docs, weights, total_share, limit))
     key = ["doc_id", "row_key", "source"]
     counts = mixed.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
@@ -192,7 +195,10 @@ def take_copies(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_sha
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"), F.col("source").alias("src"))
     same = F.col("id").eqNullSafe(F.col("m_doc_id")) & (F.col("key") == F.col("m_row_key")) & F.col("src").eqNullSafe(F.col("m_source"))
     # F.sequence counts down from an end below its start, so documents without copies go first.
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    name = "copy"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name)
     single = rows.join(counts.where("rows = 1 AND copies > 0"), same).select("row.*", copy)
     repeated = counts.where("rows > 1 AND copies > 0")
     if repeated.isEmpty():
