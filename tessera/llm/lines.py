@@ -147,8 +147,8 @@ def deletions(
     earlier = table.select(F.col("doc_id").alias("e_id"), F.col("row_key").alias("e_key"), F.col("hashes").alias("earlier"))
     later = table.select(F.col("doc_id").alias("l_id"), F.col("row_key").alias("l_key"), "n_lines", "at", "hashes", "n_words")
     # Tables on both sides of either join, so that a frequent holder's pairs can be split over tasks.
-    both = pairs.join(earlier, F.col("h_id").eqNullSafe(F.col("e_id")) & (F.col("h_key") == F.col("e_key")))
-    both = both.join(later, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("row_key") == F.col("l_key")))
+    both = pairs.join(earlier.hint("merge"), F.col("h_id").eqNullSafe(F.col("e_id")) & (F.col("h_key") == F.col("e_key")))
+    both = both.join(later.hint("merge"), F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("row_key") == F.col("l_key")))
     schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int32()), ("n_lines", pa.int64()), ("lost", pa.list_(pa.int64()))])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +188,8 @@ def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int =
     found = materialize(deletions(docs, rare_docs, least_words))
     found = found.select(F.col("doc_id").alias("x_id"), F.col("row_key").alias("x_key"), "n_deleted", "keep")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.hash("text").alias("key"))
-    both = rows.join(found, F.col("id").eqNullSafe(F.col("x_id")) & (F.col("key") == F.col("x_key")), "left")
+    # One plan at every size: a small table of findings would be broadcast, a large one not.
+    both = rows.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("x_id")) & (F.col("key") == F.col("x_key")), "left")
     left = F.array_join(F.filter(F.split(F.col("row.text"), "\n", -1), lambda line, i: F.get(F.col("keep"), i)), "\n")
     return both.select("row", F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"), F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(left).alias("text"))
 
