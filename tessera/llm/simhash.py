@@ -303,7 +303,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     # Equal (doc_id, row_key) have one text, so one fingerprint and one component: the key is unique in chosen.
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"))
     kept = rows.join(
-        chosen.select(F.col("doc_id").alias("cid"), F.col("row_key").alias("ckey")),
+        chosen.select(F.col("doc_id").alias("cid"), F.col("row_key").alias("ckey")).hint("merge"),
         F.col("id").eqNullSafe(F.col("cid")) & (F.col("key") == F.col("ckey")),
         "left_semi",
     )
