@@ -11,7 +11,7 @@ from tessera.functions import kernels
 
 def test_kernel_code_is_pickled_by_value(tmp_path):
     blob = tmp_path / "fn.pkl"
-    blob.write_bytes(cloudpickle.dumps(kernels._distances))
+    blob.write_bytes(cloudpickle.dumps(kernels.distances))
     code = (
         "import pickle, sys, numpy as np\n"
         "sys.path = [p for p in sys.path if 'repo' not in p]\n"
