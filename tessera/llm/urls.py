@@ -99,8 +99,8 @@ def filter_urls(
     rows and repeated or NULL listed URLs are harmless; empty tables work.
     """
     keys = materialize(listed.select(canonical(F.col("url")).alias("listed")).where("listed IS NOT NULL").distinct())
-    blocks = 1
-    while blocks < max_blocks and blocks * keys_per_block < keys.count():
+    blocks, total = 1, keys.count()
+    while blocks < max_blocks and blocks * keys_per_block < total:
         blocks *= 2
     url = F.col(url_col)
     rows = pages.select(

@@ -1,0 +1,73 @@
+import pytest
+
+from tessera.llm import licenses as L
+from tests.llm.conftest import prose
+
+
+@pytest.fixture(scope="module")
+def model(spark, documents):
+    return L.train(spark, L.prose_sample(documents))
+
+
+def test_templates_are_found_as_their_families(model):
+    for family, sentences in L.TEMPLATES.items():
+        for s in sentences:
+            for line in (s, s.upper(), "  " + s + " "):
+                assert [f.family for _, f in model.scan(line)] == [family], line
+
+
+def test_held_out_variants(model):
+    import random
+
+    rng = random.Random(99)
+    tried = right = 0
+    for family, sentences in L.TEMPLATES.items():
+        for s in sentences:
+            w = L.tokens(s)
+            if len(w) < 8:
+                continue
+            for _ in range(6):
+                changed = list(w)
+                changed[rng.randrange(len(w))] = "zzz"
+                text = prose(rng.randrange(10**6), 10) + " " + " ".join(changed) + " " + prose(rng.randrange(10**6), 10)
+                tried += 1
+                right += [f.family for _, f in model.scan(text)] == [family]
+    assert right / tried > 0.95
+
+
+def test_prose_is_left_alone(model, documents):
+    marks = ("licen", "rights reserved", "copyright")
+    for r in documents.collect():
+        if not any(m in r.text.lower() for m in marks):
+            assert list(model.scan(r.text)) == [], r.doc_id
+    for line in ("the the of this work", "You may not be in a version of the and or with", "License plate 2.0", "", "\n \n"):
+        assert [f.family for _, f in model.scan(line) if f.family != "unknown"] == []
+
+
+def test_other_licences_are_unknown(model):
+    found = [f for _, f in model.scan("Licensed under the Example Community License, version 7, see the license terms of this software.")]
+    assert all(f.family == "unknown" and f.similarity < 0.8 for f in found)
+
+
+def test_long_lines_and_places(model):
+    text = "\n".join([prose(1, 30), prose(2, 400) + " Licensed under CC BY-NC 4.0. " + prose(3, 5000), "Released under the MIT License."])
+    assert [(k, f.family) for k, f in model.scan(text)] == [(1, "cc-by-nc-4.0"), (2, "mit")]
+
+
+def test_corpus(spark, documents, model):
+    rows = L.scan(documents, model).collect()
+    want = set()
+    for r in documents.collect():
+        for k, line in enumerate(r.text.split("\n")):
+            for family, sentences in L.TEMPLATES.items():
+                if any(s in line for s in sentences):
+                    want.add((r.doc_id, k, family))
+    assert want and {(r.doc_id, r.line, r.family) for r in rows} == want
+
+
+def test_awkward_rows(spark, awkward, empty_docs, model):
+    assert L.scan(awkward, model).count() == 0
+    assert L.scan(empty_docs, model).count() == 0
+    assert L.scan_licenses(empty_docs).count() == 0
+    docs = spark.createDataFrame([(None, "Released under the MIT License."), (1, None), (2, "Released under the MIT License."), (2, "Released under the MIT License.")], "doc_id long, text string")
+    assert [(r.doc_id, r.family) for r in L.scan(docs, model).collect()] == [(None, "mit"), (2, "mit"), (2, "mit")]
