@@ -10,6 +10,7 @@ Texts stay where they are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -133,15 +134,20 @@ class Model(NamedTuple):
         inside = self.head[at] == words
         return np.where(inside, self.head_counts[at], 0), inside
 
-    def log10_p(self, words: np.ndarray, counts: np.ndarray, inside: np.ndarray, before_end: np.ndarray) -> np.ndarray:
-        """Every token's log10 probability after the token before it; ``before_end`` marks the first of each text."""
-        single = counts.astype(np.float64)
-        single[~inside] = LEVEL_COUNT[self.filter.levels(words[~inside])]
+    def counts(self, words: np.ndarray) -> np.ndarray:
+        """The head's words by their exact counts, the others by their quantised ones."""
+        known, inside = self.known(words)
+        out = known.astype(np.float64)
+        out[~inside] = LEVEL_COUNT[self.filter.levels(words[~inside])]
+        return out
+
+    def log10_p(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Every token's log10 probability after the token before it; at ``starts`` that is the end of a text."""
+        single = self.counts(words)
         before = np.concatenate(([np.uint64(END)], words[:-1]))
-        before[before_end] = END
-        end_count = self.known(np.array([END], np.uint64))[0][0]
-        context = np.concatenate(([end_count], single[:-1]))
-        context[before_end] = end_count
+        before[starts] = END
+        context = np.concatenate(([0.0], single[:-1]))
+        context[starts] = self.counts(np.array([END], np.uint64))[0]
         pair = LEVEL_COUNT[self.filter.levels(pair_hashes(before, words))]
         # The quantised count of a pair may be over that of its words.
         pair = np.minimum(pair, np.minimum(context, single))
@@ -216,12 +222,19 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_W
     merged = materialize(merged)
     counts = merged.where("word IS NOT NULL").select("word", "n")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(head_words).toPandas()
-    # The end of a text is always in the head: every text's first word follows it.
+    # The head: all words above the least step of counts at which they are few enough. No sort of the vocabulary.
+    step = F.floor(16 * F.log2("n"))
+    least, room = math.inf, head_words
+    for s, n in sorted(map(tuple, counts.groupBy(step).count().collect()), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        least = s
+    top = counts.where(step >= least if least < math.inf else F.lit(False)).toPandas()
     head = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head)
     sizes, parts = np.full(shards, 64, np.int64), [bytes(8)] * shards
-    for r in merged.where("bits IS NOT NULL").select("shard", "size", "bits").toLocalIterator():
+    for r in merged.where("bits IS NOT NULL").select("shard", "size", "bits").toLocalIterator(prefetchPartitions=True):
         sizes[r.shard], parts[r.shard] = r.size, bytes(r.bits)
     whole = Filter(sizes, np.frombuffer(b"".join(parts), np.uint8))
     return Model(whole, head[order], top["n"].to_numpy(np.int64)[order], tokens, distinct, prior), counts
@@ -269,9 +282,7 @@ def score(
             starts = np.cumsum(n) - n
             known, inside = m.known(words)
             base = np.where(inside, np.log10(known + 1) - floor, 0.0)
-            first = np.zeros(len(words), bool)
-            first[starts] = True
-            p = m.log10_p(words, known, inside, first)
+            p = m.log10_p(words, starts)
             others = np.split(words.view(np.int64), starts[1:])
             outside = np.split(~inside, starts[1:])
             arrays = [pa.array(n, pa.int64()), pa.array(np.add.reduceat(inside.astype(np.int64), starts), pa.int64())]
