@@ -54,6 +54,19 @@ def as_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def hash_sample(df: DataFrame, at_most: int, *key: str) -> DataFrame:
+    """The ``at_most`` rows whose key has the smallest hash, for fitting a model.
+
+    Rows far above that rank are filtered out before anything is sorted, so
+    little more than the sample itself moves, whatever the size of the table.
+    """
+    total = df.count()
+    share = min(1.0, (at_most + 6 * at_most**0.5 + 50) / max(1, total))
+    rank = F.pmod(F.xxhash64(*key), F.lit(1 << 60))
+    near = df.where(rank <= int(share * (1 << 60)))
+    return near.orderBy(rank, *key).limit(at_most)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether the CRC-32 of the doc_id's digits leaves the remainder; a NULL doc_id never does."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

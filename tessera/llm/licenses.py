@@ -24,7 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_bytes, row_key, ship_by_value
+from tessera.llm.common import as_bytes, hash_sample, row_key, ship_by_value
 from tessera.llm.decontaminate import edit_distance_within, tokens
 
 # Characteristic sentences of common licences.
@@ -220,7 +220,7 @@ def _licence_like(words: list[str], sentences: dict[str, list[list[str]]]) -> bo
 
 def prose_sample(docs: DataFrame, at_most: int = PROSE) -> list[str]:
     """Paragraphs for training: those of the first documents in the order of a hash, ``at_most`` in all."""
-    some = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max(1, at_most // 8))
+    some = hash_sample(docs.select("doc_id", "text"), max(1, at_most // 8), "doc_id", "text")
     lines = some.select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) BETWEEN 1 AND 2000")
     return [r.line for r in lines.distinct().orderBy(F.xxhash64("line"), "line").limit(at_most).collect()]
 

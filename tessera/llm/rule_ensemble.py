@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, materialize, once, words
+from tessera.llm.common import hash_sample, held_out, materialize, once, words
 
 #: Labelled documents the model is fitted on at most, in the order of a hash of their doc_id.
 SAMPLE = 20_000
@@ -116,7 +116,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: in
 
     With one class or none the score is a constant: the share of ones, two half labels added.
     """
-    rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample)
+    rows = hash_sample(labelled, sample, "doc_id", *STATS)
     rows = materialize(rows.select(F.col("label").cast("double"), *STATS))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
@@ -155,6 +155,6 @@ def classify(
     stats = materialize(stats.select("row.doc_id", *STATS))
     train = labels.select("doc_id", F.col(label_col).cast("double").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
     train = train.where(~held_out(F.col("doc_id"), 4, 2)).groupBy("doc_id").agg((F.avg("label") > 0.5).cast("int").alias("label"))
-    score = fit(stats.join(train, "doc_id")).score()
+    score = fit(materialize(stats.join(train, "doc_id"))).score()
     rows = stats.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), score.alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
