@@ -22,7 +22,7 @@ from tessera.llm.common import hash_sample, held_out, materialize, once, words
 #: Labelled documents the model is fitted on at most, in the order of a hash of their doc_id.
 SAMPLE = 20_000
 TREES, DEPTH = 30, 3
-PENALTY = 0.001
+PENALTY = 0.0003
 SEED = 11
 
 STATS = (
