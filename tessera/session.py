@@ -6,6 +6,7 @@ what is unset, such as a checkpoint folder for local runs.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,11 +33,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only when unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local run gets a scratch folder; a cluster must name one.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tessera-ckpt-"))
-    return sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
