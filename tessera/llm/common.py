@@ -6,9 +6,11 @@ import sys
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 #: Java and RE2 pattern of a word, and of what separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -19,17 +21,10 @@ def ship_by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a local one only where it is unset."""
-    from tessera.session import ensure_checkpoint_dir
-
-    return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table into the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
