@@ -31,7 +31,7 @@ How it runs at scale
 
 The ``part`` column counts where both points and centers have one. Centers
 without it apply to all points alike. A part without centers is an error, and
-so are weights that are NULL, negative or not finite.
+so are a NULL part and weights that are NULL, negative or not finite.
 
 Deliberate differences from the reference (each has a test)
 -----------------------------------------------------------
@@ -111,7 +111,10 @@ def _points(
 ) -> tuple[DataFrame, bool]:
     """``part INT, id BIGINT, v, w DOUBLE``; NULL ids and vectors dropped, weights checked."""
     has_part = part_col is not None and part_col in df.columns
-    part = F.col(part_col).cast("int") if has_part else F.lit(0)
+    part = F.lit(0)
+    if has_part:
+        part = F.col(part_col).cast("int")
+        part = F.when(part.isNull(), F.raise_error(F.lit("a part is NULL")).cast("int")).otherwise(part)
     floats = df.schema[vec_col].dataType.simpleString() in ("array<float>", "array<double>")
     v = F.col(vec_col) if floats else F.col(vec_col).cast("array<double>")
     pts = df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(
@@ -151,7 +154,7 @@ def _of_parts(pts: DataFrame, parts: Iterable[int], every: bool) -> DataFrame:
     part = F.col("part")
     if not every:
         return pts.where(part.isin(parts))
-    lost = F.raise_error(F.concat(F.lit("no centers for part "), F.coalesce(part.cast("string"), F.lit("NULL"))))
+    lost = F.raise_error(F.concat(F.lit("no centers for part "), part.cast("string")))
     return pts.withColumn("part", F.when(part.isin(parts), part).otherwise(lost.cast("int")))
 
 

@@ -293,6 +293,13 @@ def test_bad_weights_are_refused(spark, bad, parts):
             run()
 
 
+def test_null_part_is_an_error(spark):
+    p = pts(spark).withColumn("part", F.when(F.col("id") > 0, 0))
+    for run in (lambda: kmedian(p, 2, 1), lambda: seed_centers(p, 1), lambda: kmedian_cost(p, ctr(spark).withColumn("part", F.lit(0))).collect()):
+        with pytest.raises(Exception, match="a part is NULL"):
+            run()
+
+
 def test_no_points_cost_null(spark):
     assert kmedian_cost(pts(spark, []), ctr(spark)).collect()[0].cost is None
 
