@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
-#: Java and RE2 pattern of a word, and of what separates words.
-WORD = r"[^\x20\x09-\x0D]+"
+#: What separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
