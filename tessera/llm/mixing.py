@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, row_key, ship_by_value, words
 
 #: Documents of all sources together in one hash bucket, and residuals that meet in one bucket of the next level.
-BUCKET_ROWS, FAN_IN = 1 << 14, 64
+BUCKET_ROWS, FAN_IN = 1 << 11, 64
 
 ROW = "doc_id long, row_key long, source string, size long, source_size long, target double, whole int, share double, bucket long"
 _M64 = (1 << 64) - 1
@@ -199,7 +199,7 @@ def take_copies(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_sha
     while name in map(str.lower, docs.columns):
         name += "_"
     copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name)
-    single = rows.join(counts.where("rows = 1 AND copies > 0"), same).select("row.*", copy)
+    single = rows.join(counts.where("rows = 1 AND copies > 0").hint("merge"), same).select("row.*", copy)
     repeated = counts.where("rows > 1 AND copies > 0")
     if repeated.isEmpty():
         return single
