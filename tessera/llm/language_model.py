@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from tessera.llm.common import as_bytes, held_out, materialize, ship_by_value
 
 #: Bits per entry and probes of the filter, and the most bytes it may take (the bound of the broadcast).
-BITS, PROBES, MAX_BYTES = 8, 4, 128 << 20
+BITS, PROBES, MAX_BYTES = 8, 4, 96 << 20
 #: Words whose exact counts are broadcast beside the filter (16 bytes each); the others are joined.
 HEAD_WORDS = 1 << 19
 #: Weight of the word's own probability beside its counts after the word before it.
 PRIOR = 200.0
-#: Text bytes per shard of the hash space, and tokens that a task counts at a time.
-SHARD_BYTES, FLUSH = 1 << 23, 1 << 21
+#: Text bytes per shard of the hash space, and tokens that a task counts and scores at a time.
+SHARD_BYTES, COUNT_TOKENS, SCORE_TOKENS = 1 << 23, 1 << 20, 1 << 18
 
 #: Stands for the end of a text, before and after it; no word holds a space.
 END = xxhash.xxh64_intdigest(b" ")
@@ -65,8 +65,9 @@ LEVEL_COUNT = np.array([0.0] + [(2 ** (q - 1) + 2**q - 1) / 2 for q in range(1,
 class Filter:
     """A log-frequency Bloom filter, in shards by the leading bits of the n-gram hash."""
 
-    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
-        self.sizes, self.bits = sizes.astype(np.uint64), bits
+    def __init__(self, sizes: np.ndarray, bits: bytes):
+        # Bytes, not an array: a worker that loads the broadcast holds them once.
+        self.sizes, self.packed = sizes.astype(np.uint64), bits
         self.starts = np.concatenate(([0], np.cumsum((sizes + 7) // 8 * 8)))[:-1].astype(np.uint64)
         self.shift = np.uint64(64 - int(np.log2(len(sizes))))
 
@@ -82,6 +83,7 @@ class Filter:
         """The highest level up to which all levels of each n-gram are there."""
         out = np.zeros(len(hashes), np.int64)
         live = np.arange(len(hashes))
+        bits = np.frombuffer(self.packed, np.uint8)
         shard = (hashes >> self.shift).astype(np.int64) if len(self.sizes) > 1 else np.zeros(len(hashes), np.int64)
         q = 0
         while len(live) and q < 62:
@@ -89,7 +91,7 @@ class Filter:
             there = np.ones(len(live), bool)
             for place in self.places(hashes[live], q, self.sizes[shard[live]]):
                 at = self.starts[shard[live]] + place
-                there &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                there &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
             live = live[there]
             out[live] = q
         return out
@@ -190,7 +192,7 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_W
             for t in b.column(0):
                 held.append(token_hashes(t.as_py()))
                 tokens += len(held[-1])
-                if tokens >= FLUSH:
+                if tokens >= COUNT_TOKENS:
                     yield flush()
                     held, tokens = [], 0
         if held:
@@ -236,7 +238,9 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_W
     sizes, parts = np.full(shards, 64, np.int64), [bytes(8)] * shards
     for r in merged.where("bits IS NOT NULL").select("shard", "size", "bits").toLocalIterator(prefetchPartitions=True):
         sizes[r.shard], parts[r.shard] = r.size, bytes(r.bits)
-    whole = Filter(sizes, np.frombuffer(b"".join(parts), np.uint8))
+    packed = b"".join(parts)
+    del parts  # as large as the filter
+    whole = Filter(sizes, packed)
     return Model(whole, head[order], top["n"].to_numpy(np.int64)[order], tokens, distinct, prior), counts
 
 
@@ -295,7 +299,7 @@ def score(
             for k, t in enumerate(b.column(2)):
                 hashes.append(token_hashes(t.as_py()))
                 tokens += len(hashes[-1])
-                if tokens >= FLUSH // 2 or k == b.num_rows - 1:
+                if tokens >= SCORE_TOKENS or k == b.num_rows - 1:
                     yield flush(b.slice(start, k + 1 - start), hashes)
                     start, tokens, hashes = k + 1, 0, []
 

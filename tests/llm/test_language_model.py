@@ -61,7 +61,7 @@ def test_filter_reads_back_quantised_counts():
     hashes = np.unique(rng.integers(0, 2**63, 20000).astype(np.uint64) << np.uint64(1))
     counts = rng.geometric(0.3, len(hashes)).astype(np.int64) ** 2
     size, bits = LM.build_shard(hashes, counts, 1 << 40)
-    f = LM.Filter(np.array([size]), np.frombuffer(bits, np.uint8))
+    f = LM.Filter(np.array([size]), bits)
     q = LM.level(counts)
     got = f.levels(hashes)
     assert (got >= q).all() and (got == q).mean() > 0.9  # never under, seldom over
@@ -75,7 +75,7 @@ def test_filter_never_exceeds_its_bound():
     counts = np.where(np.arange(10000) % 10 == 0, 50, 1)
     size, bits = LM.build_shard(hashes, counts, 60000)
     assert size <= 60000
-    f = LM.Filter(np.array([size]), np.frombuffer(bits, np.uint8))
+    f = LM.Filter(np.array([size]), bits)
     assert (f.levels(hashes[::10]) >= LM.level(np.array([50]))[0]).all()
 
 
