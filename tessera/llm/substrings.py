@@ -3,8 +3,9 @@
 A gear hash rolls over the bytes of a text; a chunk ends at a word end where
 the hash falls under a fixed share of its range. The hash forgets all but the
 last 32 bytes, so the same passage is cut alike wherever it stands, and an
-insertion moves no cut that is further away. Chunks meet by digest; a run of
-chunks that all occurred before is cut out of the later text.
+insertion moves no cut that is further away. Chunks meet by digest, each
+together with the chunk after it, since a short one alone is often a few common
+words; a run of chunks that all occurred before is cut out of the later text.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def chunk_starts(text: bytes, words_per_chunk: int = WORDS_PER_CHUNK) -> tuple[n
     limit = (1 << 32) // words_per_chunk
     for at in range(0, len(data), _STEP):
         # h[i] = sum of gear[data[i - j]] << j for j < 32, by doubling the reach five times.
-        lead = min(at, 31)
+        lead = min(at, 32)
         h = gear[data[at - lead : at + _STEP]]
         for reach in (1, 2, 4, 8, 16):
             h[reach:] += h[:-reach] << np.uint32(reach)
@@ -59,7 +60,10 @@ def chunk_starts(text: bytes, words_per_chunk: int = WORDS_PER_CHUNK) -> tuple[n
 
 
 def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row_key, starts, n_words, digests``: the chunks of every whole text, as arrays in order."""
+    """``doc_id, row_key, starts, n_words, digests``: the chunks of every whole text, as arrays in order.
+
+    There is a digest for every two chunks in a row, or one for a lone chunk.
+    """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row_key", pa.int32()), ("starts", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("digests", pa.list_(pa.int64()))]
     )
@@ -70,12 +74,11 @@ def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK, id_col: str
             for t in b.column(2):
                 text = t.as_py()
                 at, n = chunk_starts(text, words_per_chunk)
-                ends = [*at[1:].tolist(), len(text)]
+                ends = [*at[min(2, len(at)) :].tolist(), len(text)] if len(at) else []
+                pairs = [xxhash.xxh64_intdigest(text[x:y].rstrip()) for x, y in zip(at.tolist(), ends, strict=False)]
                 starts.append(at)
                 counts.append(n)
-                digests.append(
-                    np.fromiter((xxhash.xxh64_intdigest(text[x:y].rstrip()) for x, y in zip(at.tolist(), ends, strict=True)), np.uint64, len(at)).view(np.int64)
-                )
+                digests.append(np.array(pairs, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, counts, digests))], schema=schema)
 
     text = F.col(text_col)
@@ -165,8 +168,9 @@ def repeats(
     )
 
 
-def _runs(marked: list[int], words: list[int], least_words: int) -> list[tuple[int, int]]:
-    """Stretches ``[a, z)`` of chunks in a row with enough words."""
+def _runs(digests: list[int], words: list[int], least_words: int) -> list[tuple[int, int]]:
+    """Stretches ``[a, z)`` of chunks in a row with enough words, from the numbers of their digests."""
+    marked = sorted({j for i in digests for j in (i, i + 1) if j < len(words)})
     out, k = [], 0
     while k < len(marked):
         end = k
