@@ -3,9 +3,10 @@
 A bigram model is trained from the corpus itself: every task counts the words
 and word pairs of its texts, the counts meet in shards of the hash space, and
 each shard becomes a Bloom filter that holds an n-gram once per level of its
-logarithmically quantised count (Talbot and Osborne, 2007). The filter has a
-bounded size and is broadcast; a count is read by probing level after level.
-Texts stay where they are.
+logarithmically quantised count (Talbot and Osborne, 2007). A count is read by
+probing level after level. The filter holds every n-gram and grows with the
+texts; it is broadcast in blocks of shards of bounded size, one pass over the
+texts for each, and what the blocks answer is added up.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import as_bytes, held_out, materialize, ship_by_value
 
-#: Bits per entry and probes of the filter, and the most bytes it may take (the bound of the broadcast).
+#: Bits per entry and probes of the filter, and the most bytes of it that are broadcast at a time.
 BITS, PROBES, MAX_BYTES = 8, 4, 96 << 20
 #: Words whose exact counts are broadcast beside the filter (16 bytes each); the others are joined.
 HEAD_WORDS = 1 << 19
@@ -63,13 +64,16 @@ LEVEL_COUNT = np.array([0.0] + [(2 ** (q - 1) + 2**q - 1) / 2 for q in range(1,
 
 
 class Filter:
-    """A log-frequency Bloom filter, in shards by the leading bits of the n-gram hash."""
+    """A log-frequency Bloom filter, in shards by the leading bits of the n-gram hash.
 
-    def __init__(self, sizes: np.ndarray, bits: bytes):
+    It may be a block of a larger one: its shards from ``first`` on, of ``shards`` in all.
+    """
+
+    def __init__(self, sizes: np.ndarray, bits: bytes, first: int = 0, shards: int | None = None):
         # Bytes, not an array: a worker that loads the broadcast holds them once.
-        self.sizes, self.packed = sizes.astype(np.uint64), bits
+        self.sizes, self.packed, self.first = sizes.astype(np.uint64), bits, first
         self.starts = np.concatenate(([0], np.cumsum((sizes + 7) // 8 * 8)))[:-1].astype(np.uint64)
-        self.shift = np.uint64(64 - int(np.log2(len(sizes))))
+        self.shift = np.uint64(64 - int(np.log2(shards or len(sizes))))
 
     @staticmethod
     def places(hashes: np.ndarray, q, sizes) -> Iterator[np.ndarray]:
@@ -80,11 +84,11 @@ class Filter:
             yield ((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * sizes >> np.uint64(32)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """The highest level up to which all levels of each n-gram are there."""
+        """The highest level up to which all levels of each n-gram are there; 0 for those of other blocks."""
         out = np.zeros(len(hashes), np.int64)
-        live = np.arange(len(hashes))
         bits = np.frombuffer(self.packed, np.uint8)
-        shard = (hashes >> self.shift).astype(np.int64) if len(self.sizes) > 1 else np.zeros(len(hashes), np.int64)
+        shard = (hashes >> self.shift).astype(np.int64) - self.first if self.shift < 64 else np.zeros(len(hashes), np.int64)
+        live = np.flatnonzero((shard >= 0) & (shard < len(self.sizes)))
         q = 0
         while len(live) and q < 62:
             q += 1
@@ -97,11 +101,12 @@ class Filter:
         return out
 
 
-def build_shard(hashes: np.ndarray, counts: np.ndarray, max_bits: int) -> tuple[int, bytes]:
+def build_shard(hashes: np.ndarray, counts: np.ndarray, max_bits: float = math.inf) -> tuple[int, bytes]:
     """A shard's filter: its size in bits and the bits.
 
-    Where ``BITS`` a level's entry would take more than ``max_bits``, n-grams
-    under the least count that fits are left out, as in any count-pruned model.
+    All n-grams are in it, which is how :func:`fit` calls it. With a bound
+    ``max_bits``, those under the least count that fits are left out, as in
+    any count-pruned model.
     """
     q = level(counts)
     entries = np.bincount(q, minlength=2)
@@ -121,7 +126,7 @@ def build_shard(hashes: np.ndarray, counts: np.ndarray, max_bits: int) -> tuple[
 class Model(NamedTuple):
     """What a scoring task holds: the filter, the most frequent words' counts, and the totals."""
 
-    filter: Filter
+    filter: Filter | None
     head: np.ndarray
     head_counts: np.ndarray
     tokens: int
@@ -145,28 +150,70 @@ class Model(NamedTuple):
 
     def log10_p(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Every token's log10 probability after the token before it; at ``starts`` that is the end of a text."""
-        single = self.counts(words)
-        before = np.concatenate(([np.uint64(END)], words[:-1]))
-        before[starts] = END
+        pair = LEVEL_COUNT[self.filter.levels(pair_hashes(_before(words, starts), words))]
+        return self.log10_p_of(self.counts(words), pair, starts, self.counts(np.array([END], np.uint64))[0])
+
+    def log10_p_of(self, single: np.ndarray, pair: np.ndarray, starts: np.ndarray, end: float) -> np.ndarray:
+        """The same from the counts of the words, of the pairs that they end, and of the end of a text."""
         context = np.concatenate(([0.0], single[:-1]))
-        context[starts] = self.counts(np.array([END], np.uint64))[0]
-        pair = LEVEL_COUNT[self.filter.levels(pair_hashes(before, words))]
+        context[starts] = end
         # The quantised count of a pair may be over that of its words.
         pair = np.minimum(pair, np.minimum(context, single))
         own = (single + 1) / (self.tokens + self.distinct + 1)
         return np.log10((pair + self.prior * own) / (context + self.prior))
 
 
+def _before(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    before = np.concatenate(([np.uint64(END)], words[:-1]))
+    before[starts] = END
+    return before
+
+
+class Trained(NamedTuple):
+    """The totals and the head (a model without a filter), the words' counts, and the table of the filter's shards."""
+
+    model: Model
+    counts: DataFrame
+    merged: DataFrame
+    sizes: np.ndarray
+
+    def blocks(self, max_bytes: float) -> list[tuple[int, int]]:
+        """Stretches ``[first, end)`` of shards of at most ``max_bytes`` together, or of one shard."""
+        out, room = [], -1.0
+        for k, size in enumerate(((self.sizes + 7) // 8).tolist()):
+            if not out or size > room:
+                out.append((k, k))
+                room = max_bytes
+            out[-1] = (out[-1][0], k + 1)
+            room -= size
+        return out
+
+    def load(self, first: int, end: int) -> Model:
+        """The model with one block of the filter."""
+        sizes, parts = self.sizes[first:end], [bytes(8)] * (end - first)
+        rows = self.merged.where("bits IS NOT NULL").where(F.col("shard").between(first, end - 1))
+        for r in rows.select("shard", "bits").toLocalIterator(prefetchPartitions=True):
+            parts[r.shard - first] = bytes(r.bits)
+        packed = b"".join(parts)
+        del parts  # as large as the filter
+        return self.model._replace(filter=Filter(sizes, packed, first, len(self.sizes)))
+
+
 def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values, counts = np.unique(h, return_counts=True)
     return values, counts.astype(np.int64)
 
 
-def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_WORDS, prior: float = PRIOR) -> tuple[Model, DataFrame]:
-    """A model from all rows of ``text`` (binary), and the exact word counts as a table ``word, n``.
+def train(texts: DataFrame, head_words: int = HEAD_WORDS, prior: float = PRIOR) -> tuple[Model, DataFrame]:
+    """A model with the whole filter from all rows of ``text`` (binary), and the exact word counts as a table ``word, n``."""
+    trained = fit(texts, head_words, prior)
+    return trained.load(0, len(trained.sizes)), trained.counts
 
-    The shards grow in number with the texts, so that each fits a task; the
-    filter of all shards never exceeds ``max_bytes``.
+
+def fit(texts: DataFrame, head_words: int = HEAD_WORDS, prior: float = PRIOR) -> Trained:
+    """Counts all words and pairs of ``text`` (binary) and builds the filter's shards.
+
+    The shards grow in number with the texts, so that each fits a task.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = 6
@@ -208,7 +255,7 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_W
             first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))[: len(values)]
             out.append((values[first], np.add.reduceat(counts, first) if len(first) else counts))
         (words, n), (pairs, m) = out
-        filter_size, bits_ = build_shard(np.concatenate([words, pairs]), np.concatenate([n, m]), 8 * max_bytes // shards)
+        filter_size, bits_ = build_shard(np.concatenate([words, pairs]), np.concatenate([n, m]))
         return pa.table(
             {
                 "word": pa.array([*words.view(np.int64).tolist(), None], pa.int64()),
@@ -235,13 +282,11 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, head_words: int = HEAD_W
     top = counts.where(step >= least if least < math.inf else F.lit(False)).toPandas()
     head = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head)
-    sizes, parts = np.full(shards, 64, np.int64), [bytes(8)] * shards
-    for r in merged.where("bits IS NOT NULL").select("shard", "size", "bits").toLocalIterator(prefetchPartitions=True):
-        sizes[r.shard], parts[r.shard] = r.size, bytes(r.bits)
-    packed = b"".join(parts)
-    del parts  # as large as the filter
-    whole = Filter(sizes, packed)
-    return Model(whole, head[order], top["n"].to_numpy(np.int64)[order], tokens, distinct, prior), counts
+    sizes = np.full(shards, 64, np.int64)
+    for r in merged.where("bits IS NOT NULL").select("shard", "size").collect():
+        sizes[r.shard] = r.size
+    model = Model(None, head[order], top["n"].to_numpy(np.int64)[order], tokens, distinct, prior)
+    return Trained(model, counts, merged, sizes)
 
 
 def score(
@@ -269,12 +314,18 @@ def score(
         held_out(F.col(id_col), held_out_of, held_out_remainder).alias("held_out"),
         as_bytes(F.col(text_col)).alias("text"),
     )
-    model, counts = train(rows.where("NOT held_out").select("text"), max_bytes, head_words, prior)
-    shared = spark.sparkContext.broadcast(model)
+    trained = fit(rows.where("NOT held_out").select("text"), head_words, prior)
+    model, counts = trained.model, trained.counts
+    blocks = trained.blocks(max_bytes)
+    whole = len(blocks) == 1
+    if not whole:
+        rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
+    shared = spark.sparkContext.broadcast(trained.load(*blocks[0]) if whole else model)
     floor = np.log10(model.tokens + model.distinct + 1)
+    longs = pa.list_(pa.int64())
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-         ("base_score", pa.float64()), ("score", pa.float64()), ("others", pa.list_(pa.int64()))]
+         ("base_score", pa.float64()), ("score", pa.float64()), ("others", longs), ("known", longs), ("row", pa.int64())]
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,25 +337,25 @@ def score(
             starts = np.cumsum(n) - n
             known, inside = m.known(words)
             base = np.where(inside, np.log10(known + 1) - floor, 0.0)
-            p = m.log10_p(words, starts)
+            p = m.log10_p(words, starts) if whole else np.zeros(len(words))
             others = np.split(words.view(np.int64), starts[1:])
             outside = np.split(~inside, starts[1:])
             arrays = [pa.array(n, pa.int64()), pa.array(np.add.reduceat(inside.astype(np.int64), starts), pa.int64())]
             arrays += [pa.array(np.add.reduceat(x, starts), pa.float64()) for x in (base, p)]
             rest = pa.array([x[o] for x, o in zip(others, outside, strict=True)], pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays, rest], schema=schema)
-
-        for b in batches:
-            start, tokens, hashes = 0, 0, []
-            for k, t in enumerate(b.column(2)):
-                hashes.append(token_hashes(t.as_py()))
-                tokens += len(hashes[-1])
-                if tokens >= SCORE_TOKENS or k == b.num_rows - 1:
-                    yield flush(b.slice(start, k + 1 - start), hashes)
-                    start, tokens, hashes = k + 1, 0, []
-
-    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, others array<long>"
-    judged = materialize(rows.mapInArrow(judge, kinds).withColumn("row", F.monotonically_increasing_id()))
+            more = [pa.nulls(len(n), longs), pa.nulls(len(n), pa.int64())] if whole else [pa.array(np.split(known, starts[1:]), longs), b.column(3)]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays, rest, *more], schema=schema)
+
+        return _flushed(batches, flush)
+
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, others array<long>, known array<long>, row long"
+    judged = rows.mapInArrow(judge, kinds)
+    if whole:
+        judged = materialize(judged.withColumn("row", F.monotonically_increasing_id()))
+    else:
+        judged = materialize(judged)
+        scores = materialize(_add_up(rows, judged, trained, blocks))
+        judged = judged.drop("score", "known").join(scores, "row")
     # Rarer words: each costs a row, and meets its exact count in a join.
     others = judged.select("row", F.explode("others").alias("word")).join(counts, "word", "left")
     found = others.groupBy("row").agg(
@@ -319,4 +370,71 @@ def score(
     )
 
 
+def _flushed(batches: Iterator[pa.RecordBatch], flush) -> Iterator[pa.RecordBatch]:
+    """``flush`` of slices of the batches with the hashes of their texts (column 2), ``SCORE_TOKENS`` or so at a time."""
+    for b in batches:
+        start, tokens, hashes = 0, 0, []
+        for k, t in enumerate(b.column(2)):
+            hashes.append(token_hashes(t.as_py()))
+            tokens += len(hashes[-1])
+            if tokens >= SCORE_TOKENS or k == b.num_rows - 1:
+                yield flush(b.slice(start, k + 1 - start), hashes)
+                start, tokens, hashes = k + 1, 0, []
+
+
+def _add_up(rows: DataFrame, judged: DataFrame, trained: Trained, blocks: list[tuple[int, int]]) -> DataFrame:
+    """``row, score`` from the answers of all blocks of the filter, each broadcast for one pass over the texts.
+
+    A block answers for its own words (outside the head) and pairs only, so
+    the answers are together no larger than with one block.
+    """
+    spark = rows.sparkSession
+    schema = pa.schema([("row", pa.int64()), ("at", pa.binary()), ("levels", pa.binary())])
+    parts = None
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(trained.load(*block))
+
+        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+
+            def flush(b: pa.RecordBatch, hashes: list[np.ndarray]) -> pa.RecordBatch:
+                words = np.concatenate(hashes)
+                starts = np.cumsum([0, *map(len, hashes)])[:-1]
+                single = m.filter.levels(words)
+                single[m.known(words)[1]] = 0
+                pair = m.filter.levels(pair_hashes(_before(words, starts), words))
+                at, levels = [], []
+                for x, y in zip(np.split(single, starts[1:]), np.split(pair, starts[1:]), strict=True):
+                    both = np.concatenate([x, y]).astype(np.uint8)
+                    there = np.flatnonzero(both)
+                    at.append(there.astype(np.int64).tobytes())
+                    levels.append(both[there].tobytes())
+                return pa.RecordBatch.from_arrays([b.column(3), pa.array(at, pa.binary()), pa.array(levels, pa.binary())], schema=schema)
+
+            return _flushed(batches, flush)
+
+        part = materialize(rows.mapInArrow(look, "row long, at binary, levels binary").where("length(at) > 0"))
+        shared.destroy()
+        parts = part if parts is None else parts.unionAll(part)
+    answers = parts.groupBy("row").agg(F.collect_list(F.struct("at", "levels")).alias("answers"))
+    model = trained.model._replace(head=np.zeros(0, np.uint64), head_counts=np.zeros(0, np.int64))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for known, answers in zip(b.column(1), b.column(2), strict=True):
+                known = known.values.to_numpy()
+                levels = np.zeros(2 * len(known), np.uint8)
+                for x in answers.as_py() or ():
+                    levels[np.frombuffer(x["at"], np.int64)] = np.frombuffer(x["levels"], np.uint8)
+                n = len(known)
+                single = np.where(known > 0, known, LEVEL_COUNT[levels[:n]])
+                # The last token of every text is its end.
+                out.append(model.log10_p_of(single, LEVEL_COUNT[levels[n:]], np.zeros(1, np.int64), single[-1]).sum())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], ["row", "score"])
+
+    both = judged.select("row", "known").join(answers, "row", "left").select("row", "known", "answers")
+    return both.mapInArrow(finish, "row long, score double")
+
+
 ship_by_value(__name__)

@@ -90,3 +90,25 @@ def test_probabilities_after_a_word_sum_to_one(spark):
         pair = np.array([a[0], w], np.uint64)
         total += 10 ** model.log10_p(pair, np.array([0]))[1]
     assert total == pytest.approx(1.0, abs=0.25)
+
+
+def test_blocks_of_the_filter_give_what_the_whole_gives(documents, awkward):
+    """A broadcast of at most 20 kB, so that the filter needs many passes, and leaves no n-gram out."""
+    for docs, options in ((documents, {"head_words": 50}), (awkward, {})):
+        whole = sorted(((r.doc_id or -1, r.n_tokens, r.score) for r in LM.score(docs, **options).collect()))
+        got = sorted(((r.doc_id or -1, r.n_tokens, r.score) for r in check(docs, max_bytes=20000, **options)))
+        assert [x[:2] for x in got] == [x[:2] for x in whole]
+        assert [x[2] for x in got] == pytest.approx([x[2] for x in whole])
+
+
+def test_the_filter_holds_every_word_and_pair(documents):
+    text = documents.selectExpr("cast(text as binary) as text")
+    trained = LM.fit(text, head_words=0)
+    blocks = trained.blocks(20000)
+    assert len(blocks) > 3 and all(a[1] == b[0] for a, b in zip(blocks, blocks[1:])) and blocks[-1][1] == len(trained.sizes)
+    words = np.array([r.word for r in trained.counts.collect()], np.int64).view(np.uint64)
+    models = [trained.load(*b) for b in blocks]
+    assert (sum(m.filter.levels(words) for m in models) > 0).all()
+    some = LM.token_hashes(text.first()[0])
+    pairs = LM.pair_hashes(some[:-1], some[1:])
+    assert (sum(m.filter.levels(pairs) for m in models) > 0).all()
