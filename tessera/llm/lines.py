@@ -5,8 +5,9 @@ patience diff, and common blocks are deleted from the later document.
 
 A line held by m documents makes m - 1 pairs, each with the first document
 that holds it, so a group of copies is linear in its size and no line is too
-frequent to be followed. Rarity decides what counts: a block goes if it holds
-a rare line, or if it is more than a lone line that many documents have.
+frequent to be followed. Rarity only tells short boilerplate: a block goes if
+it holds a rare line, or if it is more than a lone short line that many
+documents have.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tessera.llm.common import as_bytes, materialize, ship_by_value
 RARE_DOCS = 16
 #: A shorter block stays, unless it is all of a document.
 LEAST_WORDS = 8
+#: A lone line of so many words is a passage, in however many documents it stands.
+PASSAGE_WORDS = 4 * LEAST_WORDS
 
 
 def patience_matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -120,14 +123,20 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deletions(
-    docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    rare_docs: int = RARE_DOCS,
+    least_words: int = LEAST_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    passage_words: int = PASSAGE_WORDS,
 ) -> DataFrame:
     """The documents that lose lines: ``doc_id, row_key, n_lines, n_deleted, keep`` (one boolean a line).
 
     Earlier and later go by doc_id, then text hash; a NULL doc_id is the
     latest. A block common with an earlier document is deleted if it has
     ``least_words`` words and either a line that at most ``rare_docs``
-    documents hold or a second line, or if it is the whole later document. The
+    documents hold, a second line or ``passage_words`` words, or if it is the
+    whole later document. The
     first holder of a line always keeps it. NULL, empty and blank texts have
     no lines to lose; repeated rows (same doc_id and text) count as one
     document; an empty table gives an empty result.
@@ -158,7 +167,8 @@ def deletions(
                 rare, words = set(r["rare"]), r["n_words"]
                 lost: list[int] = []
                 for start, end in common_blocks(r["earlier"], r["hashes"]):
-                    counts = sum(words[start:end]) >= least_words and (end - start > 1 or not rare.isdisjoint(r["hashes"][start:end]))
+                    total = sum(words[start:end])
+                    counts = total >= least_words and (end - start > 1 or total >= passage_words or not rare.isdisjoint(r["hashes"][start:end]))
                     if counts or end - start == len(words):
                         lost += r["at"][start:end]
                 if lost:

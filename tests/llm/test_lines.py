@@ -104,3 +104,13 @@ def test_n_chars_follows_the_text(spark):
 
 def test_empty(empty_docs):
     assert L.deletions(empty_docs).count() == 0 and L.drop_repeated_lines(empty_docs).count() == 0
+
+
+def test_a_passage_on_one_line_goes_however_many_hold_it(spark):
+    texts = {}
+    for at, n in ((0, 17), (5000, 1000)):
+        passage = prose(at + 1, 60)
+        texts |= {at + i: "\n".join([prose(10**5 + at + i, 15), passage, prose(10**6 + at + i, 15)]) for i in range(n)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: [i for i, keep in enumerate(r.keep) if not keep] for r in L.deletions(docs).collect()}
+    assert got == {k: [1] for k in texts if k not in (0, 5000)}
