@@ -3,9 +3,12 @@
 Documents that share lines are paired through the lines' hashes, aligned with
 patience diff, and common blocks are deleted from the later document.
 
-A line held by m documents makes m - 1 pairs, each with the first document
-that holds it, so a group of copies is linear in its size and no line is too
-frequent to be followed. Rarity only tells short boilerplate: a block goes if
+Each holder of a line is paired with the first document that holds it, and the
+holders of a rare line with one another if ``rare_pairs`` is set, as it is in
+the query. A whole copy of an earlier document's lines is
+paired with the first such document alone, which has all that it could lose. So
+a group of copies is linear in its size and no
+line is too frequent to be followed. Rarity only tells short boilerplate: a block goes if
 it holds a rare line, or if it is more than a lone short line that many
 documents have.
 """
@@ -129,6 +132,7 @@ def deletions(
     id_col: str = "doc_id",
     text_col: str = "text",
     passage_words: int = PASSAGE_WORDS,
+    rare_pairs: bool = False,
 ) -> DataFrame:
     """The documents that lose lines: ``doc_id, row_key, n_lines, n_deleted, keep`` (one boolean a line).
 
@@ -136,22 +140,39 @@ def deletions(
     latest. A block common with an earlier document is deleted if it has
     ``least_words`` words and either a line that at most ``rare_docs``
     documents hold, a second line or ``passage_words`` words, or if it is the
-    whole later document. The
-    first holder of a line always keeps it. NULL, empty and blank texts have
+    whole later document. A document is aligned with the first
+    holders of its lines, a copy of all lines of a document with the first
+    copy and, with ``rare_pairs``, a document with all earlier ones that share
+    a rare line. The first holder of a line always keeps it. NULL, empty and blank texts have
     no lines to lose; repeated rows (same doc_id and text) count as one
     document; an empty table gives an empty result.
     """
     table = materialize(line_table(docs, id_col, text_col).where("size(hashes) > 0"))
     if not table.groupBy("doc_id", "row_key").count().where("count > 1").isEmpty():
         table = materialize(table.dropDuplicates(["doc_id", "row_key"]))
-    held = table.select("doc_id", "row_key", F.explode(F.array_distinct("hashes")).alias("line"))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    # Two digests of a document's lines in order: 128 bits.
+    order = [F.xxhash64("hashes"), F.xxhash64(F.reverse("hashes"), F.size("hashes"))]
+    named = table.select("doc_id", "row_key", *(d.alias(f"d{k}") for k, d in enumerate(order)))
+    same = named.groupBy("d0", "d1").agg(F.min(key).alias("first"), F.count("*").alias("docs")).where("docs > 1").drop("docs")
+    copies = materialize(named.join(same.hint("merge"), ["d0", "d1"]).where(F.col("first") != key).select("doc_id", "row_key", "first"))
+    held = table.select("doc_id", "row_key", F.explode(F.array_distinct("hashes")).alias("line"))
     lines = materialize(held.groupBy("line").agg(F.min(key).alias("first"), F.count("*").alias("docs")).where("docs > 1"))
-    pairs = held.join(lines, "line").where(F.col("first") != key)
-    pairs = pairs.select(
-        "doc_id", "row_key", F.col("first.doc_id").alias("h_id"), F.col("first.row_key").alias("h_key"),
-        F.when(F.col("docs") <= rare_docs, F.col("line")).alias("rare"),
-    )
+    # The copies count for how rare a line is, but need no further partner and are none: the first one has the same lines.
+    gone = copies.select(F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key")).hint("merge")
+    single = table.join(gone, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key")), "left_anti")
+    held = single.select("doc_id", "row_key", F.explode(F.array_distinct("hashes")).alias("line"))
+    pairs = held.join(lines.hint("merge"), "line").where(F.col("first") != key)
+    pairs = pairs.select("doc_id", "row_key", "first", F.when(F.col("docs") <= rare_docs, F.col("line")).alias("rare"))
+    pairs = pairs.unionAll(copies.select("doc_id", "row_key", "first", F.lit(None).cast("long")))
+    if rare_pairs:
+        # At most rare_docs holders each, so their pairs are linear in the number of lines.
+        rare = held.join(lines.where(F.col("docs").between(3, rare_docs)).select("line").hint("merge"), "line")
+        rare = rare.groupBy("line").agg(F.array_sort(F.collect_list(key)).alias("holders"))
+        rare = rare.select("line", "holders", F.posexplode("holders").alias("i", "of")).where("i >= 2")
+        rare = rare.select("line", "of", F.explode(F.slice("holders", F.lit(2), F.col("i") - 1)).alias("first"))
+        pairs = pairs.unionAll(rare.select("of.doc_id", "of.row_key", "first", "line"))
+    pairs = pairs.select("doc_id", "row_key", F.col("first.doc_id").alias("h_id"), F.col("first.row_key").alias("h_key"), "rare")
     pairs = materialize(pairs.groupBy("doc_id", "row_key", "h_id", "h_key").agg(F.collect_list("rare").alias("rare")))
     earlier = table.select(F.col("doc_id").alias("e_id"), F.col("row_key").alias("e_key"), F.col("hashes").alias("earlier"))
     later = table.select(F.col("doc_id").alias("l_id"), F.col("row_key").alias("l_key"), "n_lines", "at", "hashes", "n_words")
@@ -193,9 +214,9 @@ def deletions(
     return merged.mapInArrow(masks, "doc_id long, row_key int, n_lines long, n_deleted long, keep array<boolean>")
 
 
-def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS, rare_pairs: bool = False) -> DataFrame:
     """All rows as a struct ``row``, with ``n_deleted`` and the ``text`` that is left (see :func:`deletions`)."""
-    found = materialize(deletions(docs, rare_docs, least_words))
+    found = materialize(deletions(docs, rare_docs, least_words, rare_pairs=rare_pairs))
     found = found.select(F.col("doc_id").alias("x_id"), F.col("row_key").alias("x_key"), "n_deleted", "keep")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.hash("text").alias("key"))
     # One plan at every size: a small table of findings would be broadcast, a large one not.
@@ -204,12 +225,12 @@ def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int =
     return both.select("row", F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"), F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(left).alias("text"))
 
 
-def drop_repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS, rare_pairs: bool = False) -> DataFrame:
     """The documents with the text that is left and ``n_chars`` (if there) to fit; all columns stay.
 
     Documents that lost lines and have no word left go; those without a word from the start stay.
     """
-    left = dedup_lines(docs, rare_docs, least_words).where(r"n_deleted = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    left = dedup_lines(docs, rare_docs, least_words, rare_pairs).where(r"n_deleted = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

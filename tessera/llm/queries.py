@@ -76,7 +76,7 @@ def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = lines.dedup_lines(_read(spark, sf_dir, "documents"))
+    left = lines.dedup_lines(_read(spark, sf_dir, "documents"), rare_pairs=True)
     return left.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_deleted",

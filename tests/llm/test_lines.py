@@ -114,3 +114,50 @@ def test_a_passage_on_one_line_goes_however_many_hold_it(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: [i for i, keep in enumerate(r.keep) if not keep] for r in L.deletions(docs).collect()}
     assert got == {k: [1] for k in texts if k not in (0, 5000)}
+
+
+def all_pairs_deletions(texts, rare_docs=16, least_words=8, passage_words=32):
+    """Every document against every earlier one that shares a rare line, or holds a line first, or has the same lines."""
+    lines = {k: [(i, x.strip()) for i, x in enumerate(t.split("\n")) if x.strip()] for k, t in texts.items()}
+    seqs = {k: [x for _, x in own] for k, own in lines.items()}
+    holders = {}
+    for k in sorted(seqs):
+        for x in set(seqs[k]):
+            holders.setdefault(x, []).append(k)
+    lost = {}
+    for k, seq in seqs.items():
+        for h in seqs:
+            common = set(seqs[h]) & set(seq)
+            rare = {x for x in common if len(holders[x]) <= rare_docs}
+            if h >= k or not (rare or any(holders[x][0] == h for x in common) or seqs[h] == seq):
+                continue
+            for s, e in L.common_blocks(seqs[h], seq):
+                words = sum(len(x.split()) for x in seq[s:e])
+                if words >= least_words and (e - s > 1 or words >= passage_words or rare & set(seq[s:e])) or e - s == len(seq):
+                    lost.setdefault(k, set()).update(lines[k][i][0] for i in range(s, e))
+    return lost
+
+
+def test_later_partners_are_aligned_too(spark):
+    x, y = [prose(k, 10) for k in (1, 2, 3)], [prose(k, 10) for k in (4, 5, 6)]
+    short = [f"only {k} words" for k in "abcd"]
+    texts = {1: y + x, 2: x + y, 3: x + y}  # two crossing blocks, then a whole copy
+    texts |= {10 + i: [prose(50 + i, 9), s] for i, s in enumerate(short)}  # each short line has its own first holder
+    texts |= {20: [prose(60, 9), *short], 21: [*short, prose(61, 9)]}
+    texts |= {100 + i: x + [prose(200 + i, 9)] + y[:1] for i in range(30)} | {140 + i: x + y for i in range(20)}
+    rng = random.Random(3)
+    pool = [prose(300 + i, rng.randrange(2, 14)) for i in range(120)]
+    texts |= {200 + i: [rng.choice(pool) for _ in range(rng.randrange(1, 12))] for i in range(80)}
+    texts = {k: "\n".join(t) for k, t in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: {i for i, keep in enumerate(r.keep) if not keep} for r in L.deletions(docs, rare_pairs=True).collect()}
+    assert got[3] == set(range(6)) and got[21] == {0, 1, 2, 3}
+    assert got == all_pairs_deletions(texts)
+    left = {x for r in L.dedup_lines(docs, rare_pairs=True).collect() for x in r.text.split("\n")}
+    assert left >= {x for t in texts.values() for x in t.split("\n")}
+
+
+def test_all_pairs_of_the_documents(documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    got = {r.doc_id: {i for i, keep in enumerate(r.keep) if not keep} for r in L.deletions(documents, rare_pairs=True).collect()}
+    assert got == all_pairs_deletions(texts)
