@@ -103,6 +103,22 @@ class Finding(NamedTuple):
     family: str
     probability: float
     similarity: float
+    #: The number of its first word in the line.
+    word: int = 0
+
+
+def stretch(template: list[str], words: list[str]) -> tuple[int, int, int]:
+    """The least number of edits between a template and a stretch of the words, and where that starts and ends."""
+    row = [(i, 0) for i in range(len(template) + 1)]
+    best = (len(template), 0, 0)
+    for k, w in enumerate(words, 1):
+        new = [(0, k)]
+        for i, t in enumerate(template, 1):
+            new.append(min((row[i - 1][0] + (t != w), row[i - 1][1]), (row[i][0] + 1, row[i][1]), (new[i - 1][0] + 1, new[i - 1][1])))
+        row = new
+        if row[-1][0] < best[0]:
+            best = (row[-1][0], row[-1][1], k)
+    return best
 
 
 class Classifier:
@@ -144,17 +160,62 @@ class Classifier:
         sure = p[family] / p[1:].sum() >= CERTAIN and similarity >= 1 - EDIT_SHARE
         return Finding(FAMILIES[family] if sure else "unknown", float(1 - p[0]), float(similarity))
 
+    def place(self, family: str, words: list[str], s: int) -> tuple[int, int] | None:
+        """Where the longest template of the family that is in the window at ``s`` stands, from and to."""
+        for t in sorted(self.templates[family], key=len, reverse=True):
+            if edit_distance_within(t, words[s : s + WINDOW]) <= EDIT_SHARE * len(t):
+                lo = max(0, s - WINDOW)
+                _, start, end = stretch(t, words[lo : s + 2 * WINDOW])
+                return lo + start, lo + end
+        return None
+
+    def licences(self, words: list[str], starts: Iterator[int]) -> tuple[list[tuple[int, int, Finding]], list[tuple[int, Finding]]]:
+        """All licences in the windows of some words, ``(from, to, finding)``, and the windows of unknown ones.
+
+        The words of a licence that is found are blanked in ``words``, so that
+        the next window does not find it again, and another one beside it is seen.
+        """
+        found, unknown = [], []
+        for s in starts:
+            while any(words[s : s + WINDOW]) and (f := self.judge(words[s : s + WINDOW])):
+                whole, at = f, s
+                if f.family == "unknown":
+                    # Two families in one window leave both in doubt: read it in smaller ones.
+                    parts = [(i, n) for n in (WINDOW // 2, WINDOW // 4) for i in range(s, min(s + WINDOW, len(words)), n // 2)]
+                    sure = ((i, g) for i, n in parts if (g := self.judge(words[i : i + n])) and g.family != "unknown")
+                    at, f = next(sure, (s, f))
+                place = self.place(f.family, words, at) if f.family != "unknown" else None
+                if place is None:
+                    unknown.append((s, whole))
+                    break
+                found.append((*place, f))
+                words[place[0] : place[1]] = [""] * (place[1] - place[0])
+        return found, unknown
+
     def scan(self, text: str) -> Iterator[tuple[int, Finding]]:
-        """The licence paragraphs of a whole text, by line number; of a long line the likeliest window."""
+        """The licences of a whole text, by line number and place in the line.
+
+        A window of an unknown one that overlaps a licence counts as its rest;
+        unknown ones whose windows overlap are one.
+        """
         for k, line in enumerate(text.split("\n")):
             words = tokens(line)
-            known = [i for i, w in enumerate(words) if w in self.words]
-            if not known:
+            if not any(w in self.words for w in words):
                 continue
             starts = range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2) if len(words) > WINDOW else (0,)
-            found = [f for s in starts if (f := self.judge(words[s : s + WINDOW]))]
-            if found:
-                yield k, max(found, key=lambda f: (f.family != "unknown", f.probability))
+            found, unknown = self.licences(words, starts)
+            out = [f._replace(word=a) for a, _, f in found]
+            last = None
+            for s, f in unknown:
+                if any(a < s + WINDOW and s < z for a, z, _ in found):
+                    continue
+                if last is not None and s < last + WINDOW:
+                    out[-1] = max(out[-1], f._replace(word=out[-1].word), key=lambda x: x.probability)
+                else:
+                    out.append(f._replace(word=s))
+                last = s
+            for f in sorted(out, key=lambda f: f.word):
+                yield k, f
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -226,12 +287,12 @@ def prose_sample(docs: DataFrame, at_most: int = PROSE) -> list[str]:
 
 
 def scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per licence paragraph: ``doc_id, row_key, line, family, probability, similarity``.
+    """One row per licence: ``doc_id, row_key, line, family, probability, similarity, word``.
 
-    ``line`` counts from 0. NULL, empty and blank texts have none; repeated
+    ``line`` and ``word``, the place of the licence's first word in the line, count from 0. NULL, empty and blank texts have none; repeated
     rows are reported one by one; an empty table gives an empty result.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("word", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -245,7 +306,7 @@ def scan(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: s
 
     text = F.col(text_col)
     return docs.select(F.col(id_col).alias("doc_id"), row_key(text).alias("row_key"), as_bytes(text).alias("text")).mapInArrow(
-        read, "doc_id long, row_key long, line long, family string, probability double, similarity double"
+        read, "doc_id long, row_key long, line long, family string, probability double, similarity double, word long"
     )
 
 

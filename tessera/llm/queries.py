@@ -30,7 +30,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "line", "family", "probability", "similarity")
+    return found.select("doc_id", "line", "family", "probability", "similarity", "word")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

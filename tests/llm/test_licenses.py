@@ -71,3 +71,17 @@ def test_awkward_rows(spark, awkward, empty_docs, model):
     assert L.scan_licenses(empty_docs).count() == 0
     docs = spark.createDataFrame([(None, "Released under the MIT License."), (1, None), (2, "Released under the MIT License."), (2, "Released under the MIT License.")], "doc_id long, text string")
     assert [(r.doc_id, r.family) for r in L.scan(docs, model).collect()] == [(None, "mit"), (2, "mit"), (2, "mit")]
+
+
+def test_all_licences_of_a_line(model):
+    gpl = L.TEMPLATES["gpl-3.0"][1]
+    text = prose(1, 300) + " Released under the MIT License. " + prose(2, 900) + " " + gpl + " " + prose(3, 700) + " Licensed under CC BY 4.0. " + prose(4, 80)
+    found = list(model.scan(text))
+    assert [(k, f.family) for k, f in found] == [(0, "mit"), (0, "gpl-3.0"), (0, "cc-by-4.0")]
+    words = L.tokens(text)
+    starts = [300, 305 + 900, 305 + 900 + len(L.tokens(gpl)) + 700]
+    assert all(abs(f.word - s) <= 2 for (_, f), s in zip(found, starts, strict=True)), ([f.word for _, f in found], len(words))
+    near = "Released under the MIT License. " + prose(5, 10) + " Licensed under CC BY 4.0."
+    assert [f.family for _, f in model.scan(near)] == ["mit", "cc-by-4.0"]
+    twice = prose(6, 100).join(["Released under the MIT License. "] * 3)
+    assert [f.family for _, f in model.scan(twice)] == ["mit"] * 3
