@@ -133,6 +133,7 @@ class Classifier:
                 ids = [self.words.setdefault(w, len(self.words) + 1) for w in s]
                 for g in sorted(ngrams(ids)):
                     self.grams.setdefault(g, len(self.grams))
+        self.distinct = [(frozenset(t), int(EDIT_SHARE * len(t))) for ts in self.templates.values() for t in ts]
         self.weights = np.zeros((len(self.grams), len(FAMILIES)))
         self.intercept = np.zeros(len(FAMILIES))
         self.temperature = 1.0
@@ -192,30 +193,66 @@ class Classifier:
                 words[place[0] : place[1]] = [""] * (place[1] - place[0])
         return found, unknown
 
+    def may_hold(self, words: list[str]) -> bool:
+        """Whether enough different words of some template are there to be close to it."""
+        there = set(words)
+        return any(len(t - there) <= edits for t, edits in self.distinct)
+
     def scan(self, text: str) -> Iterator[tuple[int, Finding]]:
         """The licences of a whole text, by line number and place in the line.
 
-        A window of an unknown one that overlaps a licence counts as its rest;
-        unknown ones whose windows overlap are one.
+        Each line is read by itself, then each paragraph (lines with words in a
+        row) for licences wrapped over lines. A window of an unknown one that
+        overlaps a licence counts as its rest; unknown ones whose windows
+        overlap are one. Unknown ones are looked for in single lines only.
         """
-        for k, line in enumerate(text.split("\n")):
+        out: list[tuple[int, Finding]] = []
+        paragraph: list[tuple[int, list[str]]] = []
+        for k, line in enumerate([*text.split("\n"), ""]):
+            # Comment marks are no words.
             words = tokens(line)
-            if not any(w in self.words for w in words):
+            if words:
+                out += [(k, f) for f in self.scan_line(words)]
+                paragraph.append((k, words))
+                continue
+            if len(paragraph) > 1:
+                for first, last, f in self.wrapped(paragraph):
+                    # Unknown lines inside are parts of it.
+                    out = [(j, g) for j, g in out if g.family != "unknown" or not first <= j <= last]
+                    out.append((first, f))
+            paragraph = []
+        yield from sorted(out, key=lambda x: (x[0], x[1].word))
+
+    def wrapped(self, paragraph: list[tuple[int, list[str]]]) -> Iterator[tuple[int, int, Finding]]:
+        """``(first line, last line, finding)`` for the licences of a paragraph that run over a line's end.
+
+        Takes the words that :meth:`scan_line` has left: those of licences on one line are blanked.
+        """
+        words = [w for _, line in paragraph for w in line]
+        where = [(k, i) for k, line in paragraph for i in range(len(line))]
+        starts = range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2)
+        crossing = (s for s in starts if where[s][0] != where[min(s + WINDOW, len(words)) - 1][0])
+        found, _ = self.licences(words, (s for s in crossing if self.may_hold(words[s : s + WINDOW])))
+        for a, z, f in found:
+            yield where[a][0], where[z - 1][0], f._replace(word=where[a][1])
+
+    def scan_line(self, words: list[str]) -> list[Finding]:
+        """The licences of one line, whose words are blanked where one is found."""
+        if not any(w in self.words for w in words):
+            return []
+        starts = range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2) if len(words) > WINDOW else (0,)
+        found, unknown = self.licences(words, starts)
+        out = [f._replace(word=a) for a, _, f in found]
+        last = None
+        for s, f in unknown:
+            if any(a < s + WINDOW and s < z for a, z, _ in found):
                 continue
-            starts = range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2) if len(words) > WINDOW else (0,)
-            found, unknown = self.licences(words, starts)
-            out = [f._replace(word=a) for a, _, f in found]
-            last = None
-            for s, f in unknown:
-                if any(a < s + WINDOW and s < z for a, z, _ in found):
-                    continue
-                if last is not None and s < last + WINDOW:
-                    out[-1] = max(out[-1], f._replace(word=out[-1].word), key=lambda x: x.probability)
-                else:
-                    out.append(f._replace(word=s))
-                last = s
-            for f in sorted(out, key=lambda f: f.word):
-                yield k, f
+            if last is not None and s < last + WINDOW:
+                out[-1] = max(out[-1], f._replace(word=out[-1].word), key=lambda x: x.probability)
+            else:
+                out.append(f._replace(word=s))
+            last = s
+        return out
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:

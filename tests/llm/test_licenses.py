@@ -85,3 +85,18 @@ def test_all_licences_of_a_line(model):
     assert [f.family for _, f in model.scan(near)] == ["mit", "cc-by-4.0"]
     twice = prose(6, 100).join(["Released under the MIT License. "] * 3)
     assert [f.family for _, f in model.scan(twice)] == ["mit"] * 3
+
+
+def test_wrapped_paragraphs(model):
+    import textwrap
+
+    for family, sentences in L.TEMPLATES.items():
+        for s in sentences:
+            for width in (40, 72):
+                for mark in ("", "# ", " * ", "// "):
+                    lines = textwrap.wrap(s, width, break_long_words=False, break_on_hyphens=False)
+                    text = "\n".join([prose(1, 12), mark.rstrip(), *(mark + x for x in lines), mark.rstrip(), prose(2, 12)])
+                    assert [(k, f.family) for k, f in model.scan(text)] == [(2, family)], (width, mark, s)
+    # Between prose lines of the same paragraph, too.
+    lines = textwrap.wrap(L.TEMPLATES["gpl-3.0"][1], 40)
+    assert [(k, f.family) for k, f in model.scan("\n".join([prose(3, 9), *lines, prose(4, 9)]))] == [(1, "gpl-3.0")]
