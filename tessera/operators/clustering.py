@@ -56,10 +56,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tessera.functions.hashing import bucket, col, uniform_sql
 from tessera.functions.kernels import Model, cluster_sums, nearest_rows, race_winners
@@ -205,14 +207,16 @@ def _sums(pts: DataFrame, model: Model, every: bool) -> DataFrame:
 
 
 def _local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A driver-side result (at most k·L rows) as a DataFrame.
+    """A driver-side result (a block of centers) as a DataFrame.
 
-    Built through pandas and Arrow, it plans as a JVM ``LocalTableScan``; a
-    list of tuples would become a Python-backed RDD that every later job
-    converts again in Python workers.
+    Built from an Arrow table it plans as a JVM ``LocalTableScan`` and takes
+    NumPy values whatever the session's Arrow settings are; a list of tuples
+    would become a Python-backed RDD that every later job converts again.
     """
-    names = [f.strip().split(" ")[0] for f in schema.split(",")]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
+    kind = StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kind)
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, kind, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, kind.names), kind)
 
 
 def _persist_points(df: DataFrame) -> DataFrame:
