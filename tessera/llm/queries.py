@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import decontaminate, language_model, licenses, lines, mixing, quality_rules, rule_ensemble, simhash, substrings, urls
+from tessera.llm import collocations, decontaminate, hard_negatives, language_model, licenses, lines, mixing, quality_rules, rule_ensemble, simhash, substrings, token_files, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,6 +86,26 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"), most_words=3, min_count=10, top=2000, cover_percent=50)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose vec_id is divisible by 7 go under the next label; anchors are every hundredth id."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, anchor_every=100, positives=5, negatives=10, window=(30, 90))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' ids written into a new folder and read back from its files."""
+    import public_tokenizers
+
+    folder = token_files.new_folder(spark)
+    token_files.write_tokens(_read(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(spark, folder, with_ids=False)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -97,6 +117,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lines": op10_lines,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_files": op13_token_files,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -126,5 +149,52 @@ ruled AS (
   FROM named n)
 SELECT page_id, u.host, u.path, rule, coalesce(r.verdict, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled u LEFT JOIN rules r ON rule = r.host || r.path LEFT JOIN listed l ON u.canonical = l.canonical
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT doc_id, text, lang, row_number() OVER () AS pid, piece FROM (
+    SELECT doc_id, text, coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+words AS (SELECT lang, pid, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) ks(k))
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE k >= 2 AND a >= 10),
+covered AS (
+  SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inner_phrase FROM cand WHERE k = 3) t
+  ON c.lang = t.lang AND c.phrase = t.inner_phrase AND 100 * t.a >= 50 * c.a),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut+1:k], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand ANTI JOIN covered USING (lang, phrase))),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.a AS l, r.a AS r,
+    ((1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT) // (l.a::HUGEINT * r.a::HUGEINT))::BIGINT AS score
+  FROM cuts c JOIN grams l ON c.lang = l.lang AND c.lp = l.phrase JOIN grams r ON c.lang = r.lang AND c.rp = r.phrase),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op12_hard_negatives": """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM r a JOIN r b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positives JOIN scores s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
 """,
 }
