@@ -95,6 +95,22 @@ class Words:
                 h = _mix(h * np.uint64(0x9FB21C651E98DF25) + words[at + n - 1])
             yield at, h + np.uint64(n)
 
+    def phrases(self, at: np.ndarray, n: int) -> tuple[np.ndarray, pa.Array]:
+        """The phrases of ``n`` words that start at the words ``at``, in some order: that order, and the phrases."""
+        start = self.start[at]
+        size = self.start[at + n - 1] + self.length[at + n - 1] - start
+        inner = np.concatenate(([0], np.cumsum(self.length)))
+        plain = size == inner[at + n] - inner[at] + n - 1  # one space or tab between words
+        one, more = np.flatnonzero(plain), np.flatnonzero(~plain)
+        size = size[one]
+        ends = np.cumsum(size)
+        data = self.data[np.repeat(start[one] - (ends - size), size) + np.arange(int(size.sum()))]
+        data[data == 0x09] = 0x20
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        spans = pa.StringArray.from_buffers(len(one), pa.py_buffer(offsets), pa.py_buffer(data))
+        rest = pa.array([self.phrase(k, n) for k in at[more].tolist()], pa.string())
+        return np.concatenate([one, more]), pa.concat_arrays([spans, rest])
+
     def phrase(self, k: int, n: int) -> str:
         return b" ".join(self.data[self.start[i] : self.start[i] + self.length[i]].tobytes() for i in range(k, k + n)).decode()
 
@@ -311,33 +327,57 @@ def ngram_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passing = Filter(*shared.value)
+        held: list[list] = [[] for _ in range(most_words)]
+        stretches: list[Words] = []
+        totals: dict[str, int] = {}
+        tokens = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            n_langs = len(totals)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals)), pa.array([0] * n_langs, pa.int32()), pa.array([""] * n_langs), pa.array(list(totals.values()), pa.int64())], schema=schema
+            )
+            names = pa.array(list(totals))
+            for n, found_ in enumerate(held, 1):
+                if not found_:
+                    continue
+                at, h, other, lang, of = (np.concatenate(x) for x in zip(*found_, strict=True))
+                # Equal in both hashes, 128 bits together.
+                order = np.lexsort((other, h))
+                h, other = h[order], other[order]
+                new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (other[1:] != other[:-1]))))[: len(h)]
+                counts = np.diff(np.append(new, len(h)))
+                first = order[new]
+                for k, words in enumerate(stretches):
+                    mine = np.flatnonzero(of[first] == k)
+                    languages = names.take(pa.array(lang[first[mine]]))
+                    where, phrases = words.phrases(at[first[mine]], n)
+                    yield pa.RecordBatch.from_arrays(
+                        [languages.take(pa.array(where)), pa.array(np.full(len(mine), n, np.int32)), phrases, pa.array(counts[mine][where])], schema=schema
+                    )
+
         for b in batches:
             for words, lang, names in _stretches([t.as_py() for t in b.column(0)], b.column(1).to_pylist()):
                 if not len(words.start):
                     continue
                 seed = _seeds(names)[lang]
-                first, second = words.hashes(0), words.hashes(1)
-                out = {c: [] for c in schema.names}
                 for name, n in zip(names, np.bincount(lang, minlength=len(names)).tolist(), strict=True):
-                    if n:
-                        for c, v in zip(schema.names, (name, 0, "", n), strict=True):
-                            out[c].append(v)
-                others = words.ngrams(second, most_words)
-                for n, (at, h) in enumerate(words.ngrams(first, most_words), 1):
+                    totals[name] = totals.get(name, 0) + n
+                number = np.array([list(totals).index(x) for x in names], np.int32)[lang]
+                others = words.ngrams(words.hashes(1), most_words)
+                for n, (at, h) in enumerate(words.ngrams(words.hashes(0), most_words)):
                     other = next(others)[1]
                     h = _mix(h ^ seed[at])
                     hits = passing.hits(h)
                     at, h, other = at[hits], h[hits], other[hits]
-                    # Equal in both hashes, 128 bits together.
-                    order = np.lexsort((other, h))
-                    at, h, other = at[order], h[order], other[order]
-                    new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (other[1:] != other[:-1]))))[: len(h)]
-                    counts = np.diff(np.append(new, len(h)))
-                    out["lang"] += [names[k] for k in lang[at[new]].tolist()]
-                    out["n_words"] += [n] * len(new)
-                    out["phrase"] += [words.phrase(k, n) for k in at[new].tolist()]
-                    out["n"] += counts.tolist()
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
+                    held[n].append((at, h, other, number[at], np.full(len(at), len(stretches), np.int32)))
+                stretches.append(words)
+                tokens += len(words.start)
+                if tokens >= COUNT_TOKENS:
+                    yield from flush()
+                    held, stretches, totals, tokens = [[] for _ in range(most_words)], [], {}, 0
+        if stretches:
+            yield from flush()
 
     counted = rows.mapInArrow(count, kinds).groupBy("lang", "n_words", "phrase").agg(F.sum("n").alias("a"))
     return counted.where((F.col("n_words") == 0) | (F.col("a") >= threshold))
