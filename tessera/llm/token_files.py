@@ -22,12 +22,15 @@ of ids (each unsigned, 64 bits); the place of the index, the index's xxHash
 
 from __future__ import annotations
 
+import array
+import json
 import posixpath
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +51,23 @@ _HEAD, _FOOT = "<8sQ", "<QQ8s"
 
 #: Documents that the dictionary is trained on and bytes of ids taken in all, its size, and the compression level.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 2000, 16 << 20, 112_640, 3
-#: Bytes of frames in a file, and units of text whose ids a task remembers.
-FILE_BYTES, REMEMBERED = 64 << 20, 1 << 19
+#: Bytes of frames in a file, and parts of texts whose ids a worker remembers (at most twice so many).
+FILE_BYTES, REMEMBERED = 64 << 20, 1 << 18
 
-#: Where a byte-level tokenizer always starts a new unit: at a single space before a letter, and at a
-#: punctuation mark after a letter. Units are encoded by themselves, each once.
-_UNIT = re.compile(r"(?<=\S)(?= [A-Za-z])|(?<=[A-Za-z])(?=[.,;:!?])")
+#: Latin letters. Runs of them, with an apostrophe inside or not, and what stands between the runs, are
+#: cut apart by a byte-level tokenizer in any case, and so is a text before a space.
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_UNIT = re.compile(f" ?[{_LETTERS}]+(?:'+[{_LETTERS}]+)*|(?:'[{_LETTERS}']*| (?![{_LETTERS}])|[^{_LETTERS}' ])+")
+#: A space with white space on both sides does not always end a unit, nor does white space of two characters;
+#: letters beyond Latin-1 may join with Latin ones.
+_INSIDE_SPACE, _TWO_SPACES, _BEYOND = re.compile(r" (?<=\s )(?=\s|\Z)"), re.compile(r"\s\s"), re.compile("[^\x00-\xff]")
+
+
+def _byte_letters() -> dict[int, str]:
+    """What stands for each byte in a byte-level vocabulary: printable Latin-1 itself, the others from U+0100 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -61,50 +75,101 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
+class _Remembered(dict):
+    """The latest results of a function: a young and an old generation of at most ``most`` each."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Rules(NamedTuple):
+    """What to know of a tokenizer: whether a text may be encoded in parts, and its special strings."""
+
+    by_parts: bool
+    special: tuple[str, ...]
+
+    @classmethod
+    def of(cls, tokenizer: bytes) -> Rules:
+        made_of = json.loads(tokenizer)
+        cut, added, model = made_of.get("pre_tokenizer") or {}, made_of.get("added_tokens") or (), made_of["model"]
+        by_parts = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        by_parts = by_parts and model["type"] == "BPE" and not model.get("ignore_merges") and not made_of.get("normalizer")
+        by_parts = by_parts and not any(x.get("lstrip") or x.get("rstrip") or " " in x["content"] for x in added)
+        return cls(bool(by_parts), tuple(x["content"] for x in added))
+
+
 class Encoder:
-    """Texts to serialized ids, a unit at a time; remembers the ids of frequent units."""
+    """Texts to serialized ids; remembers the ids of frequent parts of texts where the tokenizer allows it."""
 
-    def __init__(self, tokenizer: bytes, end_id: int | None, by_units: bool):
-        self.tokenizer = Tokenizer.from_buffer(tokenizer)
+    def __init__(self, tokenizer: bytes, rules: Rules, end_id: int | None, remembered: int = REMEMBERED):
+        self.tokenizer, self.rules = Tokenizer.from_buffer(tokenizer), rules
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
-        self.by_units, self.known = by_units, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.parts, self.units = _Remembered(self._part, remembered), _Remembered(self._whole, remembered // 16)
+        self.marks = {m: self._whole(m) for m in ".,;:!?"}
+
+    def _whole(self, text: str) -> bytes:
+        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word after a space: one pre-token, which goes to the model itself."""
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array.array("I", [t.id for t in self.tokenize("\u0120" + spelled)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """The ids of a space and what follows it up to the next."""
+        if part.isalpha():
+            return self._word(part)
+        if part[-1:] in self.marks and part[:-1].isalpha():
+            return self.parts[part[:-1]] + self.marks[part[-1]]
+        return self._cut(" " + part)
+
+    def _cut(self, text: str) -> bytes:
+        if _BEYOND.search(text) or _TWO_SPACES.search(text) or any(x in text for x in self.rules.special):
+            return self._whole(text)
+        units = self.units
+        return b"".join([units[u] for u in _UNIT.findall(text)])
+
+    def text(self, text: str) -> bytes:
+        if not self.rules.by_parts or _INSIDE_SPACE.search(text):
+            return self._whole(text) + self.end
+        parts, cut = self.parts, text.split(" ")
+        ids = [parts[p] for p in cut]
+        ids[0] = self._cut(cut[0])  # no space before it
+        ids.append(self.end)
+        return b"".join(ids)
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        if not self.by_units:
-            return [ids + self.end for ids in self._ids(texts)]
-        cut = [_UNIT.split(t) for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({u for units in cut for u in units if u not in known})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            known.update(zip(part, self._ids(part), strict=True))
-        return [b"".join([known[u] for u in units]) + self.end for units in cut]
-
-
-def _texts_at_a_time(texts: list[str], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Stretches of texts of about ``most`` characters, so that what a step holds is bounded by it or one text."""
-    start, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= most or k == len(texts) - 1:
-            yield start, k + 1
-            start, size = k + 1, 0
-
-
-def train_dictionary(rows: DataFrame, tokenizer: bytes, end_id: int | None, by_units: bool, sample: int = SAMPLE) -> bytes:
+        return [self.text(t) for t in texts]
+
+
+def _encoder(held: dict) -> Encoder:
+    """The encoder of a broadcast dict; a worker makes one and keeps it there for its later tasks."""
+    if "encoder" not in held:
+        held["encoder"] = Encoder(held["tokenizer"], Rules(*held["rules"]), held["end_id"])
+    return held["encoder"]
+
+
+def train_dictionary(rows: DataFrame, held: dict, sample: int = SAMPLE) -> bytes:
     """A dictionary from ``sample`` documents, chosen by hash; empty if there is too little to train on."""
+    shared = rows.sparkSession.sparkContext.broadcast(held)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id, by_units)
+        encoder = _encoder(shared.value)
         for b in batches:
             # A sample of ids; of a long document its first 64 kB are enough for the dictionary.
-            ids = [x[: 1 << 16] for x in encoder.batch(b.column(0).to_pylist())]
+            ids = [encoder.text(t.as_py())[: 1 << 16] for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     samples, room = [], SAMPLE_BYTES
@@ -129,7 +194,6 @@ def write_tokens(
     folder: str,
     tokenizer_path: str,
     end_id: int | None = 2,
-    by_units: bool = True,
     file_bytes: int = FILE_BYTES,
     sample: int = SAMPLE,
     id_col: str = "doc_id",
@@ -141,26 +205,23 @@ def write_tokens(
     in order, with how many documents and ids stand before each. Documents go by
     doc_id (NULL last), then text hash; ``end_id`` ends every one. A NULL text is
     empty; repeated rows are written one by one; an empty table gives no files.
-    ``by_units`` remembers the ids of parts of a text between places where
-    a byte-level tokenizer cuts it in any case; turn it off for other kinds.
     """
     spark = docs.sparkSession
-    fs, _ = _filesystem(folder)
     with open(tokenizer_path, "rb") as f:
         tokenizer = f.read()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    dictionary = train_dictionary(rows, tokenizer, end_id, by_units, sample)
+    held = {"tokenizer": tokenizer, "rules": tuple(Rules.of(tokenizer)), "end_id": end_id}
+    dictionary = train_dictionary(rows, held, sample)
     _put(folder, "dictionary", dictionary)
-    shared = spark.sparkContext.broadcast((tokenizer, dictionary))
+    shared = spark.sparkContext.broadcast(held | {"dictionary": dictionary})
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value[0], end_id, by_units)
-        compressor = _compressor(shared.value[1])
+        held = shared.value
+        encoder, compressor = _encoder(held), _compressor(held["dictionary"])
         for b in batches:
-            texts = b.column(2).to_pylist()
-            for start, end in _texts_at_a_time(texts):
-                ids = encoder.batch(texts[start:end])
-                part = b.slice(start, end - start)
+            for start in range(0, b.num_rows, 1000):
+                part = b.slice(start, 1000)
+                ids = [encoder.text(t.as_py()) for t in part.column(2)]
                 arrays = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([compressor.compress(x) for x in ids], pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], ["doc_id", "key", "n_tokens", "frame"])
 

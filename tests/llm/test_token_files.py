@@ -57,10 +57,14 @@ def test_awkward_rows_in_several_files(spark, awkward, awkward_rows, tmp_path):
 def test_units_give_the_ids_of_the_whole_text():
     t = Tokenizer.from_file(PATH)
     with open(PATH, "rb") as f:
-        encoder = T.Encoder(f.read(), None, True)
+        data = f.read()
+    rules = T.Rules.of(data)
+    assert rules == (True, ("<|endoftext|>",))
+    encoder = T.Encoder(data, rules, None, remembered=32)
     texts = [
         "It's a test.Really, isn't it?  Yes!\n\n Well  then;no:a.b", "  lead and  trail  ", "a  b  c\x1c d\x85 e", "x <|endoftext|> y<|endoftext|>.z",
         "naïve café's 漢字 \U0001f600 ok, 12 ab3.c4 d'll.e", "", " ", "\n a", "we'll.they've! I'M,OK", "a" * 5000 + " " + "b. " * 100,
+        "'dog 'tis x'y'z' ''s don'T", "é\u0301t 漢hello hello漢 µ x\xa0y \xa0 z", "end ", " start", "a \xa0\xa0b\n\nc\n d", "\n\n a", "tab\t tab \t tab", "a   b    c", "1st 2nd3 a1 b, (c) \"d'\"", "\u2019s it\u2019s \u00df1",
     ]
     ids = [np.frombuffer(x, "<u4").tolist() for x in encoder.batch(texts)]
     assert ids == [t.encode(x, add_special_tokens=False).ids for x in texts]
@@ -69,8 +73,10 @@ def test_units_give_the_ids_of_the_whole_text():
 
 def test_other_tokenizer_and_no_end(spark, documents, tmp_path):
     path, folder = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t")
+    with open(path, "rb") as f:
+        assert not T.Rules.of(f.read()).by_parts
     docs = documents.where("doc_id < 20")
-    T.write_tokens(docs, folder, path, end_id=None, by_units=False)
+    T.write_tokens(docs, folder, path, end_id=None)
     t = Tokenizer.from_file(path)
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert {r.doc_id: r.ids for r in T.read_tokens(spark, folder).collect()} == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in texts.items()}
