@@ -12,20 +12,24 @@ members.
 How it runs at scale
 --------------------
 * The points are read once, persisted (memory and disk) as they come (FLOAT
-  vectors stay FLOAT) and scanned once per seeding round and once per Lloyd
-  pass: k + iterations + 1 scans in all. With many parts they are first dealt
-  out by (part, slice of the id's hash) and sorted by part, so a task holds few
-  parts. A task returns one row per part (seeding) or per (part, label)
-  (Lloyd), whatever the skew of the data, and only the k·L centers come back to
-  the driver, as matrices.
-* The centers travel with the distance kernel (:mod:`tessera.functions.kernels`).
-  The parts are taken in blocks whose centers take at most
+  vectors stay FLOAT). Seeding scans them about log2(k) times and measures
+  about k distances a point in all: a scan tries as many rounds as there are
+  centers so far and keeps the winners that it can prove (see
+  :func:`tessera.functions.kernels.race`). A Lloyd pass is one scan. With many
+  parts the points are first dealt out by (part, slice of the id's hash) and
+  sorted by part, so a task holds few parts. A task returns few rows per part
+  (seeding) or (part, label) (Lloyd), whatever the skew of the data.
+* Centers come back to the driver as matrices and travel with the distance
+  kernel. The parts are taken in blocks whose centers take at most
   ``tessera.maxBroadcastBytes`` (default 256 MiB) together, each block one job
-  over the points of its parts; the centers of one part must fit, which is
-  checked before the first clustering job. No join is needed.
-* A seeding round measures all centers chosen so far: k²/2 distances a point
-  in all, and in exchange nothing is ever rewritten, no lineage grows and a
-  lost executor costs its own partitions only.
+  over a range of parts; the centers of one part must fit, which is checked
+  before the first clustering job. No join is needed.
+* A coreset is worked out in waves of parts and kept as a table in the shared
+  folder, so its k·parts centers are never on the driver together.
+* Sums are exact (limbs in whole numbers), so centers, costs and the stop test
+  are the same bit by bit however the points are dealt out.
+* Nothing but the centers changes between rounds: no lineage grows and a lost
+  executor costs its own partitions only.
 * Randomness is a hash of (seed, round, id): reruns, retried tasks and plain
   SQL all draw the same numbers.
 
@@ -52,7 +56,7 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Iterable, Iterator
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,13 +67,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from tessera.functions.hashing import bucket, col, uniform_sql
-from tessera.functions.kernels import Model, cluster_sums, nearest_rows, race_winners
+from tessera.functions.hashing import SqlText, bucket, col, uniform_sql
+from tessera.functions.kernels import CANDIDATES, Model, Race, cluster_sums, nearest_rows, race
+from tessera.session import ensure_checkpoint_dir
 
 # Fixed values.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024  # centers of the parts of one job
 DEFAULT_MAX_MODEL_BYTES = 2 * 1024 * 1024 * 1024  # all centers, on the driver
+DEFAULT_WAVE_BYTES = 64 * 1024 * 1024  # centers of the parts of a coreset that are worked on at a time
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
+LEAST_ROUNDS, MOST_ROUNDS = 4, 256  # seeding rounds that one scan tries, at first and at most
 
 _INF = float("inf")
 
@@ -138,26 +145,26 @@ def _clustered(pts: DataFrame, parts: int) -> DataFrame:
     return dealt.sortWithinPartitions("part").drop("slice")
 
 
-def _blocks(spark: SparkSession, model: Model) -> Iterator[Model]:
-    """The parts in blocks whose centers may travel together."""
-    most, block, size = _limit(spark, "maxBroadcastBytes", DEFAULT_MAX_BROADCAST_BYTES), {}, 0
+def _blocks(spark: SparkSession, model: Model) -> list[tuple[Model, int | None, int | None]]:
+    """The parts in blocks whose centers may travel together, each with its range of parts ``[low, high)``.
+
+    The ranges cover all numbers, so that points of any other part meet a block and are seen there.
+    """
+    most, blocks, size = _limit(spark, "maxBroadcastBytes", DEFAULT_MAX_BROADCAST_BYTES), [{}], 0
     for p, c in sorted(model.items()):
-        if block and size + c.nbytes > most:
-            yield block
-            block, size = {}, 0
-        block[p], size = c, size + c.nbytes
-    if block:
-        yield block
+        if blocks[-1] and size + c.nbytes > most:
+            blocks.append({})
+            size = 0
+        blocks[-1][p], size = c, size + c.nbytes
+    lows = [None, *(min(b) for b in blocks[1:])]
+    return list(zip(blocks, lows, [*lows[1:], None], strict=True))
 
 
-def _of_parts(pts: DataFrame, parts: Iterable[int], every: bool) -> DataFrame:
-    """The points of some parts; ``every`` if these are all the parts there are, and others are an error."""
-    parts = sorted(parts)
-    part = F.col("part")
-    if not every:
-        return pts.where(part.isin(parts))
-    lost = F.raise_error(F.concat(F.lit("no centers for part "), part.cast("string")))
-    return pts.withColumn("part", F.when(part.isin(parts), part).otherwise(lost.cast("int")))
+def _in_range(pts: DataFrame, low: int | None, high: int | None) -> DataFrame:
+    """The points of the parts ``[low, high)``: two literals, however many parts there are."""
+    if low is not None:
+        pts = pts.where(F.col("part") >= low)
+    return pts if high is None else pts.where(F.col("part") < high)
 
 
 def _collect_centers(centers: DataFrame, by_part: bool) -> tuple[Model, dict[int, np.ndarray]]:
@@ -192,14 +199,9 @@ def _matched(points: DataFrame, centers: DataFrame, id_col, vec_col, weight_col,
     return (pts, True) if theirs else (pts.withColumn("part", F.lit(0)), False)
 
 
-def _sums(pts: DataFrame, model: Model, every: bool) -> DataFrame:
+def _sums(pts: DataFrame, model: Model, by_label: bool = True) -> DataFrame:
     """Sums by (part, label row), in one job or, for a large model, one per block of parts."""
-    blocks = list(_blocks(pts.sparkSession, model))
-    if not blocks:
-        return cluster_sums(_of_parts(pts, [], every), {})
-    if every and len(blocks) > 1:
-        pts = _of_parts(pts, model, True)
-    frames = [cluster_sums(_of_parts(pts, b, every and len(blocks) == 1), b) for b in blocks]
+    frames = [cluster_sums(_in_range(pts, low, high), b, by_label) for b, low, high in _blocks(pts.sparkSession, model)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionAll(f)
@@ -236,37 +238,59 @@ def _persist_points(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- seeding
 
 
-def _seed(pts: DataFrame, k: int, seed: int, parts: int = 1) -> dict[int, list[tuple[int, np.ndarray]]]:
+def _seed(
+    pts: DataFrame, k: int, seed: int, parts: int = 1, scans: list | None = None
+) -> dict[int, list[tuple[int, np.ndarray]]]:
     """Weighted k-means++ seeding per part: ``{part: [(id, v), ...]}`` in pick order.
 
     Round 0 takes the point of smallest u(seed, 0, id) (uniform, weights
     ignored). Round r takes, among unchosen points, the smallest
     -ln(u(seed, r, id)) / (w·d), ties to the lowest id: an exponential race
-    that picks each point with probability w·d / sum(w·d) in one pass, with no
-    ordered prefix sum. When every w·d is 0 the key is +Infinity for all and
-    the lowest unchosen id wins. Each round is one scan, in which a task finds
-    its best candidate of each part, and one aggregate by part; only the L
-    picks come back to the driver.
+    that picks each point with probability w·d / sum(w·d), with no ordered
+    prefix sum. When every w·d is 0 the key is +Infinity for all and the
+    lowest unchosen id wins.
+
+    A scan tries about as many rounds as there are centers so far
+    (:func:`tessera.functions.kernels.race`): with distances to 1, 2, 4, ...
+    centers that makes about k distances a point and log2(k) scans in all. Keys
+    beyond a limit that few should pass, drawn from the mass of the scan
+    before, are not sent. ``scans``, if given, receives ``(distances a point,
+    rounds settled)`` of each scan, of the part that is furthest back.
     """
     spark = pts.sparkSession
     width = pts.select(F.size("v")).first()
     if width is not None:
         _check_size(spark, k, width[0], parts)
 
-    def pick(rows: DataFrame, rnd: int, model: Model | None = None, exclude=None) -> list:
-        drawn = rows.withColumn("u", F.expr(uniform_sql(seed, rnd, col("id"))))
-        winners = race_winners(drawn, model, exclude)
-        best = winners.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("m"))
-        return best.select("part", "m.id", "m.v").collect()
-
-    chosen = {r.part: [(r.id, np.array(r.v))] for r in pick(pts, 0)}
-    for rnd in range(1, k):
-        # A part whose points are all chosen has no candidate and drops out.
-        model = {p: np.stack([v for _, v in c]) for p, c in chosen.items() if len(c) == rnd}
-        for block in _blocks(spark, model):
-            exclude = {p: [i for i, _ in chosen[p]] for p in block}
-            for r in pick(_of_parts(pts, block, False), rnd, block, exclude):
-                chosen[r.part].append((r.id, np.array(r.v)))
+    def drawn(rows: DataFrame, first: int, end: int) -> DataFrame:
+        one = uniform_sql(seed, SqlText("r"), col("id"))
+        return rows.withColumn("u", F.expr(f"transform(sequence({first}, {end - 1}), r -> {one})"))
+
+    chosen = {r.part: [(r.id, np.array(r.v))] for r in race(drawn(pts, 0, 1), None, None).where("rnd >= 0").collect()}
+    limit = dict.fromkeys(chosen, _INF)
+    live = set(chosen) if k > 1 else set()
+    while live:
+        model = {p: np.stack([v for _, v in chosen[p]]) for p in live}
+        before, used = {p: len(chosen[p]) for p in live}, dict(limit)
+        for block, low, high in _blocks(spark, model):
+            ends = {p: min(k, before[p] + min(MOST_ROUNDS, max(LEAST_ROUNDS, before[p]))) for p in block}
+            races = {p: Race(before[p], ends[p], limit[p], [i for i, _ in chosen[p]]) for p in block}
+            first, end = min(r.first for r in races.values()), max(r.end for r in races.values())
+            rows = drawn(_in_range(pts, low, high), first, end)
+            for r in sorted(race(rows, block, races, first).collect(), key=lambda r: (r.part, r.rnd)):
+                if r.rnd >= 0:
+                    chosen[r.part].append((r.id, np.array(r.v)))
+                else:
+                    limit[r.part] = 2 * CANDIDATES / r.mass if r.mass > 0 else _INF
+        if scans is not None:
+            scans.append((min(before.values()), min(len(chosen[p]) - n for p, n in before.items())))
+        for p, n in before.items():
+            if len(chosen[p]) >= k:
+                live.discard(p)
+            elif len(chosen[p]) == n and used[p] == _INF:
+                live.discard(p)  # all points of the part are chosen
+            elif len(chosen[p]) == n:
+                limit[p] = _INF  # it was too low
     return chosen
 
 
@@ -283,11 +307,11 @@ class _PartState:
     cost: float | None = None
 
 
-def _pass(pts: DataFrame, model: Model) -> dict[int, dict[int, tuple]]:
+def _pass(pts: DataFrame, model: Model, strict: bool) -> dict[int, dict[int, tuple]]:
     """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v."""
     out: dict[int, dict[int, tuple]] = {}
-    for block in _blocks(pts.sparkSession, model):
-        for r in cluster_sums(_of_parts(pts, block, False), block).collect():
+    for block, low, high in _blocks(pts.sparkSession, model):
+        for r in cluster_sums(_in_range(pts, low, high), block, strict=strict).collect():
             out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, np.array(r.sx))
     return out
 
@@ -309,6 +333,7 @@ def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) ->
     cost of the final centers.
     """
     state = {p: _PartState(centers=c) for p, c in centers.items()}
+    first = True
     while True:
         for s in state.values():
             if not s.done and s.it >= iterations and not final_pass:
@@ -316,12 +341,14 @@ def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) ->
         live = [p for p, s in state.items() if not s.done]
         if not live:
             return state
-        stats = _pass(pts, {p: state[p].centers for p in live})
+        # Later on, the parts that have stopped are left out.
+        stats = _pass(pts, {p: state[p].centers for p in live}, first)
+        first = False
         for p in live:
             s = state[p]
             st = stats.get(p, {})
-            tw = sum(x[1] for x in st.values())
-            obj = sum(x[2] for x in st.values()) / tw if tw > 0 else math.nan
+            tw = math.fsum(x[1] for x in st.values())
+            obj = math.fsum(x[2] for x in st.values()) / tw if tw > 0 else math.nan
             s.sizes = [st[lab][0] if lab in st else 0 for lab in range(len(s.centers))]
             s.cost = obj
             if s.it >= 1 and (s.it - 1) % STOP_TEST_EVERY == 0:
@@ -358,17 +385,19 @@ def seed_centers(
     vec_col: str = "v",
     weight_col: str | None = None,
     part_col: str | None = "part",
+    scans: list | None = None,
 ) -> DataFrame:
     """k seeds per part by weighted k-means++: ``part?, label, id, center``.
 
-    ``label`` is the pick order. Runs k small jobs now (the loop needs each
-    pick); the result is a DataFrame of at most k rows per part.
+    ``label`` is the pick order. Runs about log2(k) small jobs now; the result
+    is a DataFrame of at most k rows per part. ``scans``, if given, receives
+    ``(distances a point, rounds settled)`` of every scan after the first.
     """
     _check_args(k=k)
     pts, has_part = _points(points, id_col, vec_col, weight_col, part_col)
     pts = _persist_points(pts)
     try:
-        chosen = _seed(pts, k, seed)
+        chosen = _seed(pts, k, seed, scans=scans)
     finally:
         pts.unpersist()
     if not has_part and chosen and len(chosen.get(0, [])) < k:
@@ -392,10 +421,7 @@ def assign_nearest(
     """
     pts, by_part = _matched(points, centers, id_col, vec_col, None, part_col)
     model, labels = _collect_centers(centers, by_part)
-    blocks = list(_blocks(points.sparkSession, model)) or [{}]
-    if len(blocks) > 1:
-        pts = _of_parts(pts, model, True)
-    frames = [nearest_rows(_of_parts(pts, b, len(blocks) == 1), b, labels) for b in blocks]
+    frames = [nearest_rows(_in_range(pts, low, high), b, labels) for b, low, high in _blocks(points.sparkSession, model)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionAll(f)
@@ -408,7 +434,7 @@ def _per_cluster(points, centers, value: str, name: str, kind: str, id_col, vec_
     model, labels = _collect_centers(centers, by_part)
     names = [(p, i, int(lab), 0) for p, ls in labels.items() for i, lab in enumerate(ls)]
     zeros = _local_frame(points.sparkSession, names, f"part INT, row INT, label INT, {name} {kind}")
-    per = _sums(pts, model, True).select("part", F.col("label").alias("row"), F.lit(None).cast("int").alias("label"), F.col(value).alias(name))
+    per = _sums(pts, model).select("part", F.col("label").alias("row"), F.lit(None).cast("int").alias("label"), F.col(value).alias(name))
     out = per.unionByName(zeros).groupBy("part", "row").agg(F.max("label").alias("label"), F.sum(name).alias(name)).drop("row")
     return out if by_part else out.drop("part")
 
@@ -447,7 +473,7 @@ def kmedian_cost(
     """
     pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
     model, _ = _collect_centers(centers, by_part)
-    sums = _sums(pts, model, True)
+    sums = _sums(pts, model, by_label=False)
     cost = F.try_divide(F.sum("sd"), F.sum("sw")).alias("cost")
     return sums.groupBy("part").agg(cost) if by_part else sums.agg(cost)
 
@@ -467,7 +493,7 @@ def lloyd_step(
     """
     pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
     model, labels = _collect_centers(centers, by_part)
-    stats = _step(pts, model)
+    stats = _pass(pts, model, True)
     rows = [
         (p, int(labels[p][i]), _moved(c, stats.get(p, {}).get(i))) for p, cs in sorted(model.items()) for i, c in enumerate(cs)
     ]
@@ -475,11 +501,6 @@ def lloyd_step(
     return out if by_part else out.drop("part")
 
 
-def _step(pts: DataFrame, model: Model) -> dict[int, dict[int, tuple]]:
-    """:func:`_pass` over points all of whose parts must have centers."""
-    return _pass(_of_parts(pts, model, True), model)
-
-
 def _run_kmedian(pts: DataFrame, k: int, iterations: int, seed: int, final_pass: bool, parts: int = 1):
     chosen = _seed(pts, k, seed, parts)
     centers = {p: np.stack([v for _, v in c]) for p, c in chosen.items()}
@@ -499,7 +520,7 @@ def lloyd(
     _check_args(iterations=iterations)
     pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
     model, labels = _collect_centers(centers, by_part)
-    pts = _persist_points(_of_parts(pts, model, True))
+    pts = _persist_points(pts)
     try:
         state = _lloyd(pts, model, iterations, False)
     finally:
@@ -538,13 +559,25 @@ def kmedian(
     return out if has_part else out.drop("part")
 
 
-def _coreset_rows(pts: DataFrame, k: int, iterations: int, seed: int, parts: int) -> list[tuple]:
-    state = _run_kmedian(pts, k, iterations, seed, True, parts)
-    return [
-        (p, label, c, int(s.sizes[label]))
-        for p, s in sorted(state.items())
-        for label, c in enumerate(s.centers)
-    ]
+def _coreset_table(pts: DataFrame, k: int, iterations: int, seed: int, parts: int) -> DataFrame:
+    """``part, label, center, w`` as a table in the shared folder.
+
+    The parts are clustered in waves whose centers take at most
+    ``tessera.waveBytes`` (default 64 MiB) together, and each wave's rows
+    are appended, so the driver holds one wave, however many parts there are.
+    """
+    spark = pts.sparkSession
+    width = pts.select(F.size("v")).first()
+    _check_size(spark, k, width[0] if width else 0)
+    wave = max(1, _limit(spark, "waveBytes", DEFAULT_WAVE_BYTES) // (8 * k * max(1, width[0] if width else 1)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-coreset-{uuid.uuid4().hex}"
+    schema = "part INT, label INT, center ARRAY<DOUBLE>, w BIGINT"
+    for low in range(0, parts, wave):
+        mine = pts if wave >= parts else _in_range(pts, low, low + wave)
+        state = _run_kmedian(mine, k, iterations, seed, True)
+        rows = [(p, label, c, int(s.sizes[label])) for p, s in sorted(state.items()) for label, c in enumerate(s.centers)]
+        _local_frame(spark, rows, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def coreset(
@@ -564,14 +597,12 @@ def coreset(
     points yields all its points with weight 1.
     """
     _check_args(k=k, parts=parts, iterations=iterations)
-    spark = points.sparkSession
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
     pts = _persist_points(_clustered(pts, parts))
     try:
-        rows = _coreset_rows(pts, k, iterations, seed, parts)
+        return _coreset_table(pts, k, iterations, seed, parts)
     finally:
         pts.unpersist()
-    return _local_frame(spark, rows, "part INT, label INT, center ARRAY<DOUBLE>, w BIGINT")
 
 
 def kmedian_mr(
@@ -599,19 +630,20 @@ def kmedian_mr(
     pts, _ = _points(assign_parts(points, parts, seed, id_col), id_col, vec_col, None, "part")
     pts = _persist_points(_clustered(pts, parts))
     try:
-        rows = _coreset_rows(pts, k, iterations, seed, parts)
-        if sum(w for *_, w in rows) < k:
+        table = _coreset_table(pts, k, iterations, seed, parts)
+        if (table.agg(F.sum("w")).first()[0] or 0) < k:
             raise ValueError(f"k = {k} is above the number of points")
         marks.append(clock())
-        core = _local_frame(
-            spark,
-            [(0, p * k + label, c, float(w)) for p, label, c, w in rows if w > 0],
-            "part INT, id BIGINT, v ARRAY<DOUBLE>, w DOUBLE",
+        core = table.where("w > 0").select(
+            F.lit(0).alias("part"),
+            (F.col("part").cast("long") * k + F.col("label")).alias("id"),
+            F.col("center").alias("v"),
+            F.col("w").cast("double").alias("w"),
         )
         state = _run_kmedian(core, k, iterations, seed, False)[0]
         marks.append(clock())
-        everyone = cluster_sums(pts.withColumn("part", F.lit(0)), {0: state.centers})
-        cost = everyone.agg(F.sum("sd") / F.sum("sw")).first()[0]
+        everyone = cluster_sums(pts.withColumn("part", F.lit(0)), {0: state.centers}, by_label=False).first()
+        cost = everyone.sd / everyone.sw
         marks.append(clock())
     finally:
         pts.unpersist()

@@ -116,23 +116,24 @@ def word_count_report(
 ) -> DataFrame:
     """``strategy, distinct_words, avg_length``: one row per strategy.
 
-    ``parts`` is the number of partitions of the partition-wise strategy;
-    lengths count in ``units``, as in :func:`avg_distinct_word_length`.
+    The documents are dealt out (into ``parts``, if given), read and cut into
+    words once for all strategies. They differ in the key that the first round
+    combines by next to the word: none, a salt, or the partition; the second
+    round sums by word. Lengths count in ``units``, as in
+    :func:`avg_distinct_word_length`.
     """
-    tables = {
-        "word_count": word_count(docs, text_col, id_col),
-        "word_count_salted": word_count_salted(docs, salts, seed, text_col, id_col),
-        "word_count_partitioned": word_count_partitioned(docs, text_col, id_col, parts),
-    }
-    rows = [
-        t.agg(
-            F.lit(name).alias("strategy"),
-            F.count(F.lit(1)).alias("distinct_words"),
-            F.avg(char_length(F.col("word"), units).cast("double")).alias("avg_length"),
-        )
-        for name, t in tables.items()
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    words = _words(docs, text_col, id_col, parts)
+    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("line_no"), F.col("word")), F.lit(salts))
+    keys = dict(zip(STRATEGIES, (F.lit(-1), salt.cast("int"), F.spark_partition_id()), strict=True))
+    keyed = words.select("word", F.inline(F.array(*(F.struct(F.lit(s).alias("strategy"), k.alias("key")) for s, k in keys.items()))))
+    first = keyed.groupBy("strategy", "key", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = first.groupBy("strategy", "word").agg(F.sum("n").alias("n"))
+    measured = counts.groupBy("strategy").agg(
+        F.count(F.lit(1)).alias("distinct_words"), F.avg(char_length(F.col("word"), units).cast("double")).alias("avg_length")
+    )
+    # A strategy that saw no word has its row, too.
+    names = docs.sparkSession.range(len(STRATEGIES), numPartitions=1).select(
+        F.get(F.array(*map(F.lit, STRATEGIES)), F.col("id").cast("int")).alias("strategy")
+    )
+    out = names.join(F.broadcast(measured), "strategy", "left")  # at most one row a strategy
+    return out.select("strategy", F.coalesce("distinct_words", F.lit(0)).alias("distinct_words"), "avg_length")

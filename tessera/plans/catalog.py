@@ -8,6 +8,7 @@ computed in a different summation order compare equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from tessera.operators import clustering as C
 from tessera.operators import numeric as N
 from tessera.operators import wordcount as W
 from tessera.operators.partitioning import spread
-from tessera.sources.points import parse_points
-from tessera.sources.text import lines, parse_numbers
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources.points import parse_points, read_points
+from tessera.sources.text import lines, parse_numbers, read_documents
 
 # Fixed parameters of the registered clustering queries.
 K = 4
@@ -127,9 +129,43 @@ def q_word_count_report(spark, sf_dir):
     return out.select("strategy", "distinct_words", _r9(F.col("avg_length")).alias("avg_length"))
 
 
+def _as_text(spark, df, order, value):
+    """A table written as text files, a line a row in the given order, into the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-text-{uuid.uuid4().hex}"
+    df.orderBy(*order).select(value).write.text(path)
+    return path
+
+
+def q_read_documents(spark, sf_dir):
+    """The lines of all documents, written as a line-per-document text and read again."""
+    ls = lines(_docs(spark, sf_dir), "text", keep=("doc_id",))
+    return read_documents(spark, _as_text(spark, ls, ("doc_id", "line_no"), "line"))
+
+
 # ---- points and clustering
 
 
+def _points_file(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    value = F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), " ")
+    return _as_text(spark, emb.select("vec_id", value.alias("value")), ("vec_id",), "value")
+
+
+def q_read_points(spark, sf_dir):
+    """All points, written a line each and read into at least PARTS partitions."""
+    out = read_points(spark, _points_file(spark, sf_dir), min_partitions=PARTS)
+    return out.select("id", round_vector("v", VECTOR_DIGITS).alias("v"))
+
+
+def q_kmedian_file(spark, sf_dir):
+    """The sequential program from its file on: read the points, cluster them, measure the cost."""
+    pts = read_points(spark, _points_file(spark, sf_dir))
+    centers = C.kmedian(pts, K, KMEDIAN_ITERATIONS, seed=SEED)
+    cost = C.kmedian_cost(pts, centers).select(_r9(F.col("cost"))).scalar()
+    return centers.select("label", round_vector("center", VECTOR_DIGITS).alias("center"), cost.alias("cost"))
+
+
+
 def q_parse_points(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), " ").alias("value")
@@ -252,4 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmedian_weighted": q_kmedian_weighted,
     "kmedian_cost_parted": q_kmedian_cost_parted,
     "spread_lines": q_spread_lines,
+    "read_documents": q_read_documents,
+    "read_points": q_read_points,
+    "kmedian_file": q_kmedian_file,
 }

@@ -342,4 +342,7 @@ FROM (VALUES ('word_count'), ('word_count_salted'), ('word_count_partitioned'))
     "kmedian_weighted": _kmedian_weighted_sql(),
     "kmedian_cost_parted": _kmedian_cost_sql(),
     "spread_lines": _LINES,
+    "read_documents": f"SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS doc_id, line AS text FROM ({_LINES})",
+    "read_points": f"SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, {_rvec('embedding::DOUBLE[]')} AS v FROM embeddings",
+    "kmedian_file": _kmedian_with_cost_sql(),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_words
-from tessera.sources.text import _number, with_line_ids
+from tessera.sources.text import _number, numbered_lines, with_line_ids
 
 
 def _checked(v):
@@ -29,8 +29,8 @@ def parse_points(df: DataFrame, text_col: str = "value", id_col: str | None = No
 def read_points(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """A point-per-line text file or folder as ``id BIGINT, v ARRAY<DOUBLE>``.
 
-    The ids depend on the lines alone. ``min_partitions`` deals the points into
-    so many partitions; without it Spark's settings decide.
+    The id is the line's number (:func:`numbered_lines`). ``min_partitions``
+    deals the points into so many partitions; without it Spark's settings decide.
     """
-    points = parse_points(spark.read.text(path), "value")
+    points = parse_points(numbered_lines(spark, path, "id"), "value", id_col="id")
     return points.repartition(min_partitions, "id") if min_partitions else points

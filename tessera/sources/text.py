@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_lines
@@ -14,6 +14,8 @@ from tessera.functions.text import split_lines
 NUMBER_SEPARATOR = r"[\t-\r\x1C-\x1F\p{Z}&&[^\u00A0\u2007\u202F]]+"
 #: Equal lines numbered in one task.
 _TIES = 4096
+#: Bytes that a split takes in the broadcast table of line numbers, and the most that is broadcast.
+_SPLIT_BYTES, _MAX_BROADCAST_BYTES = 64, 256 << 20
 
 
 def with_line_ids(df: DataFrame, text_col: str, out: str) -> DataFrame:
@@ -35,6 +37,40 @@ def with_line_ids(df: DataFrame, text_col: str, out: str) -> DataFrame:
     return few.unionAll(many).select(F.xxhash64(text_col, "tie").alias(out), text_col)
 
 
+def numbered_lines(spark: SparkSession, path: str, out: str = "line_no") -> DataFrame:
+    """The lines of a text file or folder with their numbers from 0 on: ``out BIGINT, value STRING``.
+
+    Files count in the order of their paths. The number depends on the files
+    alone, however Spark splits them, and no text is shuffled: the splits' line
+    counts are summed up in file order (one row a split), and a line's number
+    is the sum before its split plus its place in it. The files are read twice,
+    once to count. The sums are broadcast while the splits, estimated from the
+    files' sizes, stay under a bound; beyond it they are joined in a shuffle.
+    """
+    text = spark.read.text(path)
+    # A split's lines come one after the other in one task, so their ids there differ by their places.
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    text = text.select("value", *where, F.monotonically_increasing_id().alias("at"))
+    # Hash and start name a split in 16 bytes.
+    split = [F.xxhash64("file", "start").alias("split"), F.col("start")]
+    counts = text.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.select(*split, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rows = text.select("value", *split, "at")
+    splits = len(text.inputFiles()) + _bytes(text) // _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
+    sums = F.broadcast(sums) if splits * _SPLIT_BYTES <= _MAX_BROADCAST_BYTES else sums.hint("merge")
+    return rows.join(sums, ["split", "start"]).select((F.col("before") + F.col("at") - F.col("first")).alias(out), "value")
+
+
+def _bytes(df: DataFrame) -> int:
+    """The size of the files behind a table, by Catalyst's estimate."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _conf_bytes(spark: SparkSession, name: str) -> int:
+    return max(1, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))))
+
+
 def _number(token):
     """The token as a double; a malformed token fails the query in any SQL
     mode (ANSI casting already fails; without ANSI the cast gives NULL)."""
@@ -63,11 +99,11 @@ def read_numbers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """A line-per-document text file as ``doc_id BIGINT, text STRING``.
+    """A line-per-document text file or folder as ``doc_id BIGINT, text STRING``.
 
-    ``doc_id`` is the same however the file is split (see :func:`with_line_ids`).
+    ``doc_id`` is the line's number, the same however the file is split (see :func:`numbered_lines`).
     """
-    return with_line_ids(spark.read.text(path), "value", "doc_id").withColumnRenamed("value", "text")
+    return numbered_lines(spark, path, "doc_id").withColumnRenamed("value", "text")
 
 
 def lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:

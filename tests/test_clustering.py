@@ -1,5 +1,8 @@
+import hashlib
 import math
+import time
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from tessera import (
     lloyd_step,
     seed_centers,
 )
+from tessera.functions import kernels
 from tessera.functions.hashing import col, uniform_sql
 from tests.conftest import SF_SMALL
 
@@ -329,8 +333,8 @@ def test_many_parts_shuffle_a_row_each(spark, monkeypatch):
     points = spark.range(20000).select("id", F.array((F.col("id") % 97).cast("float"), F.rand(3).cast("float")).alias("v"))
     partial = []
 
-    def counted(df, model):
-        partial.append(kernels.cluster_sums(df, model))
+    def counted(df, model, **more):
+        partial.append(kernels.cluster_sums(df, model, **more))
         return partial[-1]
 
     monkeypatch.setattr(C, "cluster_sums", counted)
@@ -364,3 +368,120 @@ def test_mr_reports_round_times(spark):
     t = {}
     kmedian_mr(pts(spark), 2, 2, 1, seed=3, timings=t)
     assert set(t) == {"round1", "round2", "round3"} and all(v >= 0 for v in t.values())
+
+
+def _clustered_points(spark, n, groups, dim=4, seed=1, partitions=None):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(groups, dim)) * 10
+    rows = [(int(i), [float(x) for x in centers[rng.integers(groups)] + rng.normal(size=dim)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id BIGINT, v ARRAY<DOUBLE>")
+    return (df.repartition(partitions, "id") if partitions else df), rows
+
+
+def _plain_race(rows, k, seed, weights=None):
+    """k-means++ round by round over all points, as defined."""
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows])
+    w = np.ones(len(rows)) if weights is None else np.asarray(weights, float)
+
+    def u(rnd):
+        draws = [int(hashlib.md5(f"{seed}:{rnd}:{i}".encode()).hexdigest()[:13], 16) for i in ids]
+        return (np.array(draws) + 1.0) / float(2**52 + 1)
+
+    chosen = [int(np.lexsort((ids, u(0)))[0])]
+    for rnd in range(1, min(k, len(rows))):
+        d = kernels.distances(x, x[chosen]).min(axis=1)
+        key = np.full(len(rows), np.inf)
+        np.divide(-np.log(u(rnd)), w * d, out=key, where=w * d > 0)
+        key[chosen] = np.nan
+        order = np.lexsort((ids, key))
+        chosen.append(int(next(i for i in order if i not in chosen)))
+    return ids[chosen].tolist()
+
+
+@pytest.mark.parametrize("n, groups, k", [(600, 60, 40), (300, 3, 30), (50, 50, 60), (400, 400, 200)])
+def test_scans_of_many_rounds_pick_what_single_rounds_do(spark, n, groups, k):
+    df, rows = _clustered_points(spark, n, groups, seed=n)
+    if k <= n:
+        s = seed_centers(df, k, seed=5).orderBy("label").collect()
+        assert [r.id for r in s] == _plain_race(rows, k, 5)
+    got = seed_centers(df.withColumn("part", F.lit(0)), k, seed=6).orderBy("label").collect()
+    assert [r.id for r in got] == _plain_race(rows, k, 6)
+
+
+def test_scans_with_weights_zeros_and_repeated_points(spark):
+    rows = [(i, [float(i % 7), 0.0]) for i in range(60)]
+    weights = [0.0 if i % 3 == 0 else float(i % 5 + 1) for i in range(60)]
+    df = spark.createDataFrame([(i, v, w) for (i, v), w in zip(rows, weights)], "id BIGINT, v ARRAY<DOUBLE>, w DOUBLE")
+    s = seed_centers(df, 45, seed=2, weight_col="w").orderBy("label").collect()
+    assert [r.id for r in s] == _plain_race(rows, 45, 2, weights)
+
+
+def test_seeding_measures_about_k_distances_a_point(spark):
+    df, _ = _clustered_points(spark, 4000, 400, seed=3, partitions=5)
+    taken = {}
+    for k in (10, 100, 300):
+        scans: list = []
+        began = time.perf_counter()
+        seed_centers(df, k, seed=1, scans=scans)
+        taken[k] = (time.perf_counter() - began) / k
+        # Rounds that a scan could not settle cost another one; the whole stays linear in k.
+        assert sum(n for n, _ in scans) <= 4 * k and len(scans) <= 4 * math.log2(k), (k, scans)
+        assert sum(done for _, done in scans) == k - 1
+    assert taken[100] <= 3 * taken[10]
+
+
+def test_bit_equal_however_the_points_are_dealt_out(spark):
+    df, _ = _clustered_points(spark, 3000, 9, dim=5, seed=8)
+    df = df.withColumn("w", F.lit(0.1) + F.col("id") % 7 / 3)
+    seen = {"kmedian": set(), "mr": set(), "cost": set(), "weights": set()}
+    for parts in (1, 4, 13):
+        pts = df.repartition(parts, "id")
+        got = kmedian(pts, 6, 9, seed=3, weight_col="w")
+        centers = sorted((r.label, *r.center) for r in got.collect())
+        seen["kmedian"].add(tuple(centers))
+        seen["cost"].add(kmedian_cost(pts, got, weight_col="w").first().cost)
+        seen["weights"].add(tuple(sorted((r.label, r.weight) for r in cluster_weights(pts, got, weight_col="w").collect())))
+        seen["mr"].add(tuple(sorted((r.label, *r.center, r.cost) for r in kmedian_mr(pts, 4, 3, 4, seed=3).collect())))
+    assert {k: len(v) for k, v in seen.items()} == dict.fromkeys(seen, 1)
+
+
+def test_exact_sums():
+    rng = np.random.default_rng(2)
+    terms = rng.normal(size=(500, 3)) * 10.0 ** rng.integers(-30, 30, size=(500, 3))
+    terms[0], terms[1] = 5e-324, -1e300
+    terms[2] = 1e300
+    labels = rng.integers(0, 4, 500)
+    out = set()
+    for order in (np.arange(500), rng.permutation(500), np.arange(500)[::-1]):
+        one, parts = kernels._Exact(), []
+        for rows in np.array_split(order, 7):
+            e = kernels._Exact()
+            e.add(0, labels[rows], terms[rows])
+            parts.append(e)
+        for e in parts:
+            for key, n in e.counts.items():
+                one.counts[key] = one.counts.get(key, 0) + n
+            for key, total in e.limbs.items():
+                one.put(*key, total)
+        got = {r["label"]: (r["cnt"], r["sw"], r["sd"], *r["sx"]) for r in one.totals(3).to_pylist()}
+        out.add(tuple(sorted(got.items())))
+        for label, (n, *sums) in got.items():
+            assert n == (labels == label).sum()
+            for c, s in enumerate(sums):
+                assert s == pytest.approx(math.fsum(terms[labels == label, c]), rel=1e-15, abs=1e-320)
+    assert len(out) == 1
+
+
+def test_coreset_in_waves_and_many_parts(spark):
+    df, rows = _clustered_points(spark, 1500, 5, dim=3, seed=4)
+    whole = sorted((r.part, r.label, *r.center, r.w) for r in coreset(df, 3, 12, 2, seed=1).collect())
+    spark.conf.set("tessera.waveBytes", "200")  # two parts a wave
+    try:
+        waves = sorted((r.part, r.label, *r.center, r.w) for r in coreset(df, 3, 12, 2, seed=1).collect())
+    finally:
+        spark.conf.unset("tessera.waveBytes")
+    assert waves == whole and sum(r[-1] for r in waves) == 1500
+    # Far more parts than points: most parts are empty, the others hold a point or two.
+    many = coreset(df, 2, 100_000, 1, seed=1).collect()
+    assert sum(r.w for r in many) == 1500 and len({r.part for r in many}) > 1400

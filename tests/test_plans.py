@@ -37,10 +37,10 @@ def test_numbers_one_scan_no_join(spark):
 def inner_frames(spark, monkeypatch, name) -> list[str]:
     """Plans of the distance steps inside an operator that runs its jobs while it is built."""
     seen = []
-    for step in ("race_winners", "cluster_sums", "nearest_rows"):
+    for step in ("race", "cluster_sums", "nearest_rows"):
 
-        def wrapped(*args, _step=getattr(kernels, step)):
-            seen.append(plan(out := _step(*args)))
+        def wrapped(*args, _step=getattr(kernels, step), **more):
+            seen.append(plan(out := _step(*args, **more)))
             return out
 
         monkeypatch.setattr(C, step, wrapped)
@@ -74,6 +74,12 @@ def test_partitioned_word_count_has_its_own_plan(spark):
     assert "RoundRobin" not in plan(word_count(docs))
 
 
+def test_report_reads_and_tokenizes_once(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    p = plan(word_count_report(docs, parts=3))
+    assert p.count("Scan parquet") == 1 and p.count("RoundRobinPartitioning(3)") == 1 and p.count("Generate explode") <= 2
+
+
 def test_building_word_counts_starts_no_job(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").groupBy("doc_id").agg({"text": "max"})
     docs = docs.withColumnRenamed("max(text)", "text")
