@@ -116,24 +116,25 @@ def word_count_report(
 ) -> DataFrame:
     """``strategy, distinct_words, avg_length``: one row per strategy.
 
-    The documents are dealt out (into ``parts``, if given), read and cut into
-    words once for all strategies. They differ in the key that the first round
-    combines by next to the word: none, a salt, or the partition; the second
-    round sums by word. Lengths count in ``units``, as in
+    The documents are dealt out (into ``parts``, if given), read, cut into
+    words and combined within each task once for all strategies. The combined
+    counts then go three ways to the sums by word: straight, through a salt,
+    and through the partition. Lengths count in ``units``, as in
     :func:`avg_distinct_word_length`.
     """
     words = _words(docs, text_col, id_col, parts)
-    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("line_no"), F.col("word")), F.lit(salts))
-    keys = dict(zip(STRATEGIES, (F.lit(-1), salt.cast("int"), F.spark_partition_id()), strict=True))
-    keyed = words.select("word", F.inline(F.array(*(F.struct(F.lit(s).alias("strategy"), k.alias("key")) for s, k in keys.items()))))
-    first = keyed.groupBy("strategy", "key", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = first.groupBy("strategy", "word").agg(F.sum("n").alias("n"))
-    measured = counts.groupBy("strategy").agg(
+    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("line_no"), F.col("word")), F.lit(salts)).cast("int")
+    combined = words.select("word", salt.alias("salt"), F.spark_partition_id().alias("task"))
+    combined = combined.groupBy("word", "salt", "task").agg(F.count(F.lit(1)).alias("n"))
+    ways = [F.struct(F.lit(i).alias("way"), k.alias("key")) for i, k in enumerate((F.lit(-1), F.col("salt"), F.col("task")))]
+    keyed = combined.select("word", "n", F.inline(F.array(*ways)))
+    counts = keyed.groupBy("way", "key", "word").agg(F.sum("n").alias("n")).groupBy("way", "word").agg(F.sum("n").alias("n"))
+    measured = counts.groupBy("way").agg(
         F.count(F.lit(1)).alias("distinct_words"), F.avg(char_length(F.col("word"), units).cast("double")).alias("avg_length")
     )
     # A strategy that saw no word has its row, too.
     names = docs.sparkSession.range(len(STRATEGIES), numPartitions=1).select(
-        F.get(F.array(*map(F.lit, STRATEGIES)), F.col("id").cast("int")).alias("strategy")
+        F.col("id").cast("int").alias("way"), F.get(F.array(*map(F.lit, STRATEGIES)), F.col("id").cast("int")).alias("strategy")
     )
-    out = names.join(F.broadcast(measured), "strategy", "left")  # at most one row a strategy
+    out = names.join(F.broadcast(measured), "way", "left")  # at most one row a strategy
     return out.select("strategy", F.coalesce("distinct_words", F.lit(0)).alias("distinct_words"), "avg_length")
