@@ -3,14 +3,13 @@
 Documents that share lines are paired through the lines' hashes, aligned with
 patience diff, and common blocks are deleted from the later document.
 
-Each holder of a line is paired with the first document that holds it, and the
-holders of a rare line with one another if ``rare_pairs`` is set, as it is in
-the query. A whole copy of an earlier document's lines is
-paired with the first such document alone, which has all that it could lose. So
-a group of copies is linear in its size and no
-line is too frequent to be followed. Rarity only tells short boilerplate: a block goes if
-it holds a rare line, or if it is more than a lone short line that many
-documents have.
+Documents meet in a line or in two lines in a row: each holder is paired with
+the first document that has it, and the holders of a rare one with one another.
+A whole copy of an earlier document's lines is paired with the first such
+document alone, which has all that it could lose. So a group of copies is
+linear in its size and no line is too frequent to be followed. Rarity also
+tells short boilerplate: a block goes if it holds a rare line, or if it is more
+than a lone short line that many documents have.
 """
 
 from __future__ import annotations
@@ -25,14 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_bytes, materialize, ship_by_value
+from tessera.llm.common import as_bytes, materialize, row_key, ship_by_value
 
 #: A line in at most so many documents is rare.
 RARE_DOCS = 16
 #: A shorter block stays, unless it is all of a document.
 LEAST_WORDS = 8
 #: A lone line of so many words is a passage, in however many documents it stands.
-PASSAGE_WORDS = 4 * LEAST_WORDS
+PASSAGE_WORDS = 2 * LEAST_WORDS
 
 
 def patience_matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -104,7 +103,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     number among all ``n_lines`` lines.
     """
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int32()), ("n_lines", pa.int64()), ("at", longs), ("hashes", longs), ("n_words", longs)])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_lines", pa.int64()), ("at", longs), ("hashes", longs), ("n_words", longs)])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -120,8 +119,8 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], schema=schema)
 
     text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.hash(text).alias("row_key"), as_bytes(text).alias("text")).mapInArrow(
-        read, "doc_id long, row_key int, n_lines long, at array<long>, hashes array<long>, n_words array<long>"
+    return docs.select(F.col(id_col).alias("doc_id"), row_key(text).alias("row_key"), as_bytes(text).alias("text")).mapInArrow(
+        read, "doc_id long, row_key long, n_lines long, at array<long>, hashes array<long>, n_words array<long>"
     )
 
 
@@ -132,7 +131,6 @@ def deletions(
     id_col: str = "doc_id",
     text_col: str = "text",
     passage_words: int = PASSAGE_WORDS,
-    rare_pairs: bool = False,
 ) -> DataFrame:
     """The documents that lose lines: ``doc_id, row_key, n_lines, n_deleted, keep`` (one boolean a line).
 
@@ -140,10 +138,10 @@ def deletions(
     latest. A block common with an earlier document is deleted if it has
     ``least_words`` words and either a line that at most ``rare_docs``
     documents hold, a second line or ``passage_words`` words, or if it is the
-    whole later document. A document is aligned with the first
-    holders of its lines, a copy of all lines of a document with the first
-    copy and, with ``rare_pairs``, a document with all earlier ones that share
-    a rare line. The first holder of a line always keeps it. NULL, empty and blank texts have
+    whole later document. A document is aligned with the first holders of its
+    lines and of every two in a row, with all earlier ones that share a rare one
+    of these, and a copy of all lines of a document with the first copy alone.
+    The first holder of a line always keeps it. NULL, empty and blank texts have
     no lines to lose; repeated rows (same doc_id and text) count as one
     document; an empty table gives an empty result.
     """
@@ -156,22 +154,24 @@ def deletions(
     named = table.select("doc_id", "row_key", *(d.alias(f"d{k}") for k, d in enumerate(order)))
     same = named.groupBy("d0", "d1").agg(F.min(key).alias("first"), F.count("*").alias("docs")).where("docs > 1").drop("docs")
     copies = materialize(named.join(same.hint("merge"), ["d0", "d1"]).where(F.col("first") != key).select("doc_id", "row_key", "first"))
-    held = table.select("doc_id", "row_key", F.explode(F.array_distinct("hashes")).alias("line"))
+    # Lines, and two lines in a row.
+    twos = F.when(F.size("hashes") > 1, F.expr("transform(sequence(1, size(hashes) - 1), i -> xxhash64(hashes[i - 1], hashes[i]))"))
+    shared = F.explode(F.array_distinct(F.concat("hashes", F.coalesce(twos, F.array().cast("array<bigint>"))))).alias("line")
+    held = table.select("doc_id", "row_key", shared)
     lines = materialize(held.groupBy("line").agg(F.min(key).alias("first"), F.count("*").alias("docs")).where("docs > 1"))
     # The copies count for how rare a line is, but need no further partner and are none: the first one has the same lines.
     gone = copies.select(F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key")).hint("merge")
     single = table.join(gone, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key")), "left_anti")
-    held = single.select("doc_id", "row_key", F.explode(F.array_distinct("hashes")).alias("line"))
+    held = single.select("doc_id", "row_key", shared)
     pairs = held.join(lines.hint("merge"), "line").where(F.col("first") != key)
     pairs = pairs.select("doc_id", "row_key", "first", F.when(F.col("docs") <= rare_docs, F.col("line")).alias("rare"))
     pairs = pairs.unionAll(copies.select("doc_id", "row_key", "first", F.lit(None).cast("long")))
-    if rare_pairs:
-        # At most rare_docs holders each, so their pairs are linear in the number of lines.
-        rare = held.join(lines.where(F.col("docs").between(3, rare_docs)).select("line").hint("merge"), "line")
-        rare = rare.groupBy("line").agg(F.array_sort(F.collect_list(key)).alias("holders"))
-        rare = rare.select("line", "holders", F.posexplode("holders").alias("i", "of")).where("i >= 2")
-        rare = rare.select("line", "of", F.explode(F.slice("holders", F.lit(2), F.col("i") - 1)).alias("first"))
-        pairs = pairs.unionAll(rare.select("of.doc_id", "of.row_key", "first", "line"))
+    # At most rare_docs holders each, so their pairs are linear in the number of lines.
+    rare = held.join(lines.where(F.col("docs").between(3, rare_docs)).select("line").hint("merge"), "line")
+    rare = rare.groupBy("line").agg(F.array_sort(F.collect_list(key)).alias("holders"))
+    rare = rare.select("line", "holders", F.posexplode("holders").alias("i", "of")).where("i >= 2")
+    rare = rare.select("line", "of", F.explode(F.slice("holders", F.lit(2), F.col("i") - 1)).alias("first"))
+    pairs = pairs.unionAll(rare.select("of.doc_id", "of.row_key", "first", "line"))
     pairs = pairs.select("doc_id", "row_key", F.col("first.doc_id").alias("h_id"), F.col("first.row_key").alias("h_key"), "rare")
     pairs = materialize(pairs.groupBy("doc_id", "row_key", "h_id", "h_key").agg(F.collect_list("rare").alias("rare")))
     earlier = table.select(F.col("doc_id").alias("e_id"), F.col("row_key").alias("e_key"), F.col("hashes").alias("earlier"))
@@ -179,7 +179,7 @@ def deletions(
     # Tables on both sides of either join, so that a frequent holder's pairs can be split over tasks.
     both = pairs.join(earlier.hint("merge"), F.col("h_id").eqNullSafe(F.col("e_id")) & (F.col("h_key") == F.col("e_key")))
     both = both.join(later.hint("merge"), F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("row_key") == F.col("l_key")))
-    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int32()), ("n_lines", pa.int64()), ("lost", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_lines", pa.int64()), ("lost", pa.list_(pa.int64()))])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -197,7 +197,7 @@ def deletions(
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     both = both.select("doc_id", "row_key", "n_lines", "at", "hashes", "n_words", "earlier", "rare")
-    lost = both.mapInArrow(align, "doc_id long, row_key int, n_lines long, lost array<long>")
+    lost = both.mapInArrow(align, "doc_id long, row_key long, n_lines long, lost array<long>")
     merged = lost.groupBy("doc_id", "row_key", "n_lines").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lost")))).alias("lost"))
 
     def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,26 +211,26 @@ def deletions(
             arrays = [*(b.column(c) for c in ("doc_id", "row_key", "n_lines")), pa.array(count, pa.int64()), pa.array(keep, pa.list_(pa.bool_()))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "n_lines", "n_deleted", "keep"])
 
-    return merged.mapInArrow(masks, "doc_id long, row_key int, n_lines long, n_deleted long, keep array<boolean>")
+    return merged.mapInArrow(masks, "doc_id long, row_key long, n_lines long, n_deleted long, keep array<boolean>")
 
 
-def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS, rare_pairs: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS) -> DataFrame:
     """All rows as a struct ``row``, with ``n_deleted`` and the ``text`` that is left (see :func:`deletions`)."""
-    found = materialize(deletions(docs, rare_docs, least_words, rare_pairs=rare_pairs))
+    found = materialize(deletions(docs, rare_docs, least_words))
     found = found.select(F.col("doc_id").alias("x_id"), F.col("row_key").alias("x_key"), "n_deleted", "keep")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.hash("text").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"))
     # One plan at every size: a small table of findings would be broadcast, a large one not.
     both = rows.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("x_id")) & (F.col("key") == F.col("x_key")), "left")
     left = F.array_join(F.filter(F.split(F.col("row.text"), "\n", -1), lambda line, i: F.get(F.col("keep"), i)), "\n")
     return both.select("row", F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"), F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(left).alias("text"))
 
 
-def drop_repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS, rare_pairs: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents with the text that is left and ``n_chars`` (if there) to fit; all columns stay.
 
     Documents that lost lines and have no word left go; those without a word from the start stay.
     """
-    left = dedup_lines(docs, rare_docs, least_words, rare_pairs).where(r"n_deleted = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    left = dedup_lines(docs, rare_docs, least_words).where(r"n_deleted = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_bytes, materialize, ship_by_value
+from tessera.llm.common import as_bytes, materialize, row_key, ship_by_value
 
 #: One in so many words ends a chunk, and the words of repeated chunks in a row that make a passage.
 WORDS_PER_CHUNK, LEAST_WORDS = 4, 16
@@ -65,7 +65,7 @@ def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK, id_col: str
     There is a digest for every two chunks in a row, or one for a lone chunk.
     """
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("row_key", pa.int32()), ("starts", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("digests", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("row_key", pa.int64()), ("starts", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("digests", pa.list_(pa.int64()))]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,8 +82,8 @@ def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK, id_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, counts, digests))], schema=schema)
 
     text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.hash(text).alias("row_key"), as_bytes(text).alias("text")).mapInArrow(
-        cut, "doc_id long, row_key int, starts array<long>, n_words array<long>, digests array<long>"
+    return docs.select(F.col(id_col).alias("doc_id"), row_key(text).alias("row_key"), as_bytes(text).alias("text")).mapInArrow(
+        cut, "doc_id long, row_key long, starts array<long>, n_words array<long>, digests array<long>"
     )
 
 
@@ -101,8 +101,8 @@ def repeats(
     document or another), of ``least_words`` words together. The first
     occurrence, by doc_id, text hash and place, stays; ``removed_words`` counts
     the words of passages whose chunks all stand somewhere before. ``firsts``
-    lists the other documents that hold the first occurrence of
-    ``least_words`` or more of those words (their doc_ids, sorted), ``spans``
+    lists the other documents that hold the first occurrence of a chunk of
+    those passages (their doc_ids, sorted), ``spans``
     the repeated passages and ``removed`` those to cut, as ``(start, end)``
     byte positions (end -1: the end of the text).
 
@@ -134,7 +134,7 @@ def repeats(
     both = both.select("doc_id", "row_key", "starts", "n_words", "marks")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("row_key", pa.int32()), ("n_chunks", pa.int64()), ("repeated_words", pa.int64()), ("removed_words", pa.int64()),
+        [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_chunks", pa.int64()), ("repeated_words", pa.int64()), ("removed_words", pa.int64()),
          ("firsts", pa.list_(pa.int64())), ("spans", span), ("removed", span)]
     )
 
@@ -151,19 +151,16 @@ def repeats(
             return None
         later = _runs([m["i"] for m in marks if m["later"]], words, least_words)
         inside = {i for a, z in later for i in range(a, z)}
-        shared: dict[int, int] = {}
-        for m in marks:
-            if m["i"] in inside and m["of"] is not None and (m["of"], m["of_key"]) != (row["doc_id"], row["row_key"]):
-                shared[m["of"]] = shared.get(m["of"], 0) + words[m["i"]]
+        firsts = {m["of"] for m in marks if m["later"] and m["i"] in inside and m["of"] is not None and (m["of"], m["of_key"]) != (row["doc_id"], row["row_key"])}
         return {
-            "doc_id": row["doc_id"], "row_key": row["row_key"], "n_chunks": len(words), "firsts": sorted(d for d, n in shared.items() if n >= least_words),
+            "doc_id": row["doc_id"], "row_key": row["row_key"], "n_chunks": len(words), "firsts": sorted(firsts),
             "repeated_words": sum(sum(words[a:z]) for a, z in spans), "removed_words": sum(sum(words[a:z]) for a, z in later),
             "spans": [{"start": starts[a], "end": starts[z]} for a, z in spans], "removed": [{"start": starts[a], "end": starts[z]} for a, z in later],
         }
 
     return both.mapInArrow(
         runs,
-        "doc_id long, row_key int, n_chunks long, repeated_words long, removed_words long, firsts array<long>,"
+        "doc_id long, row_key long, n_chunks long, repeated_words long, removed_words long, firsts array<long>,"
         " spans array<struct<start: long, end: long>>, removed array<struct<start: long, end: long>>",
     )
 
@@ -190,7 +187,7 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, words_per_chunk
     """
     found = materialize(repeats(docs, least_words, words_per_chunk).where("size(removed) > 0"))
     found = found.select(F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key"), "removed")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.hash("text").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"))
     joined = rows.join(found, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")), "left")
 
     @F.arrow_udf("string")
