@@ -101,21 +101,10 @@ class Filter:
         return out
 
 
-def build_shard(hashes: np.ndarray, counts: np.ndarray, max_bits: float = math.inf) -> tuple[int, bytes]:
-    """A shard's filter: its size in bits and the bits.
-
-    All n-grams are in it, which is how :func:`fit` calls it. With a bound
-    ``max_bits``, those under the least count that fits are left out, as in
-    any count-pruned model.
-    """
+def build_shard(hashes: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
+    """A shard's filter of all its n-grams: its size in bits and the bits."""
     q = level(counts)
-    entries = np.bincount(q, minlength=2)
-    least, total = 1, int(q.sum())
-    while total * BITS > max_bits:
-        total -= least * int(entries[least])
-        least += 1
-    hashes, q = hashes[q >= least], q[q >= least]
-    size = max(64, total * BITS)
+    size = max(64, int(q.sum()) * BITS)
     bits = np.zeros((size + 7) // 8 * 8, bool)
     for k in range(1, int(q.max(initial=0)) + 1):
         for place in Filter.places(hashes[q >= k], k, np.uint64(size)):
@@ -133,6 +122,15 @@ class Model(NamedTuple):
     distinct: int
     prior: float
 
+    def plain(self) -> tuple:
+        """The model as arrays, bytes and numbers: what a broadcast may hold, as workers need no install of this class."""
+        f = self.filter
+        return (None if f is None else (f.sizes, f.packed, f.first, 1 << (64 - int(f.shift))), *self[1:])
+
+    @classmethod
+    def of(cls, plain: tuple) -> Model:
+        return cls(None if plain[0] is None else Filter(*plain[0]), *plain[1:])
+
     def known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact counts of the head's words (0 for others), and which words are in the head."""
         if not len(self.head):
@@ -226,13 +224,15 @@ def fit(texts: DataFrame, head_words: int = HEAD_WORDS, prior: float = PRIOR) ->
             words = np.concatenate(held)
             before = np.concatenate(([np.uint64(END)], words[:-1]))  # a text's first word follows the end of another
             columns = []
+            some = np.zeros(shards, bool)
             for h in (words, pair_hashes(before, words)):
                 values, counts = _counted(h)
                 edges = np.searchsorted(values >> shift, np.arange(shards + 1))
-                columns += [[x[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)] for x in (values, counts)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(range(shards), pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["shard", "w", "wn", "p", "pn"]
-            )
+                some |= edges[1:] > edges[:-1]
+                columns += [(x, edges) for x in (values, counts)]
+            some = np.flatnonzero(some).tolist()  # a shard that has nothing has no row
+            cut = [pa.array([x[e[k] : e[k + 1]].tobytes() for k in some], pa.binary()) for x, e in columns]
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *cut], ["shard", "w", "wn", "p", "pn"])
 
         held, tokens = [], 0
         for b in batches:
@@ -320,7 +320,7 @@ def score(
     whole = len(blocks) == 1
     if not whole:
         rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    shared = spark.sparkContext.broadcast(trained.load(*blocks[0]) if whole else model)
+    shared = spark.sparkContext.broadcast((trained.load(*blocks[0]) if whole else model).plain())
     floor = np.log10(model.tokens + model.distinct + 1)
     longs = pa.list_(pa.int64())
     schema = pa.schema(
@@ -329,7 +329,7 @@ def score(
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model.of(shared.value)
 
         def flush(b: pa.RecordBatch, hashes: list[np.ndarray]) -> pa.RecordBatch:
             words = np.concatenate(hashes)
@@ -392,10 +392,10 @@ def _add_up(rows: DataFrame, judged: DataFrame, trained: Trained, blocks: list[t
     schema = pa.schema([("row", pa.int64()), ("at", pa.binary()), ("levels", pa.binary())])
     parts = None
     for block in blocks:
-        shared = spark.sparkContext.broadcast(trained.load(*block))
+        shared = spark.sparkContext.broadcast(trained.load(*block).plain())
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            m = shared.value
+            m = Model.of(shared.value)
 
             def flush(b: pa.RecordBatch, hashes: list[np.ndarray]) -> pa.RecordBatch:
                 words = np.concatenate(hashes)
