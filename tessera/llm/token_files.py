@@ -52,7 +52,7 @@ _HEAD, _FOOT = "<8sQ", "<QQ8s"
 #: Documents that the dictionary is trained on and bytes of ids taken in all, its size, and the compression level.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 2000, 16 << 20, 112_640, 3
 #: Bytes of frames in a file, and parts of texts whose ids a worker remembers (at most twice so many).
-FILE_BYTES, REMEMBERED = 64 << 20, 1 << 19
+FILE_BYTES, REMEMBERED = 64 << 20, 1 << 18
 
 #: Latin letters. Runs of them, with an apostrophe inside or not, and what stands between the runs, are
 #: cut apart by a byte-level tokenizer in any case, and so is a text before a space.
@@ -116,16 +116,23 @@ class Encoder:
         self.tokenizer, self.rules = Tokenizer.from_buffer(tokenizer), rules
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
         self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
-        self.parts, self.units = _Remembered(self._part, remembered), _Remembered(self._whole, remembered // 16)
+        self.parts, self.units = _Remembered(self._part, remembered), _Remembered(self._unit, remembered // 16)
         self.marks = {m: self._whole(m) for m in ".,;:!?"}
 
     def _whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """The ids of a word after a space: one pre-token, which goes to the model itself."""
+    def _word(self, word: str, before: str = "\u0120") -> bytes:
+        """The ids of a word after a space (or what ``before`` stands for): one pre-token, which goes to the model itself."""
         spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return array.array("I", [t.id for t in self.tokenize("\u0120" + spelled)]).tobytes()
+        return array.array("I", [t.id for t in self.tokenize(before + spelled)]).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        if unit.isalpha():
+            return self._word(unit, "")
+        if unit[0] == " " and unit[1:].isalpha():
+            return self.parts[unit[1:]]
+        return self._whole(unit)
 
     def _part(self, part: str) -> bytes:
         """The ids of a space and what follows it up to the next."""
