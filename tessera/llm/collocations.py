@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import as_bytes, materialize, ship_by_value
 
-#: Tokens that a task counts at a time, bytes of text that it hashes at a time, and bytes of text per hash partition.
-COUNT_TOKENS, HASH_BYTES, PARTITION_BYTES = 1 << 20, 1 << 21, 1 << 22
+#: Tokens that a task counts at a time in the first and the second pass, bytes of text that it hashes at a time, and bytes of text per hash partition.
+COUNT_TOKENS, PHRASE_TOKENS, HASH_BYTES, PARTITION_BYTES = 1 << 20, 1 << 18, 1 << 20, 1 << 22
 #: Bits per surviving n-gram and probes of the filter, and the most bytes that are broadcast.
 FILTER_BITS, PROBES, FILTER_BYTES = 10, 4, 32 << 20
 #: Groups that the first step of the top-k report splits a language into.
@@ -373,7 +373,7 @@ def ngram_counts(
                     held[n].append((at, h, other, number[at], np.full(len(at), len(stretches), np.int32)))
                 stretches.append(words)
                 tokens += len(words.start)
-                if tokens >= COUNT_TOKENS:
+                if tokens >= PHRASE_TOKENS:
                     yield from flush()
                     held, stretches, totals, tokens = [[] for _ in range(most_words)], [], {}, 0
         if stretches:

@@ -64,7 +64,7 @@ def test_awkward_rows_and_small_steps(spark, awkward, awkward_rows, monkeypatch,
     rows = [(r[1], r[2]) for r in awkward_rows] + many
     extra = spark.createDataFrame(many, "text string, lang string")
     docs = awkward.unionByName(extra, allowMissingColumns=True)
-    for name, value in (("HASH_BYTES", 512), ("COUNT_TOKENS", 64), ("PARTITION_BYTES", 4096)):
+    for name, value in (("HASH_BYTES", 512), ("COUNT_TOKENS", 64), ("PHRASE_TOKENS", 64), ("PARTITION_BYTES", 4096)):
         monkeypatch.setattr(C, name, value)
     expected = brute(rows, most, 5)
     assert rows_of(C.collocations(docs, most, 5)) == expected and len(expected) >= 5
