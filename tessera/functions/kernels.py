@@ -40,6 +40,9 @@ SUMS_SCHEMA = "part INT, label INT, cnt BIGINT, sw DOUBLE, sd DOUBLE, sx ARRAY<D
 #: Candidates of a round that are kept, by task and in all, and bits of a limb of an exact sum.
 CANDIDATES, LIMB_BITS = 32, 24
 
+#: Label of the row that counts distances, and a share that is well above what rounding changes in one.
+MEASURED, SLACK = -1, 1e-9
+
 
 def matrix(v: pa.ListArray, dim: int) -> np.ndarray:
     """A batch's vectors as an (n, dim) matrix of doubles; refuses ragged, NULL or non-finite coordinates."""
@@ -63,6 +66,15 @@ def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(acc)
 
 
+def own_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The distance of each row to the same row of ``c``, the doubles that :func:`distances` gives."""
+    acc = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        diff = x[:, j] - c[:, j]
+        acc += diff * diff
+    return np.sqrt(acc)
+
+
 def _width(model: Model) -> int:
     return next(iter(model.values())).shape[1] if model else 0
 
@@ -110,6 +122,39 @@ def nearest_rows(df: DataFrame, model: Model, labels: dict[int, np.ndarray]) ->
     return df.select("part", "id", "v").mapInArrow(run, NEAREST_SCHEMA)
 
 
+def with_bounds(df: DataFrame, model: Model) -> DataFrame:
+    """``part, id, v, w`` with ``label``, the row of the nearest center, and ``bound``, the distance to the next one.
+
+    ``bound`` is infinite where there is one center. Points of parts without centers are left out.
+    """
+    dim, vector = _width(model), df.schema["v"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts, x = b.column("part").to_numpy(), matrix(b.column("v"), dim)
+            label, bound = np.full(len(parts), -1, np.int32), np.full(len(parts), np.inf)
+            for p, rows in _by_part(parts):
+                if p in model:
+                    d = distances(x[rows], model[p])
+                    at = np.argmin(d, axis=1)
+                    d[np.arange(len(rows)), at] = np.inf
+                    label[rows], bound[rows] = at, d.min(axis=1)
+            arrays = [*(b.column(c) for c in ("part", "id", "v", "w")), pa.array(label), pa.array(bound)]
+            out = pa.RecordBatch.from_arrays(arrays, ["part", "id", "v", "w", "label", "bound"])
+            yield out.filter(pa.array(label >= 0))
+
+    return df.select("part", "id", "v", "w").mapInArrow(run, f"part INT, id BIGINT, v {vector}, w DOUBLE, label INT, bound DOUBLE")
+
+
+def others_moved(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """For each center how far any of the others has moved at most."""
+    step = own_distances(now, before)
+    far = int(np.argmax(step))
+    out = np.full(len(step), step[far])
+    out[far] = np.delete(step, far).max(initial=0.0)
+    return out
+
+
 class Race(NamedTuple):
     """The rounds of an exponential race that a part runs in one scan: ``first`` to ``end - 1``.
 
@@ -295,7 +340,9 @@ class _Exact:
         return pa.RecordBatch.from_arrays([*arrays, _lists([t[2:] for t in sums.values()])], ["part", "label", "cnt", "sw", "sd", "sx"])
 
 
-def cluster_sums(df: DataFrame, model: Model, by_label: bool = True, strict: bool = True) -> DataFrame:
+def cluster_sums(
+    df: DataFrame, model: Model, by_label: bool = True, strict: bool = True, moved: Model | None = None
+) -> DataFrame:
     """``part, v, w`` to ``part, label, cnt, sw, sd, sx``: the count, Σw, Σw·d and Σw·v of each nonempty cluster.
 
     ``label`` is the center's row in the model; ties go to the first. Without
@@ -303,10 +350,27 @@ def cluster_sums(df: DataFrame, model: Model, by_label: bool = True, strict: boo
     exact up to their last rounding, however the rows are dealt out. A task
     returns a few rows per (part, label) it has seen. Points of a part
     without centers are an error or, if not ``strict``, left out.
+
+    With ``moved`` the points come :func:`with_bounds`, and it has for each
+    center how far the others have moved since then (:func:`others_moved`). A
+    point whose own center is nearer than its bound less that distance keeps
+    its label, as no other center can be as near; one distance is measured
+    for it instead of k. A row of label ``MEASURED`` per part counts the
+    distances in ``cnt``.
     """
     dim = _width(model)
     width = dim + 2 if by_label else 2
 
+    def nearest(x: np.ndarray, p: int, label: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        c = model[p]
+        at, own = label.copy(), own_distances(x, c[label])
+        open_ = np.flatnonzero(~(own * (1 + SLACK) + moved[p][label] * (1 + SLACK) < bound * (1 - SLACK)))
+        if len(open_):
+            d = distances(x[open_], c)
+            at[open_] = np.argmin(d, axis=1)
+            own[open_] = d[np.arange(len(open_)), at[open_]]
+        return at, own, len(x) + len(open_) * len(c)
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Exact()
         for b in batches:
@@ -316,11 +380,16 @@ def cluster_sums(df: DataFrame, model: Model, by_label: bool = True, strict: boo
             for p, rows in _by_part(parts):
                 if not strict and p not in model:
                     continue
-                d = distances(x[rows], _centers(model, p))
-                at = np.argmin(d, axis=1)
+                if moved is None:
+                    d = distances(x[rows], _centers(model, p))
+                    at = np.argmin(d, axis=1)
+                    own = d[np.arange(len(rows)), at]
+                else:
+                    at, own, n = nearest(x[rows], p, b.column("label").to_numpy()[rows], b.column("bound").to_numpy()[rows])
+                    sums.counts[p, MEASURED] = sums.counts.get((p, MEASURED), 0) + n
                 wp = w[rows]
                 terms = np.empty((len(rows), width))
-                terms[:, 0], terms[:, 1] = wp, wp * d[np.arange(len(rows)), at]
+                terms[:, 0], terms[:, 1] = wp, wp * own
                 if by_label:
                     terms[:, 2:] = wp[:, None] * x[rows]
                 sums.add(p, at if by_label else np.zeros_like(at), terms)
@@ -340,5 +409,6 @@ def cluster_sums(df: DataFrame, model: Model, by_label: bool = True, strict: boo
         if sums.counts:
             yield sums.totals(width)
 
-    partial = df.select("part", "v", "w").mapInArrow(assign, LIMB_SCHEMA)
+    columns = ["part", "v", "w"] if moved is None else ["part", "v", "w", "label", "bound"]
+    partial = df.select(*columns).mapInArrow(assign, LIMB_SCHEMA)
     return partial.repartition("part", "label").mapInArrow(merge, SUMS_SCHEMA)

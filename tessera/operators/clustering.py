@@ -68,7 +68,17 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from tessera.functions.hashing import SqlText, bucket, col, uniform_sql
-from tessera.functions.kernels import CANDIDATES, Model, Race, cluster_sums, nearest_rows, race
+from tessera.functions.kernels import (
+    CANDIDATES,
+    MEASURED,
+    Model,
+    Race,
+    cluster_sums,
+    nearest_rows,
+    others_moved,
+    race,
+    with_bounds,
+)
 from tessera.session import ensure_checkpoint_dir
 
 # Fixed values.
@@ -77,6 +87,7 @@ DEFAULT_MAX_MODEL_BYTES = 2 * 1024 * 1024 * 1024  # all centers, on the driver
 DEFAULT_WAVE_BYTES = 64 * 1024 * 1024  # centers of the parts of a coreset that are worked on at a time
 STOP_TEST_EVERY = 8  # the objective is tested after iterations 0, 8, 16, ...
 LEAST_ROUNDS, MOST_ROUNDS = 4, 256  # seeding rounds that one scan tries, at first and at most
+BOUNDS_FROM, BOUNDS_PASSES = 32, 3  # centers of a part and passes to come from which on Lloyd keeps bounds
 
 _INF = float("inf")
 
@@ -307,13 +318,71 @@ class _PartState:
     cost: float | None = None
 
 
-def _pass(pts: DataFrame, model: Model, strict: bool) -> dict[int, dict[int, tuple]]:
-    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v."""
+def _pass(
+    pts: DataFrame, model: Model, strict: bool, moved: Model | None = None
+) -> tuple[dict[int, dict[int, tuple]], int]:
+    """One scan: for each (part, label) the count, sum w, sum w·d and sum w·v; and how many distances it measured."""
     out: dict[int, dict[int, tuple]] = {}
+    measured = 0
     for block, low, high in _blocks(pts.sparkSession, model):
-        for r in cluster_sums(_in_range(pts, low, high), block, strict=strict).collect():
+        mine = None if moved is None else {p: moved[p] for p in block}
+        for r in cluster_sums(_in_range(pts, low, high), block, strict=strict, moved=mine).collect():
+            if r.label == MEASURED:
+                measured += r.cnt
+                continue
             out.setdefault(r.part, {})[r.label] = (r.cnt, r.sw, r.sd, np.array(r.sx))
-    return out
+            measured += 0 if mine is not None else r.cnt * len(model[r.part])
+    return out, measured
+
+
+class _Bounds:
+    """Lloyd's scans with bounds on the distances, so that few points are measured against all centers.
+
+    The points are kept with their nearest center and the distance to the
+    next one, both at the centers of some pass (the anchor). A center is
+    later no nearer to a point than it was then, less the way it has gone
+    since. Where that leaves the point's own center the nearest, the scan
+    measures that distance alone. The result is the same bit by bit.
+
+    The rows with bounds always come from the points themselves by one narrow
+    step, never from older bounds, so no lineage grows. Once bounds save less
+    than half they are made anew from the centers of that pass; where this does not
+    help, twice as many passes go by without before the next attempt. They
+    take a second copy of the points in the cache, and making them costs a
+    point about as much as measuring some ten centers, hence ``BOUNDS_FROM``.
+    """
+
+    def __init__(self, pts: DataFrame):
+        self.pts, self.frame, self.model = pts, None, {}
+        self.at, self.pause, self.next = 0, 1, 1
+        self.kept = pts.sparkSession.conf.get("tessera.pointsStorageLevel", "MEMORY_AND_DISK").upper() != "NONE"
+
+    def scan(self, number: int, model: Model, left: int) -> tuple[dict[int, dict[int, tuple]], int]:
+        """Pass ``number`` (from 0) with ``left`` more to come at most."""
+        made = 0
+        large = self.kept and max(map(len, model.values())) >= BOUNDS_FROM
+        if self.frame is None and number >= self.next and large and left >= BOUNDS_PASSES:
+            frames = [with_bounds(_in_range(self.pts, low, high), b) for b, low, high in _blocks(self.pts.sparkSession, model)]
+            out = frames[0]
+            for f in frames[1:]:
+                out = out.unionAll(f)
+            self.frame, self.model, self.at, made = _persist_points(out), model, number, 1
+        if self.frame is None:
+            return _pass(self.pts, model, number == 0)
+        moved = {p: others_moved(self.model[p], c) for p, c in model.items()}
+        stats, measured = _pass(self.frame, model, False, moved)
+        full = sum(x[0] * len(model[p]) for p, st in stats.items() for x in st.values())
+        if not made and 2 * measured > full:
+            # At least the pass after the anchor must have gained.
+            self.pause = 2 * self.pause if number == self.at + 1 else 1
+            self.next = number + self.pause
+            self.close()
+        return stats, measured + made * full
+
+    def close(self) -> None:
+        if self.frame is not None:
+            self.frame.unpersist()
+            self.frame = None
 
 
 def _moved(center: np.ndarray, stats: tuple | None) -> np.ndarray:
@@ -321,7 +390,9 @@ def _moved(center: np.ndarray, stats: tuple | None) -> np.ndarray:
     return stats[3] / stats[1] if stats and stats[1] > 0 else center
 
 
-def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) -> dict[int, _PartState]:
+def _lloyd(
+    pts: DataFrame, centers: Model, iterations: int, final_pass: bool, measured: list | None = None
+) -> dict[int, _PartState]:
     """Lloyd steps per part with the reference's stop rule.
 
     Iteration ``it`` moves the centers to the weighted means; after iterations
@@ -330,10 +401,18 @@ def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) ->
     The objective of the centers of iteration ``it`` is computed by the scan of
     iteration ``it + 1``, which assigns the points to them anyway, so no scan is
     spent on the test. ``final_pass`` adds the scan that gives the sizes and the
-    cost of the final centers.
+    cost of the final centers. ``measured``, if given, receives the number of
+    distances that each scan measured.
     """
+    bounds = _Bounds(pts)
+    try:
+        return _steps(bounds, centers, iterations, final_pass, [] if measured is None else measured)
+    finally:
+        bounds.close()
+
+
+def _steps(bounds: _Bounds, centers: Model, iterations: int, final_pass: bool, measured: list) -> dict[int, _PartState]:
     state = {p: _PartState(centers=c) for p, c in centers.items()}
-    first = True
     while True:
         for s in state.values():
             if not s.done and s.it >= iterations and not final_pass:
@@ -342,8 +421,9 @@ def _lloyd(pts: DataFrame, centers: Model, iterations: int, final_pass: bool) ->
         if not live:
             return state
         # Later on, the parts that have stopped are left out.
-        stats = _pass(pts, {p: state[p].centers for p in live}, first)
-        first = False
+        left = iterations - min(state[p].it for p in live)
+        stats, n = bounds.scan(len(measured), {p: state[p].centers for p in live}, left)
+        measured.append(n)
         for p in live:
             s = state[p]
             st = stats.get(p, {})
@@ -493,7 +573,7 @@ def lloyd_step(
     """
     pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
     model, labels = _collect_centers(centers, by_part)
-    stats = _pass(pts, model, True)
+    stats, _ = _pass(pts, model, True)
     rows = [
         (p, int(labels[p][i]), _moved(c, stats.get(p, {}).get(i))) for p, cs in sorted(model.items()) for i, c in enumerate(cs)
     ]
@@ -515,14 +595,18 @@ def lloyd(
     id_col: str = "id",
     vec_col: str = "v",
     part_col: str | None = "part",
+    measured: list | None = None,
 ) -> DataFrame:
-    """Lloyd refinement from given centers with the stop test: ``part?, label, center``."""
+    """Lloyd refinement from given centers with the stop test: ``part?, label, center``.
+
+    ``measured``, if given, receives the number of distances of each scan.
+    """
     _check_args(iterations=iterations)
     pts, by_part = _matched(points, centers, id_col, vec_col, weight_col, part_col)
     model, labels = _collect_centers(centers, by_part)
     pts = _persist_points(pts)
     try:
-        state = _lloyd(pts, model, iterations, False)
+        state = _lloyd(pts, model, iterations, False, measured)
     finally:
         pts.unpersist()
     rows = [(p, int(labels[p][i]), c) for p, s in sorted(state.items()) for i, c in enumerate(s.centers)]

@@ -22,6 +22,7 @@ from tessera import (
 )
 from tessera.functions import kernels
 from tessera.functions.hashing import col, uniform_sql
+from tessera.operators import clustering as C
 from tests.conftest import SF_SMALL
 
 POINTS = [(0, [0.0, 0.0]), (1, [0.0, 1.0]), (2, [10.0, 0.0]), (3, [10.0, 1.0])]
@@ -328,7 +329,6 @@ def test_large_models_go_by_blocks_of_parts(spark):
 def test_many_parts_shuffle_a_row_each(spark, monkeypatch):
     """Many parts: a pass returns about k·L rows in all, not k·L for each task or batch."""
     from tessera.functions import kernels
-    from tessera.operators import clustering as C
 
     points = spark.range(20000).select("id", F.array((F.col("id") % 97).cast("float"), F.rand(3).cast("float")).alias("v"))
     partial = []
@@ -485,3 +485,41 @@ def test_coreset_in_waves_and_many_parts(spark):
     # Far more parts than points: most parts are empty, the others hold a point or two.
     many = coreset(df, 2, 100_000, 1, seed=1).collect()
     assert sum(r.w for r in many) == 1500 and len({r.part for r in many}) > 1400
+
+
+def _grouped(n, groups, dim, spread, seed=5):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(groups, dim)) * 10
+    return [(i, (middle[i % groups] + rng.normal(size=dim) * spread).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize(("groups", "spread", "parts"), [(40, 1.0, 1), (40, 1.0, 3), (1, 5.0, 1)])
+def test_lloyd_with_bounds_gives_the_same_centers(spark, monkeypatch, groups, spread, parts):
+    n, k = 3000, 40
+    points = pts(spark, _grouped(n, groups, 6, spread)).withColumn("part", F.col("id") % parts)
+    seeds = seed_centers(points, k).drop("id").cache()
+
+    def run(least):
+        monkeypatch.setattr(C, "BOUNDS_FROM", least)
+        measured = []
+        out = lloyd(points, seeds, 14, measured=measured).collect()
+        return sorted((r.part, r.label, tuple(r.center)) for r in out), measured
+
+    plain, every = run(10**9)
+    bounded, measured = run(2)
+    assert bounded == plain and len(measured) == len(every)
+    assert every[0] == measured[0] == n * k and every[-1] <= n * k
+    if groups > 1:
+        # The second pass makes the bounds, which are made anew once they save less than half.
+        assert measured[2] < 0.5 * every[2] and sum(measured[2:]) < sum(every[2:]), measured
+    assert sum(measured) < 1.3 * sum(every)
+
+
+def test_bounds_with_ties_repeated_points_and_one_center(spark, monkeypatch):
+    monkeypatch.setattr(C, "BOUNDS_FROM", 1)
+    grid = [(i, [float(i % 4), float(i // 4 % 4)]) for i in range(200)]
+    for centers in ([(0, [1.5, 1.5])], [(0, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [3.0, 3.0]), (3, [3.0, 0.0]), (4, [9.0, 9.0])]):
+        bounded = sorted(map(tuple, lloyd(pts(spark, grid), ctr(spark, centers), 9).collect()))
+        monkeypatch.setattr(C, "BOUNDS_FROM", 10**9)
+        assert bounded == sorted(map(tuple, lloyd(pts(spark, grid), ctr(spark, centers), 9).collect()))
+        monkeypatch.setattr(C, "BOUNDS_FROM", 1)
