@@ -3,9 +3,11 @@
 A logistic regression over word n-grams tells licence families and plain prose
 apart. It is trained on variants of template sentences and on paragraphs of
 the corpus; a temperature, fitted on paragraphs it was not trained on, makes
-its probabilities honest. A paragraph that looks like a licence but is close
-to no template of the predicted family, or whose family is in doubt, is
-``unknown``.
+its probabilities honest. A prediction is confirmed by a template that is
+close to the paragraph and that no mark in the paragraph contradicts: a word or
+number such as "lesser", "nc" or the version, by which licences with nearly
+the same sentences differ. What looks like a licence but is confirmed for no
+family is ``unknown``, a class that is trained on sentences of other licences.
 
 Only n-grams of the templates are features, so the model has a fixed size, and
 texts are read where they are.
@@ -47,16 +49,54 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Licensed under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "gpl-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
+    ),
+    "lgpl-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+    ),
+    "lgpl-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+    ),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "cc-by-4.0": (
         "Licensed under CC BY 4.0.",
@@ -70,6 +110,22 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "cc-by-nd-4.0": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "cc-by-nc-sa-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "cc-by-nc-nd-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "cc0-1.0": (
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "Dedicated to the public domain under CC0 1.0.",
@@ -80,12 +136,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "No part of this publication may be reproduced without the prior written permission of the publisher.",
     ),
 }
-NONE = "none"
-FAMILIES = (NONE, *TEMPLATES)
+# Sentences of licences that are no family here, for the unknown class.
+OTHERS = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "Licensed under the European Union Public Licence, version 1.2 or later.",
+    "This library is free software; you may redistribute it under the same terms as Perl itself, either the Artistic License or any later version.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License, version 1.0.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: Artistic-2.0",
+)
+# Words by which licences with like sentences differ; so do all numbers.
+MARKS = frozenset(
+    "lesser library affero gpl lgpl agpl apache mit bsd isc mozilla mpl eclipse epl unlicense cc cc0 by nc nd sa attribution "
+    "noncommercial noderivatives sharealike creative commons boost artistic zlib european sil academic python".split()
+)
+NONE, UNKNOWN = "none", "unknown"
+FAMILIES = (NONE, *TEMPLATES, UNKNOWN)
 #: Paragraphs of the corpus used as prose in training at most, and variants of each template sentence.
 PROSE, VARIANTS = 4000, 24
-#: Words that may differ from a template, and the calibrated probability below which a family is in doubt.
+#: Words that may differ from a template, and the calibrated probability below which an edited family is in doubt.
 EDIT_SHARE, CERTAIN = 0.2, 0.6
+#: Share of the licence classes' probability from which on a family's templates are compared, and
+#: words of a template below which it must have all its marks.
+LIKELY, SHORT = 0.02, 8
 ORDER, SEED = 3, 17
 #: A longer paragraph is read in windows of so many words, half of them new in each.
 WINDOW = 64
@@ -121,6 +197,31 @@ def stretch(template: list[str], words: list[str]) -> tuple[int, int, int]:
     return best
 
 
+def marks(words: list[str]) -> set[str]:
+    return {w for w in words if w in MARKS or w.isdigit()}
+
+
+def confirmed(template: list[str], words: list[str]) -> float:
+    """The similarity of a template to its closest stretch of the words: 0 under the bound, or where a mark contradicts.
+
+    The stretch may have no mark that the template lacks. In a long template
+    another word may stand for a mark; one that is cut off, or any in a short
+    template, must be there.
+    """
+    edits = edit_distance_within(template, words)
+    if edits > EDIT_SHARE * len(template):
+        return 0.0
+    if edits:
+        _, start, end = stretch(template, words)
+        # The word at either end may have been left out for being another one.
+        start -= start > 0 and words[start] != template[0]
+        end += end < len(words) and words[end - 1] != template[-1]
+        there, own = marks(words[start:end]), marks(template)
+        if there - own or (own - there and (len(template) < SHORT or end - start < len(template))):
+            return 0.0
+    return 1 - edits / len(template)
+
+
 class Classifier:
     """The fitted model: n-gram weights by family, the temperature, and the templates."""
 
@@ -128,7 +229,7 @@ class Classifier:
         self.words: dict[str, int] = {}
         self.grams: dict[tuple[int, ...], int] = {}
         self.templates = {f: [tokens(t) for t in ts] for f, ts in TEMPLATES.items()}
-        for sentences in self.templates.values():
+        for sentences in [*self.templates.values(), [tokens(t) for t in OTHERS]]:
             for s in sentences:
                 ids = [self.words.setdefault(w, len(self.words) + 1) for w in s]
                 for g in sorted(ngrams(ids)):
@@ -153,18 +254,20 @@ class Classifier:
         p = _softmax(self.logits(features) / self.temperature)
         if p[0] >= 0.5:
             return None
-        family = int(np.argmax(p[1:])) + 1
-        # Similarity to the closest template: the share of its words that stand in the paragraph, in order.
-        similarity = max(
-            1 - edit_distance_within(s, words) / len(s) for s in self.templates[FAMILIES[family]]
-        )
-        sure = p[family] / p[1:].sum() >= CERTAIN and similarity >= 1 - EDIT_SHARE
-        return Finding(FAMILIES[family] if sure else "unknown", float(1 - p[0]), float(similarity))
+        share = p[1:] / p[1:].sum()
+        near = [(0.0, 0.0, UNKNOWN)]
+        for family, own in zip(FAMILIES[1:-1], share, strict=False):
+            if own >= LIKELY and (similarity := max(confirmed(t, words) for t in self.templates[family])):
+                near.append((similarity, float(own), family))
+        similarity, own, family = max(near)
+        # Of several families that an edited text is close to, it must be the model's choice as well.
+        sure = similarity == 1 or (similarity > 0 and own >= CERTAIN * sum(n[1] for n in near))
+        return Finding(family if sure else UNKNOWN, float(1 - p[0]), similarity)
 
     def place(self, family: str, words: list[str], s: int) -> tuple[int, int] | None:
         """Where the longest template of the family that is in the window at ``s`` stands, from and to."""
         for t in sorted(self.templates[family], key=len, reverse=True):
-            if edit_distance_within(t, words[s : s + WINDOW]) <= EDIT_SHARE * len(t):
+            if confirmed(t, words[s : s + WINDOW]):
                 lo = max(0, s - WINDOW)
                 _, start, end = stretch(t, words[lo : s + 2 * WINDOW])
                 return lo + start, lo + end
@@ -180,12 +283,12 @@ class Classifier:
         for s in starts:
             while any(words[s : s + WINDOW]) and (f := self.judge(words[s : s + WINDOW])):
                 whole, at = f, s
-                if f.family == "unknown":
+                if f.family == UNKNOWN:
                     # Two families in one window leave both in doubt: read it in smaller ones.
                     parts = [(i, n) for n in (WINDOW // 2, WINDOW // 4) for i in range(s, min(s + WINDOW, len(words)), n // 2)]
-                    sure = ((i, g) for i, n in parts if (g := self.judge(words[i : i + n])) and g.family != "unknown")
+                    sure = ((i, g) for i, n in parts if (g := self.judge(words[i : i + n])) and g.family != UNKNOWN)
                     at, f = next(sure, (s, f))
-                place = self.place(f.family, words, at) if f.family != "unknown" else None
+                place = self.place(f.family, words, at) if f.family != UNKNOWN else None
                 if place is None:
                     unknown.append((s, whole))
                     break
@@ -218,7 +321,7 @@ class Classifier:
             if len(paragraph) > 1:
                 for first, last, f in self.wrapped(paragraph):
                     # Unknown lines inside are parts of it.
-                    out = [(j, g) for j, g in out if g.family != "unknown" or not first <= j <= last]
+                    out = [(j, g) for j, g in out if g.family != UNKNOWN or not first <= j <= last]
                     out.append((first, f))
             paragraph = []
         yield from sorted(out, key=lambda x: (x[0], x[1].word))
@@ -281,9 +384,11 @@ def train(spark: SparkSession, prose: list[str]) -> Classifier:
     # Prose that is close to a template is no example of prose.
     plain = [w for w in map(tokens, prose) if w and not _licence_like(w, sentences)]
     examples = [(w, 0) for w in plain]
-    for label, family in enumerate(FAMILIES[1:], 1):
+    for label, family in enumerate(TEMPLATES, 1):
         for s in sentences[family]:
             examples += [(v, label) for v in variants(s, plain, rng, VARIANTS)]
+    for t in OTHERS:
+        examples += [(v, len(FAMILIES) - 1) for v in variants(tokens(t), plain, rng, VARIANTS)]
     # Prose of template words only, so that single common words prove nothing.
     every = sorted(model.words)
     examples += [([rng.choice(every) for _ in range(rng.randrange(1, 6))], 0) for _ in range(len(examples) // 4)]

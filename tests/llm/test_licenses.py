@@ -100,3 +100,50 @@ def test_wrapped_paragraphs(model):
     # Between prose lines of the same paragraph, too.
     lines = textwrap.wrap(L.TEMPLATES["gpl-3.0"][1], 40)
     assert [(k, f.family) for k, f in model.scan("\n".join([prose(3, 9), *lines, prose(4, 9)]))] == [(1, "gpl-3.0")]
+
+
+#: Lines that no template holds as they are, and their families.
+LINES = [
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.", "gpl-2.0"),
+    ("This program is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
+    ("SPDX-License-Identifier: LGPL-3.0-or-later", "lgpl-3.0"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "agpl-3.0"),
+    ("This software is licensed under the GNU Lesser General Public License, version 3", "lgpl-3.0"),
+    ("This software is licensed under the GNU Affero General Public License, version 3", "agpl-3.0"),
+    ("This software is licensed under the GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
+    ("This software is licensed under the GNU General Public License, version 3", "gpl-3.0"),
+    ("This text is licensed under CC BY-ND 4.0.", "cc-by-nd-4.0"),
+    ("This text is licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4.0"),
+    ("This text is licensed under CC BY-NC-ND 4.0.", "cc-by-nc-nd-4.0"),
+    ("This text is licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    ("This is free and unencumbered software released into the public domain", "unlicense"),
+    ("This program and its accompanying materials are made available under the terms of the Eclipse Public License 2.0", "epl-2.0"),
+    ("The code is licensed under the BSD 2-Clause License.", "bsd"),
+    ("SPDX-License-Identifier: Artistic-2.0", None),
+    ("SPDX-License-Identifier: Apache-1.1", None),
+    ("Licensed under the Mozilla Public License, version 1.1.", None),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("Licensed under CC BY 3.0.", None),
+    ("Released under the Zlib License.", None),
+    ("Licensed under the Apache License, Version 1.1.", None),
+]
+
+
+def test_families_that_differ_by_a_mark(model):
+    wrong = {}
+    for line, family in LINES:
+        for text in (line, prose(7, 12) + " " + line + " " + prose(8, 12)):
+            found = {f.family for _, f in model.scan(text)}
+            if not (found == {family} if family else found <= {L.UNKNOWN}):
+                wrong[text] = found
+    assert not wrong
+
+
+def test_confirmed():
+    t = L.tokens("Licensed under CC BY-SA 4.0.")
+    assert L.confirmed(t, L.tokens("it is licensed under cc by-sa 4.0, see")) == 1
+    for other in ("Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 3.0."):
+        assert L.confirmed(t, L.tokens(other)) == 0
+    assert L.confirmed(t, []) == 0
