@@ -234,7 +234,7 @@ class Classifier:
                 ids = [self.words.setdefault(w, len(self.words) + 1) for w in s]
                 for g in sorted(ngrams(ids)):
                     self.grams.setdefault(g, len(self.grams))
-        self.distinct = [(frozenset(t), int(EDIT_SHARE * len(t))) for ts in self.templates.values() for t in ts]
+        self.distinct = {tuple(t): (frozenset(t), int(EDIT_SHARE * len(t))) for ts in self.templates.values() for t in ts}
         self.weights = np.zeros((len(self.grams), len(FAMILIES)))
         self.intercept = np.zeros(len(FAMILIES))
         self.temperature = 1.0
@@ -255,9 +255,13 @@ class Classifier:
         if p[0] >= 0.5:
             return None
         share = p[1:] / p[1:].sum()
-        near = [(0.0, 0.0, UNKNOWN)]
+        near, there = [(0.0, 0.0, UNKNOWN)], set(words)
         for family, own in zip(FAMILIES[1:-1], share, strict=False):
-            if own >= LIKELY and (similarity := max(confirmed(t, words) for t in self.templates[family])):
+            if own < LIKELY:
+                continue
+            # A template that misses more different words than may be edited is not close.
+            close = [t for t in self.templates[family] if len(self.distinct[tuple(t)][0] - there) <= self.distinct[tuple(t)][1]]
+            if similarity := max((confirmed(t, words) for t in close), default=0.0):
                 near.append((similarity, float(own), family))
         similarity, own, family = max(near)
         # Of several families that an edited text is close to, it must be the model's choice as well.
@@ -299,7 +303,7 @@ class Classifier:
     def may_hold(self, words: list[str]) -> bool:
         """Whether enough different words of some template are there to be close to it."""
         there = set(words)
-        return any(len(t - there) <= edits for t, edits in self.distinct)
+        return any(len(t - there) <= edits for t, edits in self.distinct.values())
 
     def scan(self, text: str) -> Iterator[tuple[int, Finding]]:
         """The licences of a whole text, by line number and place in the line.
