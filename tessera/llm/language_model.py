@@ -5,8 +5,9 @@ and word pairs of its texts, the counts meet in shards of the hash space, and
 each shard becomes a Bloom filter that holds an n-gram once per level of its
 logarithmically quantised count (Talbot and Osborne, 2007). A count is read by
 probing level after level. The filter holds every n-gram and grows with the
-texts; it is broadcast in blocks of shards of bounded size, one pass over the
-texts for each, and what the blocks answer is added up.
+texts; it is broadcast in blocks of shards of bounded size. Where it takes more
+than one, the distinct n-grams of each slice of the texts are written by block
+once, and each block probes those of its own shards only.
 """
 
 from __future__ import annotations
@@ -308,7 +309,6 @@ def score(
     rows are scored one by one. An empty table gives an empty result; with no
     training text all words are unknown.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         held_out(F.col(id_col), held_out_of, held_out_remainder).alias("held_out"),
@@ -317,49 +317,13 @@ def score(
     trained = fit(rows.where("NOT held_out").select("text"), head_words, prior)
     model, counts = trained.model, trained.counts
     blocks = trained.blocks(max_bytes)
-    whole = len(blocks) == 1
-    if not whole:
-        rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    shared = spark.sparkContext.broadcast((trained.load(*blocks[0]) if whole else model).plain())
-    floor = np.log10(model.tokens + model.distinct + 1)
-    longs = pa.list_(pa.int64())
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-         ("base_score", pa.float64()), ("score", pa.float64()), ("others", longs), ("known", longs), ("row", pa.int64())]
-    )
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model.of(shared.value)
-
-        def flush(b: pa.RecordBatch, hashes: list[np.ndarray]) -> pa.RecordBatch:
-            words = np.concatenate(hashes)
-            n = np.array([len(h) for h in hashes])
-            starts = np.cumsum(n) - n
-            known, inside = m.known(words)
-            base = np.where(inside, np.log10(known + 1) - floor, 0.0)
-            p = m.log10_p(words, starts) if whole else np.zeros(len(words))
-            others = np.split(words.view(np.int64), starts[1:])
-            outside = np.split(~inside, starts[1:])
-            arrays = [pa.array(n, pa.int64()), pa.array(np.add.reduceat(inside.astype(np.int64), starts), pa.int64())]
-            arrays += [pa.array(np.add.reduceat(x, starts), pa.float64()) for x in (base, p)]
-            rest = pa.array([x[o] for x, o in zip(others, outside, strict=True)], pa.list_(pa.int64()))
-            more = [pa.nulls(len(n), longs), pa.nulls(len(n), pa.int64())] if whole else [pa.array(np.split(known, starts[1:]), longs), b.column(3)]
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays, rest, *more], schema=schema)
-
-        return _flushed(batches, flush)
-
-    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, others array<long>, known array<long>, row long"
-    judged = rows.mapInArrow(judge, kinds)
-    if whole:
-        judged = materialize(judged.withColumn("row", F.monotonically_increasing_id()))
-    else:
-        judged = materialize(judged)
-        scores = materialize(_add_up(rows, judged, trained, blocks))
-        judged = judged.drop("score", "known").join(scores, "row")
+    judged = _at_once(rows, trained) if len(blocks) == 1 else _routed(rows, trained, blocks)
+    judged = materialize(judged.withColumn("row", F.monotonically_increasing_id()))
     # Rarer words: each costs a row, and meets its exact count in a join.
+    floor = float(np.log10(model.tokens + model.distinct + 1))
     others = judged.select("row", F.explode("others").alias("word")).join(counts, "word", "left")
     found = others.groupBy("row").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(float(floor))).alias("more"), F.count("n").alias("more_known")
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(floor)).alias("more"), F.count("n").alias("more_known")
     )
     return judged.join(found, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
@@ -370,71 +334,122 @@ def score(
     )
 
 
-def _flushed(batches: Iterator[pa.RecordBatch], flush) -> Iterator[pa.RecordBatch]:
-    """``flush`` of slices of the batches with the hashes of their texts (column 2), ``SCORE_TOKENS`` or so at a time."""
+#: A document's scores by the head's counts and the filter, and the hashes of its words outside the head.
+JUDGED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, others array<long>"
+
+
+def _judge(m: Model, ids: pa.Array, held: pa.Array, words: np.ndarray, n: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    """The ``JUDGED`` rows of documents of ``n`` tokens each, whose tokens have the log10 probabilities ``p``."""
+    starts = np.cumsum(n) - n
+    known, inside = m.known(words)
+    base = np.where(inside, np.log10(known + 1) - np.log10(m.tokens + m.distinct + 1), 0.0)
+    outside = ~inside
+    ends = np.concatenate(([0], np.cumsum(np.add.reduceat(outside.astype(np.int64), starts)))).astype(np.int32)
+    arrays = [ids, held, pa.array(n, pa.int64()), pa.array(np.add.reduceat(inside.astype(np.int64), starts), pa.int64())]
+    arrays += [pa.array(np.add.reduceat(x, starts), pa.float64()) for x in (base, p)]
+    arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(words[outside].view(np.int64))))
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "others"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches of ``SCORE_TOKENS`` tokens or so, with the tokens and their number in each text (column 2)."""
     for b in batches:
         start, tokens, hashes = 0, 0, []
         for k, t in enumerate(b.column(2)):
             hashes.append(token_hashes(t.as_py()))
             tokens += len(hashes[-1])
             if tokens >= SCORE_TOKENS or k == b.num_rows - 1:
-                yield flush(b.slice(start, k + 1 - start), hashes)
+                yield b.slice(start, k + 1 - start), np.concatenate(hashes), np.array([len(h) for h in hashes])
                 start, tokens, hashes = k + 1, 0, []
 
 
-def _add_up(rows: DataFrame, judged: DataFrame, trained: Trained, blocks: list[tuple[int, int]]) -> DataFrame:
-    """``row, score`` from the answers of all blocks of the filter, each broadcast for one pass over the texts.
+def _at_once(rows: DataFrame, trained: Trained) -> DataFrame:
+    """``JUDGED`` rows where one broadcast holds the whole filter: a single pass over the texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(trained.load(0, len(trained.sizes)).plain())
 
-    A block answers for its own words (outside the head) and pairs only, so
-    the answers are together no larger than with one block.
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model.of(shared.value)
+        for b, words, n in _slices(batches):
+            yield _judge(m, b.column(0), b.column(1), words, n, m.log10_p(words, np.cumsum(n) - n))
+
+    return rows.mapInArrow(judge, JUDGED)
+
+
+def _asked(m: Model, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of a slice whose counts only the filter has, in order of their hashes, so of their shards; and its pairs."""
+    outside = ~m.known(words)[1]
+    pairs = pair_hashes(_before(words, starts), words)
+    return np.unique(np.concatenate([words[outside], pairs])), outside, pairs
+
+
+def _routed(rows: DataFrame, trained: Trained, blocks: list[tuple[int, int]]) -> DataFrame:
+    """``JUDGED`` rows where the filter is broadcast in several blocks.
+
+    One pass over the texts writes their tokens, by slice, and each slice's
+    distinct n-grams, by the block that holds their shard. Each block then
+    probes its own n-grams only, and the slices meet the levels that the blocks
+    answer: the work grows with the texts, whatever the number of blocks.
     """
     spark = rows.sparkSession
-    schema = pa.schema([("row", pa.int64()), ("at", pa.binary()), ("levels", pa.binary())])
+    head = spark.sparkContext.broadcast(trained.model.plain())
+    firsts = np.array([first for first, _ in blocks])
+    shift = np.uint64(64 - int(np.log2(len(trained.sizes))))
+    longs, bools = pa.list_(pa.int64()), pa.list_(pa.bool_())
+    schema = pa.schema(
+        [("slice", pa.int64()), ("block", pa.int32()), ("asked", pa.binary()), ("doc_id", longs), ("held_out", bools),
+         ("n", longs), ("vocabulary", pa.binary()), ("words", pa.binary())]
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model.of(head.value)
+        for b, words, n in _slices(batches):
+            name = b.column(3)[0].as_py()
+            vocabulary, at = np.unique(words, return_inverse=True)
+            own = [name, -1, None, b.column(0).to_pylist(), b.column(1).to_pylist(), n.tolist(), vocabulary.tobytes(), at.astype(np.int32).tobytes()]
+            asked, _, _ = _asked(m, words, np.cumsum(n) - n)
+            edges = np.append(np.searchsorted(asked >> shift, firsts.astype(np.uint64)), len(asked))
+            some = np.flatnonzero(edges[1:] > edges[:-1]).tolist()
+            out = [own] + [[name, k, asked[edges[k] : edges[k + 1]].tobytes(), *[None] * 5] for k in some]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    kinds = "slice long, block int, asked binary, doc_id array<long>, held_out array<boolean>, n array<long>, vocabulary binary, words binary"
+    # A slice is named after its first row.
+    named = rows.withColumn("row", F.monotonically_increasing_id())
+    table = materialize(named.mapInArrow(cut, kinds), "block")
     parts = None
-    for block in blocks:
+    for k, block in enumerate(blocks):
         shared = spark.sparkContext.broadcast(trained.load(*block).plain())
 
-        def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def look(batches: Iterator[pa.RecordBatch], shared=shared, k=k) -> Iterator[pa.RecordBatch]:
             m = Model.of(shared.value)
+            for b in batches:
+                found = [m.filter.levels(np.frombuffer(x.as_py(), np.uint64)).astype(np.uint8).tobytes() for x in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([k] * len(found), pa.int32()), pa.array(found, pa.binary())], ["slice", "block", "levels"])
 
-            def flush(b: pa.RecordBatch, hashes: list[np.ndarray]) -> pa.RecordBatch:
-                words = np.concatenate(hashes)
-                starts = np.cumsum([0, *map(len, hashes)])[:-1]
-                single = m.filter.levels(words)
-                single[m.known(words)[1]] = 0
-                pair = m.filter.levels(pair_hashes(_before(words, starts), words))
-                at, levels = [], []
-                for x, y in zip(np.split(single, starts[1:]), np.split(pair, starts[1:]), strict=True):
-                    both = np.concatenate([x, y]).astype(np.uint8)
-                    there = np.flatnonzero(both)
-                    at.append(there.astype(np.int64).tobytes())
-                    levels.append(both[there].tobytes())
-                return pa.RecordBatch.from_arrays([b.column(3), pa.array(at, pa.binary()), pa.array(levels, pa.binary())], schema=schema)
-
-            return _flushed(batches, flush)
-
-        part = materialize(rows.mapInArrow(look, "row long, at binary, levels binary").where("length(at) > 0"))
+        part = materialize(table.where(F.col("block") == k).select("slice", "asked").mapInArrow(look, "slice long, block int, levels binary"))
         shared.destroy()
         parts = part if parts is None else parts.unionAll(part)
-    answers = parts.groupBy("row").agg(F.collect_list(F.struct("at", "levels")).alias("answers"))
-    model = trained.model._replace(head=np.zeros(0, np.uint64), head_counts=np.zeros(0, np.int64))
+    # One answer of each block, together a byte for each n-gram of a slice.
+    answers = parts.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("block", "levels"))).alias("answers"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model.of(head.value)
         for b in batches:
-            out = []
-            for known, answers in zip(b.column(1), b.column(2), strict=True):
-                known = known.values.to_numpy()
-                levels = np.zeros(2 * len(known), np.uint8)
-                for x in answers.as_py() or ():
-                    levels[np.frombuffer(x["at"], np.int64)] = np.frombuffer(x["levels"], np.uint8)
-                n = len(known)
-                single = np.where(known > 0, known, LEVEL_COUNT[levels[:n]])
+            for ids, held, n, vocabulary, at, answer in zip(*b.columns, strict=True):
+                words = np.frombuffer(vocabulary.as_py(), np.uint64)[np.frombuffer(at.as_py(), np.int32)]
+                n = n.values.to_numpy()
+                starts = np.cumsum(n) - n
+                asked, outside, pairs = _asked(m, words, starts)
+                count = LEVEL_COUNT[np.frombuffer(b"".join(x["levels"] for x in answer.as_py()), np.uint8)]
+                single = m.known(words)[0].astype(np.float64)
+                single[outside] = count[np.searchsorted(asked, words[outside])]
                 # The last token of every text is its end.
-                out.append(model.log10_p_of(single, LEVEL_COUNT[levels[n:]], np.zeros(1, np.int64), single[-1]).sum())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], ["row", "score"])
+                p = m.log10_p_of(single, count[np.searchsorted(asked, pairs)], starts, single[-1])
+                yield _judge(m, ids.values, held.values, words, n, p)
 
-    both = judged.select("row", "known").join(answers, "row", "left").select("row", "known", "answers")
-    return both.mapInArrow(finish, "row long, score double")
+    slices = table.where(F.col("block") == -1).select("slice", "doc_id", "held_out", "n", "vocabulary", "words")
+    both = slices.join(answers, "slice").select("doc_id", "held_out", "n", "vocabulary", "words", "answers")
+    return both.mapInArrow(finish, JUDGED)
 
 
 ship_by_value(__name__)

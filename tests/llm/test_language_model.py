@@ -110,3 +110,43 @@ def test_the_filter_holds_every_word_and_pair(documents):
     some = LM.token_hashes(text.first()[0])
     pairs = LM.pair_hashes(some[:-1], some[1:])
     assert (sum(m.filter.levels(pairs) for m in models) > 0).all()
+
+
+@pytest.mark.parametrize("max_bytes", [LM.MAX_BYTES, 20000])
+def test_scores_against_exact_counts(documents, max_bytes):
+    """The same smoothing by exact, then quantised counts of all pairs: the filter errs upwards only, and seldom."""
+    texts = {r.doc_id: tokens(r.text) for r in documents.collect()}
+    single, pair = Counter(), Counter()
+    for d, w in texts.items():
+        if not held(d):
+            single.update(w)
+            pair.update(zip([" ", *w], w))
+    n, v = sum(single.values()), len(single)
+    errors = []
+    for r in LM.score(documents, max_bytes=max_bytes).collect():
+        w = texts[r.doc_id]
+        want = 0.0
+        for a, b in zip([" ", *w], w):
+            c = pair[a, b]
+            c = min((2 ** (c.bit_length() - 1) + 2 ** c.bit_length() - 1) / 2 if c else 0, single[a], single[b])
+            want += math.log10((c + LM.PRIOR * (single[b] + 1) / (n + v + 1)) / (single[a] + LM.PRIOR))
+        errors.append((r.score - want) / len(w))
+    assert min(errors) > -1e-9 and sum(errors) / len(errors) < 0.02
+
+
+def test_more_blocks_ask_no_more(documents):
+    """What is written for the blocks of the filter does not grow with their number."""
+    rows = documents.selectExpr("doc_id", "false as held_out", "cast(text as binary) as text")
+    trained = LM.fit(rows.select("text"), head_words=50)
+    asked = []
+    for max_bytes in (60_000, 10_000):
+        blocks = trained.blocks(max_bytes)
+        made = []
+        keep = LM.materialize
+        LM.materialize = lambda df, *by, made=made: made.append(keep(df, *by)) or made[-1]
+        try:
+            LM._routed(rows, trained, blocks)
+        finally:
+            LM.materialize = keep
+        asked.append((len(blocks), made[0].selectExpr("sum(length(asked))").first()[0]))
+    assert asked[1][0] > 2 * asked[0][0] > 2 and asked[0][1] == asked[1][1]
