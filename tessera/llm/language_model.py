@@ -257,15 +257,10 @@ def fit(texts: DataFrame, head_words: int = HEAD_WORDS, prior: float = PRIOR) ->
             out.append((values[first], np.add.reduceat(counts, first) if len(first) else counts))
         (words, n), (pairs, m) = out
         filter_size, bits_ = build_shard(np.concatenate([words, pairs]), np.concatenate([n, m]))
-        return pa.table(
-            {
-                "word": pa.array([*words.view(np.int64).tolist(), None], pa.int64()),
-                "n": pa.array([*n.tolist(), None], pa.int64()),
-                "shard": pa.array([None] * len(words) + [table.column("shard")[0].as_py()], pa.int32()),
-                "size": pa.array([None] * len(words) + [filter_size], pa.int64()),
-                "bits": pa.array([None] * len(words) + [bits_], pa.binary()),
-            }
-        )
+        columns = {"word": words.view(np.int64), "n": n, "shard": table.column("shard")[0].as_py(), "size": filter_size, "bits": bits_}
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        rows = [(pa.array(x, t), pa.nulls(1, t)) if k < 2 else (pa.nulls(len(words), t), pa.array([x], t)) for k, (x, t) in enumerate(zip(columns.values(), kinds))]
+        return pa.table({name: pa.chunked_array(x) for name, x in zip(columns, rows)})
 
     counted = texts.select("text").mapInArrow(count, "shard int, w binary, wn binary, p binary, pn binary")
     merged = counted.groupBy("shard").applyInArrow(merge, "word long, n long, shard int, size long, bits binary")
