@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import as_bytes, materialize, row_key, ship_by_value
@@ -205,32 +205,49 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _block_pairs(blocks: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
-    """Pairs of blocks whose common prefix bits differ within the budget: the top of the same descent."""
+def _block_pairs(spark: SparkSession, blocks: list[tuple[int, int, int]], budget: int) -> DataFrame:
+    """Pairs ``a <= b`` of blocks whose common prefix bits differ within the budget: the top of the same descent.
+
+    Each task holds the prefixes (16 bytes a block) and finds the partners of its own blocks.
+    """
     prefix = np.array([p << (64 - d) if d else 0 for p, d, _ in blocks], np.uint64)
-    depth = np.array([d for _, d, _ in blocks], np.int64)
-    pairs = []
-    for i in range(len(blocks)):
-        d = np.minimum(depth[i], depth[i:])
-        mask = np.where(d > 0, np.uint64(0xFFFFFFFFFFFFFFFF) << (64 - np.maximum(d, 1)).astype(np.uint64), np.uint64(0))
-        near = np.bitwise_count((prefix[i] ^ prefix[i:]) & mask) <= budget
-        pairs += [(i, i + int(j)) for j in np.flatnonzero(near)]
-    return pairs
+    shared = spark.sparkContext.broadcast((prefix, np.array([d for _, d, _ in blocks], np.int64)))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefix, depth = shared.value
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                d = np.minimum(depth[i], depth[i:])
+                mask = np.where(d > 0, np.uint64(0xFFFFFFFFFFFFFFFF) << (64 - np.maximum(d, 1)).astype(np.uint64), np.uint64(0))
+                b = i + np.flatnonzero(np.bitwise_count((prefix[i] ^ prefix[i:]) & mask) <= budget)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), i, np.int32)), pa.array(b.astype(np.int32))], ["a", "b"])
+
+    return spark.range(0, len(blocks), 1, -(-len(blocks) // 64)).mapInArrow(near, "a int, b int")
+
+
+def block_size(total: int, least: int = 1 << 17, most: int = 1 << 20, at_most: int = 1 << 12, least_blocks: int = 32) -> int:
+    """Fingerprints in a block: ``least`` (1 MB), more where the trie would have more than ``at_most`` full blocks.
+
+    A block is sent to a task for each of the prefixes within the budget of its
+    own, 794 of 4096 at 4 bits; so up to ``at_most * most`` fingerprints (4
+    billion) the copies of a block do not grow. ``most`` (8 MB) bounds what a
+    task holds. Few fingerprints make ``least_blocks``.
+    """
+    return max(64, min(most, max(least, -(-total // at_most)), -(-total // least_blocks)))
 
 
-def trie_links(fps: DataFrame, max_bits: int = 4, largest_block: int = 1 << 17, least_blocks: int = 32) -> DataFrame:
+def trie_links(fps: DataFrame, max_bits: int = 4, largest_block: int | None = None) -> DataFrame:
     """Links ``(u, v)`` that connect all distinct ``fp`` at ``max_bits`` or fewer differing bits.
 
     ``fps`` must be written already (it is read once a trie level). A block
-    holds at most ``largest_block`` fingerprints (1 MB), less where that would
-    make fewer than ``least_blocks``.
+    holds at most ``largest_block`` fingerprints (None: :func:`block_size`).
     """
     spark = fps.sparkSession
     total = fps.count()
     if total < 2:
         return spark.createDataFrame([], "u long, v long")
-    blocks = _blocks(fps, max(64, min(largest_block, -(-total // least_blocks))))
-    pairs = _block_pairs(blocks, max_bits)
+    blocks = _blocks(fps, largest_block or block_size(total))
+    pairs = materialize(_block_pairs(spark, blocks, max_bits))
     starts = np.array([p << (64 - d) if d else 0 for p, d, _ in blocks], np.uint64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,12 +272,11 @@ def trie_links(fps: DataFrame, max_bits: int = 4, largest_block: int = 1 << 17,
     packed = materialize(
         fps.select("fp").mapInArrow(place, "block int, fp long").groupBy("block").applyInArrow(pack, "block int, fps binary")
     )
-    pair_table = spark.createDataFrame(pairs, "a int, b int")
     left = packed.select(F.col("block").alias("a"), F.col("fps").alias("x"))
     right = packed.select(F.col("block").alias("b"), F.col("fps").alias("y"))
     # A fixed number: the blocks are small in bytes, but a pair of them is seconds of work.
-    spread = -(-len(pairs) // 4)
-    return pair_table.join(left, "a").join(right, "b").repartition(spread, "a", "b").mapInArrow(join, "u long, v long")
+    spread = -(-pairs.count() // 4)
+    return pairs.join(left, "a").join(right, "b").repartition(spread, "a", "b").mapInArrow(join, "u long, v long")
 
 
 def near_duplicates(

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -120,3 +121,30 @@ def test_dense_ball_over_blocks(spark, monkeypatch):
     links = simhash.trie_links(fps, 4, largest_block=100).collect()
     assert len(links) < 40 * len(values)
     assert same_groups(values, [(r.u % 2**64, r.v % 2**64) for r in links], 4)
+
+
+def test_pairs_of_blocks_against_all(spark):
+    """Blocks of several depths: exactly the pairs whose common prefix bits differ within the budget."""
+    rng = random.Random(3)
+    nodes, todo = [], [(0, 0)]
+    while todo:
+        p, d = todo.pop()
+        if d < 4 or d < 9 and rng.random() < 0.6:
+            todo += [(2 * p, d + 1), (2 * p + 1, d + 1)]
+        else:
+            nodes.append((p, d, 1))
+    nodes.sort(key=lambda x: x[0] << (64 - x[1]))
+    want = set()
+    for i, (p, d, _) in enumerate(nodes):
+        for j, (q, e, _) in enumerate(nodes[i:], i):
+            m = min(d, e)
+            if ((p >> (d - m)) ^ (q >> (e - m))).bit_count() <= 2:
+                want.add((i, j))
+    got = [tuple(r) for r in simhash._block_pairs(spark, nodes, 2).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) < len(nodes) ** 2 / 4
+    assert [tuple(r) for r in simhash._block_pairs(spark, [(0, 0, 5)], 4).collect()] == [(0, 0)]
+
+
+def test_block_sizes():
+    sizes = [simhash.block_size(n) for n in (2, 10**5, 10**7, 10**9, 10**10, 10**12)]
+    assert sizes == [64, 3125, 1 << 17, -(-(10**9) // 4096), 1 << 20, 1 << 20]
