@@ -57,7 +57,7 @@ def numbered_lines(spark: SparkSession, path: str, out: str = "line_no") -> Data
     before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     sums = counts.select(*split, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     rows = text.select("value", *split, "at")
-    splits = len(text.inputFiles()) + _bytes(text) // _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
+    splits = len(text.inputFiles()) + _bytes(text) // conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
     sums = F.broadcast(sums) if splits * _SPLIT_BYTES <= _MAX_BROADCAST_BYTES else sums.hint("merge")
     return rows.join(sums, ["split", "start"]).select((F.col("before") + F.col("at") - F.col("first")).alias(out), "value")
 
@@ -67,7 +67,8 @@ def _bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _conf_bytes(spark: SparkSession, name: str) -> int:
+def conf_bytes(spark: SparkSession, name: str) -> int:
+    """A size in the session's settings, in bytes."""
     return max(1, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))))
 
 

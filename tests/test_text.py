@@ -93,6 +93,29 @@ def test_spread_only_when_asked(spark):
     assert sorted(r.id for r in spread(one, 3).collect()) == list(range(1000))
 
 
+def test_spread_pieces_do_not_grow_with_the_table(spark, tmp_path):
+    from tessera import spread
+
+    texts = [" ".join(f"{i * 7919 % 10007}w{k}" for k in range(i % 40)) for i in range(3000)]
+    path = str(tmp_path / "documents.parquet")
+    _docs(spark, texts).coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 8))
+    try:
+        for df in (docs, docs.select("text")):
+            pieces = spread(df, 3).rdd.glom().map(len).collect()
+            assert len(pieces) >= 8 and len(pieces) % 3 == 0 and sum(pieces) == 3000 and max(pieces) - min(pieces) <= len(pieces)
+        want = sorted(map(tuple, word_count(docs).collect()))
+        assert sorted(map(tuple, word_count_partitioned(docs, parts=3).collect())) == want
+        assert {r.distinct_words for r in word_count_report(docs, parts=3).collect()} == {len(want)}
+        # Tables of unknown size stay in as many parts as asked for.
+        assert spread(_docs(spark, texts), 3).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert spread(docs, 3).rdd.getNumPartitions() == 3
+
+
 def test_report_in_utf16_units(spark):
     docs = _docs(spark, ["\U0001f600 b"])
     assert {r.avg_length for r in word_count_report(docs, units="utf16").collect()} == {1.5}
