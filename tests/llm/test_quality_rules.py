@@ -77,6 +77,19 @@ def test_repeats(spark, text):
     assert tuple(r[c] for c in COLUMNS) == slow_base(text)
 
 
+def test_every_labelled_document_is_trusted(spark):
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "'a b' AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "int(id % 100 > 0) AS quality")
+    assert Q.trusted(docs, labels).count() == n - n // 100
+    # A repeated label counts once, a repeated document twice; NULL ids and labels match nothing.
+    few = spark.createDataFrame([(1, "x"), (1, "y z"), (2, "x"), (None, "x"), (3, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (3, 1), (4, 1), (2, None)], "doc_id long, quality int")
+    found = Q.trusted(few, marks)
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "x"), (1, "y z"), (3, None)]
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty(spark, empty_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert Q.quality_rules(empty_docs, labels).count() == 0
