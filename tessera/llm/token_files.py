@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -53,6 +54,8 @@ _HEAD, _FOOT = "<8sQ", "<QQ8s"
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 2000, 16 << 20, 112_640, 3
 #: Bytes of frames in a file, and parts of texts whose ids a worker remembers (at most twice so many).
 FILE_BYTES, REMEMBERED = 64 << 20, 1 << 18
+#: Characters of texts that a worker encodes at a time.
+TEXT_AT_ONCE = 8 << 20
 
 #: Latin letters. Runs of them, with an apostrophe inside or not, and what stands between the runs, are
 #: cut apart by a byte-level tokenizer in any case, and so is a text before a space.
@@ -148,17 +151,50 @@ class Encoder:
         units = self.units
         return b"".join([units[u] for u in _UNIT.findall(text)])
 
-    def text(self, text: str) -> bytes:
-        if not self.rules.by_parts or _INSIDE_SPACE.search(text):
-            return self._whole(text) + self.end
-        parts, cut = self.parts, text.split(" ")
-        ids = [parts[p] for p in cut]
-        ids[0] = self._cut(cut[0])  # no space before it
-        ids.append(self.end)
-        return b"".join(ids)
-
     def batch(self, texts: list[str]) -> list[bytes]:
-        return [self.text(t) for t in texts]
+        """The serialized ids of every text, each with the end id."""
+        whole = [not self.rules.by_parts or _INSIDE_SPACE.search(t) is not None for t in texts]
+        ids = iter(self._by_parts([t for t, w in zip(texts, whole, strict=True) if not w]))
+        return [self._whole(t) + self.end if w else next(ids) for t, w in zip(texts, whole, strict=True)]
+
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        """Every different part of the texts is looked up once; the texts' ids are gathered from those of the parts."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        # Where the texts' parts begin and end; each text has one at least.
+        bounds, codes = np.asarray(cut.offsets), pc.dictionary_encode(cut.flatten())
+        remembered, n = self.parts, len(codes.dictionary)
+        ids = [remembered[p] for p in codes.dictionary.to_numpy(zero_copy_only=False)]
+        # A text's first part has no space before it, and after its last one comes the end.
+        ids += [self._cut(t.partition(" ")[0]) for t in texts]
+        ids.append(self.end)
+        at = np.arange(len(texts))
+        codes = np.insert(np.asarray(codes.indices), bounds[1:], len(ids) - 1)
+        codes[bounds[:-1] + at] = n + at
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, every_id = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), np.uint32)
+        sizes = sizes[codes]
+        ends = np.cumsum(sizes)
+        small = np.int32 if max(len(every_id), ends[-1]) < 1 << 31 else np.int64
+        places = np.repeat((first[codes] - ends + sizes).astype(small), sizes)
+        places += np.arange(len(places), dtype=small)
+        joined, ends = every_id[places].tobytes(), (4 * ends[bounds[1:] + at]).tolist()
+        return [joined[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The texts in slices of at most ``TEXT_AT_ONCE`` characters (a longer text by itself), and where each begins."""
+    start, size, held = 0, 0, []
+    for k, t in enumerate(texts):
+        text = t.as_py()
+        if held and size + len(text) > TEXT_AT_ONCE:
+            yield start, held
+            start, size, held = k, 0, []
+        held.append(text)
+        size += len(text)
+    if held:
+        yield start, held
 
 
 def _encoder(held: dict) -> Encoder:
@@ -176,7 +212,7 @@ def train_dictionary(rows: DataFrame, held: dict, sample: int = SAMPLE) -> bytes
         encoder = _encoder(shared.value)
         for b in batches:
             # A sample of ids; of a long document its first 64 kB are enough for the dictionary.
-            ids = [encoder.text(t.as_py())[: 1 << 16] for t in b.column(0)]
+            ids = [x[: 1 << 16] for _, texts in _slices(b.column(0)) for x in encoder.batch(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     samples, room = [], SAMPLE_BYTES
@@ -226,9 +262,8 @@ def write_tokens(
         held = shared.value
         encoder, compressor = _encoder(held), _compressor(held["dictionary"])
         for b in batches:
-            for start in range(0, b.num_rows, 1000):
-                part = b.slice(start, 1000)
-                ids = [encoder.text(t.as_py()) for t in part.column(2)]
+            for start, texts in _slices(b.column(2)):
+                part, ids = b.slice(start, len(texts)), encoder.batch(texts)
                 arrays = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([compressor.compress(x) for x in ids], pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], ["doc_id", "key", "n_tokens", "frame"])
 

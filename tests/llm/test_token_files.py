@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -71,6 +72,24 @@ def test_units_give_the_ids_of_the_whole_text():
     assert encoder.batch(texts) == encoder.batch(texts)  # remembered
 
 
+def test_a_part_is_looked_up_once_in_a_slice(monkeypatch):
+    with open(PATH, "rb") as f:
+        data = f.read()
+    encoder, made = T.Encoder(data, T.Rules.of(data), 2, remembered=4), []
+    make = encoder.parts.make
+    encoder.parts.make = lambda part: made.append(part) or make(part)
+    texts = [" ".join(f"{a}{b}" for a in "abcdef" for b in "uvwxyz") for _ in range(30)] + ["", "one"]
+    ids = encoder.batch(texts)
+    assert len(made) == 35  # the first one has no space before it
+    t = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [[*t.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    monkeypatch.setattr(T, "TEXT_AT_ONCE", 200)
+    slices = list(T._slices(pa.array(texts)))
+    assert [x for _, s in slices for x in s] == texts and len(slices) > 10
+    assert [k for k, _ in slices] == np.cumsum([0] + [len(s) for _, s in slices])[:-1].tolist()
+    assert [x for _, s in slices for x in encoder.batch(s)] == ids and list(T._slices(pa.array([], pa.string()))) == []
+
+
 def test_other_tokenizer_and_no_end(spark, documents, tmp_path):
     path, folder = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t")
     with open(path, "rb") as f:
