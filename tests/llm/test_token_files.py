@@ -80,7 +80,7 @@ def test_a_part_is_looked_up_once_in_a_slice(monkeypatch):
     encoder.parts.make = lambda part: made.append(part) or make(part)
     texts = [" ".join(f"{a}{b}" for a in "abcdef" for b in "uvwxyz") for _ in range(30)] + ["", "one"]
     ids = encoder.batch(texts)
-    assert len(made) == 35  # the first one has no space before it
+    assert sorted(made) == sorted({p for t in texts for p in t.split(" ")})
     t = Tokenizer.from_file(PATH)
     assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [[*t.encode(x, add_special_tokens=False).ids, 2] for x in texts]
     monkeypatch.setattr(T, "TEXT_AT_ONCE", 200)
